@@ -83,24 +83,33 @@ def _not_found() -> Column:
 
 
 _KEYS = ("__tag", "__height", "__hash")
+_FOUND = "__found"
 
 
-def _missing(
+def _mark_found(
     keys: DataFrame, blocks: DataFrame, stats: EventStats, height: str, block_hash: str
 ) -> DataFrame:
-    """Event keys without a block. Reads and moves only the blocks' key columns."""
+    """Event keys with ``__found``, NULL where there is no such block.
+
+    Reads and moves only the blocks' key columns.
+    """
     same = _same_block("height", "hash")
     block_keys = blocks.select(
         "tag", F.col(height).alias("height"), F.col(block_hash).alias("hash")
     )
     if not stats.fits_broadcast:
-        return keys.join(block_keys, same, "left_anti")
-    # An anti join cannot broadcast its left side, so list the events that do
-    # have a block (no more than there are events) and take those away.
-    matched = block_keys.join(F.broadcast(keys), same, "inner").select(
-        F.col(f"{EVENT}.sequence_num").alias("__sequence")
+        marked = block_keys.withColumn(_FOUND, F.lit(True))
+        return keys.join(marked, same, "left").drop("tag", "height", "hash")
+    # An outer join cannot broadcast its outer side, so list the events that do
+    # have a block (no more than there are events) and join those back.
+    matched = (
+        block_keys.join(F.broadcast(keys), same, "inner")
+        .select(F.col(f"{EVENT}.sequence_num").alias("__sequence"))
+        .distinct()
+        .withColumn(_FOUND, F.lit(True))
     )
-    return keys.join(matched, F.col(f"{EVENT}.sequence_num") == F.col("__sequence"), "left_anti")
+    sequence = F.col(f"{EVENT}.sequence_num")
+    return keys.join(matched, sequence == F.col("__sequence"), "left").drop("__sequence")
 
 
 def missing_blocks(
@@ -115,14 +124,14 @@ def missing_blocks(
     """Events whose block is not there: (sequence_num, type, tag, height, hash)."""
     height = height or HEIGHT[family]
     stats = stats or event_stats(events)
-    missing = _missing(
+    marked = _mark_found(
         _event_keys(events),
         within_heights(blocks, stats, height),
         stats,
         height,
         block_hash or HASH[family],
     )
-    return missing.select(
+    return marked.where(F.col(_FOUND).isNull()).select(
         f"{EVENT}.sequence_num",
         f"{EVENT}.type",
         F.col("__tag").alias("tag"),
@@ -148,28 +157,26 @@ def resolve_events(
     In the split layout ``blocks`` are the keyed transactions and ``headers``
     tell which blocks exist (a block may have no transactions).
 
-    Blocks are cut to the events' heights first. If the events' measured size
-    fits, they are broadcast and the wide blocks are neither shuffled nor
-    sorted. Otherwise both sides are shuffled by key, and adaptive execution may
-    split either of them where one block has very many events or transactions.
-
-    Missing blocks are looked for on the side, in the key columns only. That
-    branch of the union gives no rows: it fails on the first it gets.
+    Blocks are cut to the events' heights first. The event keys are checked
+    against the blocks' keys before they meet the wide blocks: a check above
+    that join could be lost, since whoever unnests the transactions drops the
+    rows without any. If the events' measured size fits, the checked keys are
+    broadcast and the wide blocks are neither shuffled nor sorted. Otherwise
+    both sides are shuffled by key, and adaptive execution may split either of
+    them where one block has very many events or transactions.
     """
     height = height or HEIGHT[family]
     block_hash = block_hash or HASH[family]
     stats = stats or event_stats(events)
-    keys = _event_keys(events)
     blocks = within_heights(blocks, stats, height)
-    found = blocks.join(
-        F.broadcast(keys) if stats.fits_broadcast else keys,
+    if headers is None:
+        marked = _mark_found(_event_keys(events), blocks, stats, height, block_hash)
+    else:
+        known = within_heights(headers, stats, "height")
+        marked = _mark_found(_event_keys(events), known, stats, "height", "hash")
+    checked = marked.where(require(F.col(_FOUND).isNull(), _not_found())).drop(_FOUND)
+    return blocks.join(
+        F.broadcast(checked) if stats.fits_broadcast else checked,
         _same_block(height, block_hash),
         "inner",
     ).drop(*_KEYS)
-
-    known = blocks if headers is None else within_heights(headers, stats, height)
-    missing = _missing(keys, known, stats, height, block_hash)
-    failing = missing.where(F.raise_error(_not_found()).cast("boolean")).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema.fields]
-    )
-    return found.union(failing)
