@@ -30,6 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Small inputs come in fewer splits than there are cores; deal their rows out.
+
+    An input with enough splits, as any large one, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _struct(members: dict[str, Column]) -> Column:
     return F.struct(*[value.alias(name) for name, value in members.items()])
 
@@ -64,7 +73,7 @@ def _seconds(df: DataFrame, column: str) -> Column:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "orders")
+    raw = _spread(table(spark, sf_dir, "orders"))
     status = F.col("o_orderstatus")
     return raw.select(
         F.col("o_orderkey").alias("k"),
@@ -96,7 +105,7 @@ def _posting_count() -> Column:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "lineitem")
+    raw = _spread(table(spark, sf_dir, "lineitem"))
     return raw.select(
         F.col("l_orderkey").alias("k"),
         F.col("l_linenumber").cast("bigint").alias("line"),

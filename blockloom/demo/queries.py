@@ -34,6 +34,7 @@ from blockloom.operators.rosetta import (
     rosetta_raw_transactions,
     rosetta_transactions,
 )
+from blockloom.operators.rows import unnest
 from blockloom.plans import ranges
 from blockloom.plans.catalog import list_tables
 from blockloom.schemas.inputs import split_transactions
@@ -67,6 +68,11 @@ def _length(items: str) -> Column:
     return F.coalesce(F.size(items), F.lit(-1)).cast("bigint")
 
 
+def _numbered(df: DataFrame, items: str, item: str, carried: list[str]) -> DataFrame:
+    rows = unnest(df, items, item, carried, "position")
+    return rows.withColumn("position", F.col("position").cast("bigint"))
+
+
 def _layout() -> list[Column]:
     return [F.col(PARTITION_BY), F.col(RANGE_BY)]
 
@@ -347,9 +353,7 @@ def evm_blocks_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _block_lists(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     blocks = evm_blocks(ledger.evm_headers(spark, sf_dir), columns=["number", column])
-    return blocks.select("number", F.posexplode(column).alias("position", "item")).withColumn(
-        "position", F.col("position").cast("bigint")
-    )
+    return _numbered(blocks, column, "item", ["number"])
 
 
 @query
@@ -423,7 +427,7 @@ def _split_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ledger.evm_split_headers(spark, sf_dir),
         columns=["receipt"],
     )
-    return transactions.select(F.explode("receipt.logs").alias("log")).select("log.*")
+    return unnest(transactions, "receipt.logs", "log", []).select("log.*")
 
 
 @query
@@ -443,11 +447,8 @@ def evm_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def evm_log_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split_logs(spark, sf_dir).select(
-        "transaction_hash",
-        "log_index",
-        F.posexplode("topics").alias("position", "topic"),
-    ).withColumn("position", F.col("position").cast("bigint"))
+    logs = _split_logs(spark, sf_dir)
+    return _numbered(logs, "topics", "topic", ["transaction_hash", "log_index"])
 
 
 def _split_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,7 +457,7 @@ def _split_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
         ledger.evm_split_headers(spark, sf_dir),
         columns=["traces"],
     )
-    return transactions.select(F.explode("traces").alias("trace")).select("trace.*")
+    return unnest(transactions, "traces", "trace", []).select("trace.*")
 
 
 @query
@@ -469,9 +470,7 @@ def evm_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def evm_trace_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split_traces(spark, sf_dir).select(
-        "trace_id", F.posexplode("trace_address").alias("position", "step")
-    ).withColumn("position", F.col("position").cast("bigint"))
+    return _numbered(_split_traces(spark, sf_dir), "trace_address", "step", ["trace_id"])
 
 
 @query
@@ -567,7 +566,7 @@ def _bitcoin_lists(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
         ledger.bitcoin_split_headers(spark, sf_dir),
         columns=["hash", column],
     )
-    return transactions.select("hash", F.explode(column).alias("item")).select("hash", "item.*")
+    return unnest(transactions, column, "item", ["hash"]).select("hash", "item.*")
 
 
 @query
@@ -580,11 +579,8 @@ def bitcoin_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bitcoin_input_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bitcoin_lists(spark, sf_dir, "inputs").select(
-        "hash",
-        F.col("index").alias("input"),
-        F.posexplode("transaction_input_witnesses").alias("position", "witness"),
-    ).withColumn("position", F.col("position").cast("bigint"))
+    inputs = _bitcoin_lists(spark, sf_dir, "inputs").withColumnRenamed("index", "input")
+    return _numbered(inputs, "transaction_input_witnesses", "witness", ["hash", "input"])
 
 
 @query
@@ -622,7 +618,7 @@ def _rosetta_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     transactions = rosetta_transactions(
         ledger.rosetta_blocks(spark, sf_dir), columns=["transaction_hash", "operations"]
     )
-    return transactions.select("transaction_hash", F.explode("operations").alias("op")).select(
+    return unnest(transactions, "operations", "op", ["transaction_hash"]).select(
         "transaction_hash", "op.*"
     )
 
@@ -639,11 +635,9 @@ def rosetta_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rosetta_related_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    related = _rosetta_operations(spark, sf_dir).select(
-        "transaction_hash",
-        F.col("operation_index").alias("operation"),
-        F.explode("related_operations").alias("related"),
-    )
+    operations = _rosetta_operations(spark, sf_dir)
+    carried = ["transaction_hash", F.col("operation_index").alias("operation")]
+    related = unnest(operations, "related_operations", "related", carried)
     return related.select("transaction_hash", "operation", "related.*")
 
 
@@ -653,10 +647,8 @@ def rosetta_related_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         ledger.rosetta_blocks(spark, sf_dir),
         columns=["transaction_hash", "related_transactions"],
     )
-    related = transactions.select(
-        F.col("transaction_hash").alias("of_transaction"),
-        F.explode("related_transactions").alias("related"),
-    )
+    carried = [F.col("transaction_hash").alias("of_transaction")]
+    related = unnest(transactions, "related_transactions", "related", carried)
     return related.select("of_transaction", "related.*")
 
 

@@ -79,11 +79,30 @@ def unnest_transactions(
         else:
             first = _element_members(blocks)[0]
             transactions = F.arrays_zip(F.col("transactions")[first].alias(first))
-    if with_position:
-        unnested = F.posexplode(transactions).alias("position", "transaction")
+    return unnest(
+        blocks, transactions, "transaction", carried, "position" if with_position else None
+    )
+
+
+def unnest(
+    df: DataFrame,
+    items: Column | str,
+    item: str,
+    carried: Sequence[Column | str],
+    position: str | None = None,
+) -> DataFrame:
+    """One row per element of a list, with the carried columns; none for an empty list.
+
+    From a plain ``explode`` Spark derives the filter that the list has elements
+    and pushes it down to the scan. Where the list is built by an expression
+    that means building it twice, the first time before any pruning. The outer
+    form, with the rows of empty lists taken out again, builds it once.
+    """
+    if position is None:
+        rows = df.select(*carried, F.explode_outer(items).alias(item))
     else:
-        unnested = F.explode(transactions).alias("transaction")
-    return blocks.select(*carried, unnested)
+        rows = df.select(*carried, F.posexplode_outer(items).alias(position, item))
+    return rows.where(F.col(item).isNotNull())
 
 
 def is_streamed(rows: DataFrame) -> bool:
