@@ -238,7 +238,7 @@ def _evm_transaction(
     }
 
 
-def _evm_posting(kind: Column, i: Column) -> Column:
+def _evm_posting(kind: Column, i: Column, members: Iterable[str] | None) -> Column:
     k, cust, cents = F.col("k"), F.col("cust"), F.col("cents")
     tx = {
         "hash": _text("t", k, "-", kind),
@@ -269,7 +269,7 @@ def _evm_posting(kind: Column, i: Column) -> Column:
         trace_count=2 - kind,
         on_l1=kind != SETTLEMENT,
     )
-    return _struct(transaction)
+    return _members(transaction, members)
 
 
 def _evm_header() -> dict[str, Column]:
@@ -337,10 +337,15 @@ def evm_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def evm_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested layout: one row per order with its postings."""
+def evm_blocks(
+    spark: SparkSession, sf_dir: str, members: Iterable[str] | None = None
+) -> DataFrame:
+    """Nested layout: one row per order with its postings (or some members of them)."""
     return evm_headers(spark, sf_dir).select(
-        "tag", "header", "uncles", _postings(_evm_posting).alias("transactions")
+        "tag",
+        "header",
+        "uncles",
+        _postings(lambda kind, i: _evm_posting(kind, i, members)).alias("transactions"),
     )
 
 

@@ -492,7 +492,8 @@ def evm_unsigned_decimals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def evm_parsed_json_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks written as JSON text and parsed again."""
-    texts = ledger.evm_blocks(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
+    blocks = ledger.evm_blocks(spark, sf_dir, ["hash", "nonce", "value"])
+    texts = blocks.select(F.to_json(F.struct("*")).alias("value"))
     transactions = evm_transactions(
         parse_blocks(texts), columns=["transaction_hash", "nonce", "value"]
     )
@@ -840,7 +841,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ethereum",
         _STREAMED,
         ledger.chain_events(spark, sf_dir),
-        ledger.evm_blocks(spark, sf_dir),
+        ledger.evm_blocks(spark, sf_dir, ["hash", "index", "value"]),
         columns=_STREAM_COLUMNS,
         partition_by_size=PARTITION_SIZE,
     )
@@ -855,7 +856,10 @@ def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.chain_events(spark, sf_dir).repartitionByRange(4, "sequence_num").write.parquet(
         f"{root}/events"
     )
-    ledger.evm_blocks(spark, sf_dir).write.parquet(f"{root}/blocks")
+    # Members that are not written are read as unset; this table asks for none of them.
+    ledger.evm_blocks(spark, sf_dir, ["hash", "index", "value"]).select(
+        "tag", F.struct("header.number", "header.hash").alias("header"), "transactions"
+    ).write.parquet(f"{root}/blocks")
     running = (
         stream_table(
             "ethereum",
@@ -936,7 +940,7 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def blocks_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks counted while their transactions are written to nowhere."""
     seen = Observation()
-    blocks = count_blocks(ledger.evm_blocks(spark, sf_dir), seen)
+    blocks = count_blocks(ledger.evm_blocks(spark, sf_dir, ["hash"]), seen)
     narrow = evm_transactions(blocks, columns=["transaction_hash"])
     narrow.write.format("noop").mode("overwrite").save()
     return spark.createDataFrame([(seen.get[BLOCKS_PROCESSED],)], "blocks_processed BIGINT")

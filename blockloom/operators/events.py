@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.functions.scalars import require
+from blockloom.errors import NotFound
 from blockloom.operators.rows import EVENT
 from blockloom.schemas.inputs import HASH, HEIGHT
 
@@ -68,48 +68,28 @@ def _same_block(height: str, block_hash: str) -> Column:
     )
 
 
-def _not_found() -> Column:
-    return F.concat_ws(
-        "",
-        F.lit("failed to get block with (tag="),
-        F.col("__tag"),
-        F.lit(") (height="),
-        F.col("__height"),
-        F.lit(") (hash="),
-        F.col("__hash"),
-        F.lit(") for event "),
-        F.col(f"{EVENT}.sequence_num"),
-    )
-
-
 _KEYS = ("__tag", "__height", "__hash")
-_FOUND = "__found"
 
 
-def _mark_found(
+def _without_block(
     keys: DataFrame, blocks: DataFrame, stats: EventStats, height: str, block_hash: str
 ) -> DataFrame:
-    """Event keys with ``__found``, NULL where there is no such block.
-
-    Reads and moves only the blocks' key columns.
-    """
+    """Event keys that no block has. Reads and moves only the blocks' key columns."""
     same = _same_block("height", "hash")
     block_keys = blocks.select(
         "tag", F.col(height).alias("height"), F.col(block_hash).alias("hash")
     )
     if not stats.fits_broadcast:
-        marked = block_keys.withColumn(_FOUND, F.lit(True))
-        return keys.join(marked, same, "left").drop("tag", "height", "hash")
-    # An outer join cannot broadcast its outer side, so list the events that do
-    # have a block (no more than there are events) and join those back.
+        return keys.join(block_keys, same, "left_anti")
+    # An anti join cannot broadcast its left side, so list the events that do
+    # have a block (no more than there are events) and take those away.
     matched = (
         block_keys.join(F.broadcast(keys), same, "inner")
         .select(F.col(f"{EVENT}.sequence_num").alias("__sequence"))
         .distinct()
-        .withColumn(_FOUND, F.lit(True))
     )
     sequence = F.col(f"{EVENT}.sequence_num")
-    return keys.join(matched, sequence == F.col("__sequence"), "left").drop("__sequence")
+    return keys.join(matched, sequence == F.col("__sequence"), "left_anti")
 
 
 def missing_blocks(
@@ -124,14 +104,14 @@ def missing_blocks(
     """Events whose block is not there: (sequence_num, type, tag, height, hash)."""
     height = height or HEIGHT[family]
     stats = stats or event_stats(events)
-    marked = _mark_found(
+    missing = _without_block(
         _event_keys(events),
         within_heights(blocks, stats, height),
         stats,
         height,
         block_hash or HASH[family],
     )
-    return marked.where(F.col(_FOUND).isNull()).select(
+    return missing.select(
         f"{EVENT}.sequence_num",
         f"{EVENT}.type",
         F.col("__tag").alias("tag"),
@@ -140,6 +120,16 @@ def missing_blocks(
     )
 
 
+def require_blocks(events: DataFrame, blocks: DataFrame, **where) -> None:
+    """Refuse a slice with an event whose block is missing. Runs a job over the keys."""
+    lost = missing_blocks(events, blocks, **where).first()
+    if lost is not None:
+        raise NotFound(
+            f"failed to get block with (tag={lost['tag']}) (height={lost['height']}) "
+            f"(hash={lost['hash']}) for event {lost['sequence_num']}"
+        )
+
+
 def resolve_events(
     events: DataFrame,
     blocks: DataFrame,
@@ -149,34 +139,39 @@ def resolve_events(
     block_hash: str | None = None,
     headers: DataFrame | None = None,
     stats: EventStats | None = None,
+    check: bool = True,
 ) -> DataFrame:
     """The blocks' columns and ``event`` (sequence number, type) for every event.
 
-    A block serves any number of events. An event whose block is missing fails
-    the job. Blocks must be unique by (tag, height, hash), as in a block store.
-    In the split layout ``blocks`` are the keyed transactions and ``headers``
-    tell which blocks exist (a block may have no transactions).
-
-    Blocks are cut to the events' heights first. The event keys are checked
-    against the blocks' keys before they meet the wide blocks: a check above
-    that join could be lost, since whoever unnests the transactions drops the
-    rows without any. If the events' measured size fits, the checked keys are
-    broadcast and the wide blocks are neither shuffled nor sorted. Otherwise
-    both sides are shuffled by key, and adaptive execution may split either of
-    them where one block has very many events or transactions.
+    A block serves any number of events. Blocks must be unique by (tag, height,
+    hash), as in a block store. In the split layout ``blocks`` are the keyed
+    transactions and ``headers`` tell which blocks exist (a block may have no
+    transactions).
+
+    A missing block is refused before anything is returned (``check``). The same
+    check inside the plan would get lost: whoever unnests or filters the result
+    turns an outer join into an inner one, and an inner join with an empty side
+    is dropped with all that feeds it.
+
+    Blocks are cut to the events' heights first. If the events' measured size
+    fits, they are broadcast and the wide blocks are neither shuffled nor
+    sorted. Otherwise both sides are shuffled by key, and adaptive execution may
+    split either of them where one block has very many events or transactions.
     """
     height = height or HEIGHT[family]
     block_hash = block_hash or HASH[family]
     stats = stats or event_stats(events)
-    blocks = within_heights(blocks, stats, height)
-    if headers is None:
-        marked = _mark_found(_event_keys(events), blocks, stats, height, block_hash)
-    else:
-        known = within_heights(headers, stats, "height")
-        marked = _mark_found(_event_keys(events), known, stats, "height", "hash")
-    checked = marked.where(require(F.col(_FOUND).isNull(), _not_found())).drop(_FOUND)
-    return blocks.join(
-        F.broadcast(checked) if stats.fits_broadcast else checked,
-        _same_block(height, block_hash),
-        "inner",
-    ).drop(*_KEYS)
+    if check and headers is None:
+        require_blocks(events, blocks, height=height, block_hash=block_hash, stats=stats)
+    elif check:
+        require_blocks(events, headers, height="height", block_hash="hash", stats=stats)
+    keys = _event_keys(events)
+    return (
+        within_heights(blocks, stats, height)
+        .join(
+            F.broadcast(keys) if stats.fits_broadcast else keys,
+            _same_block(height, block_hash),
+            "inner",
+        )
+        .drop(*_KEYS)
+    )
