@@ -914,13 +914,17 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = []
     for chain in ("ethereum", "bitcoin"):
         source = _ledger(spark, sf_dir, chain)
+        keys = source.tables()
         stats = event_stats(source.events)
+        resolved = {
+            family: resolve_events(
+                source.events, source.blocks[family], family=family, stats=stats
+            )
+            for family in {block_family(chain, key) for key in keys if key.streamed}
+        }
         counts = []
-        for key in source.tables():
-            family = block_family(chain, key)
-            blocks = source.blocks[family]
-            if key.streamed:
-                blocks = resolve_events(source.events, blocks, family=family, stats=stats)
+        for key in keys:
+            blocks = (resolved if key.streamed else source.blocks)[block_family(chain, key)]
             counts.append(
                 build(chain, key, blocks).select(F.lit(str(key)).alias("table_key"))
             )
