@@ -14,6 +14,8 @@ Some members are left unset or hold text that is no number, on purpose.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import wraps
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,27 @@ METADATA = ChainMetadata(block_start_height=0, irreversible_distance=100)
 PAYMENT, SETTLEMENT, SURCHARGE = 0, 1, 2
 
 
+def _planned(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Make a frame once per session and folder.
+
+    A frame is only a plan, but these plans have hundreds of columns, and each
+    takes several calls from Python into the JVM to put together.
+    """
+    made: WeakKeyDictionary[SparkSession, dict[tuple, DataFrame]] = WeakKeyDictionary()
+
+    @wraps(make)
+    def planned(
+        spark: SparkSession, sf_dir: str, members: Iterable[str] | None = None
+    ) -> DataFrame:
+        frames = made.setdefault(spark, {})
+        arguments = (sf_dir,) if members is None else (sf_dir, tuple(members))
+        if arguments not in frames:
+            frames[arguments] = make(spark, *arguments)
+        return frames[arguments]
+
+    return planned
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -72,6 +95,7 @@ def _seconds(df: DataFrame, column: str) -> Column:
     return epoch_seconds(F.col(column), ntz=ntz)
 
 
+@_planned
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _spread(table(spark, sf_dir, "orders"))
     status = F.col("o_orderstatus")
@@ -104,6 +128,7 @@ def _posting_count() -> Column:
     return F.when(F.col("status") == "P", _long(0)).otherwise(filled + urgent + 1)
 
 
+@_planned
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _spread(table(spark, sf_dir, "lineitem"))
     return raw.select(
@@ -296,6 +321,7 @@ def _evm_uncle(i: Column) -> Column:
     return _struct(header)
 
 
+@_planned
 def evm_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(tag, header, uncles, k, cust, ...): headers of all orders, without transactions."""
     k, cust = F.col("k"), F.col("cust")
@@ -337,6 +363,7 @@ def evm_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_planned
 def evm_blocks(
     spark: SparkSession, sf_dir: str, members: Iterable[str] | None = None
 ) -> DataFrame:
@@ -349,6 +376,7 @@ def evm_blocks(
     )
 
 
+@_planned
 def evm_split_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split layout: (tag, height, hash, header) of all orders."""
     return evm_headers(spark, sf_dir).select(
@@ -356,6 +384,7 @@ def evm_split_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_planned
 def evm_split_transactions(
     spark: SparkSession, sf_dir: str, members: Iterable[str] | None = None
 ) -> DataFrame:
@@ -498,6 +527,7 @@ def _bitcoin_transaction(
         }
 
 
+@_planned
 def bitcoin_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested layout: the first posting of an order is its coinbase transaction."""
     k = F.col("k")
@@ -514,6 +544,7 @@ def bitcoin_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_planned
 def bitcoin_split_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders(spark, sf_dir).select(
         _long(1).alias("tag"),
@@ -523,6 +554,7 @@ def bitcoin_split_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_planned
 def bitcoin_split_transactions(
     spark: SparkSession, sf_dir: str, members: Iterable[str] | None = None
 ) -> DataFrame:
@@ -649,6 +681,7 @@ def order_metadata() -> Column:
     )
 
 
+@_planned
 def rosetta_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     return orders(spark, sf_dir).select(
@@ -669,6 +702,7 @@ def rosetta_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Events ------------------------------------------------------------------
 
 
+@_planned
 def chain_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An error removes the block added before; a sign-up has no type."""
     kind, number = F.col("event_type"), F.col("event_id")
