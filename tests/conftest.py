@@ -12,7 +12,14 @@ from blockloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session(
+        4,
+        "tests",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
+        },
+    )
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import Observation
@@ -102,17 +103,22 @@ def test_blocks_are_counted(chain):
     assert seen.get == {"blocks_processed": 40}
 
 
-def test_work_dir_is_below_the_shared_folder(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        made = work_dir(spark, "x")
-        assert made.startswith(f"{tmp_path}/x-") and made != work_dir(spark, "x")
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def session(master, **settings):
+    """Just the two things that are read from a session."""
+    conf = SimpleNamespace(get=lambda name, default: settings.get("folder", default))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_work_dir_is_below_the_shared_folder():
+    shared = session("yarn", folder="/shared/")
+    made = work_dir(shared, "x")
+    assert made.startswith("/shared/x-") and made != work_dir(shared, "x")
+
+
+def test_only_local_sessions_do_without_a_shared_folder():
+    assert os.path.isdir(work_dir(session("local[2]"), "x"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(session("yarn"), "x")
 
 
 @pytest.fixture(scope="module")
