@@ -103,7 +103,7 @@ def enum_name(value: Column, names: Mapping[int, str], *, numeric: bool = False)
 
 def element_count(items: Column) -> Column:
     """Length of a list; 0 for an unset one."""
-    return F.coalesce(F.size(items), F.lit(0)).cast("bigint")
+    return F.coalesce(F.array_size(items), F.lit(0)).cast("bigint")
 
 
 # Characters written as escapes in embedded JSON.

@@ -155,7 +155,7 @@ def join_headers(transactions: DataFrame, headers: DataFrame, block: Column) ->
     Only the key and the built column of the headers are shuffled. The
     transactions are the left, splittable side, so adaptive execution can cut up
     a block that holds a large part of them. A transaction without a header
-    fails the job.
+    fails the job; a filter on ``block`` further up may drop it before.
     """
     slim = headers.select(
         F.col("tag").alias("__tag"),
@@ -174,12 +174,3 @@ def join_headers(transactions: DataFrame, headers: DataFrame, block: Column) ->
     return joined.where(require(F.col("__found").isNull(), message)).drop(
         "__tag", "__height", "__hash", "__found"
     )
-
-
-def header_keys(blocks: DataFrame, family: str) -> DataFrame:
-    """Add the key of the split layout to rows that carry a header."""
-    from blockloom.schemas.inputs import HASH
-
-    return blocks.select(
-        "*", height(family).alias("height"), F.col(HASH[family]).alias("hash")
-    )
