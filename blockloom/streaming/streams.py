@@ -16,12 +16,20 @@ from blockloom.builders import block_family, build
 from blockloom.errors import InvalidArgument
 from blockloom.metrics import count_blocks
 from blockloom.operators.events import resolve_events
-from blockloom.plans.ranges import EARLIEST, LATEST, event_position, resolve_stream_range
+from blockloom.plans.ranges import (
+    EARLIEST,
+    LATEST,
+    event_position,
+    plan_stream_slices,
+    resolve_stream_range,
+)
 from blockloom.schemas.tables import PARTITION_BY, TableKey
-from blockloom.sinks.layout import ROWS_PER_FILE, event_order
+from blockloom.sinks.layout import ROWS_PER_FILE, event_order, write_table
 from blockloom.sources.events import scan_events
 
 BATCH_ID = "batch_id"
+SLICE = "slice"
+EVENTS_PER_BACKFILL = 100_000
 
 
 def start_position(events: DataFrame, position: str | int) -> int:
@@ -59,6 +67,36 @@ def replay(
     )
 
 
+def backfill(
+    chain: str,
+    key: TableKey,
+    events: DataFrame,
+    blocks: DataFrame,
+    path: str,
+    start: int = 0,
+    end: int = 0,
+    *,
+    events_per_slice: int = EVENTS_PER_BACKFILL,
+    **options,
+) -> None:
+    """Write a long replay slice by slice, each to its own ``slice=<start>`` directory.
+
+    The events of one slice are few enough to be broadcast and their heights lie
+    close together, so each slice reads its own part of the blocks and shuffles
+    only what it writes; one replay of the whole log would shuffle all blocks to
+    join them. A slice that is written again replaces itself.
+    """
+    span = resolve_stream_range(events, start, end)
+    slices = plan_stream_slices(events.sparkSession, span, events_per_slice)
+    for part in slices.sort("slice_start").toLocalIterator():
+        log = scan_events(events, part["slice_start"], part["slice_end"])
+        write_table(
+            streamed_table(chain, key, log, blocks, **options),
+            f"{path.rstrip('/')}/{SLICE}={part['slice_start']}",
+            mode="overwrite",
+        )
+
+
 def stream_table(
     chain: str,
     key: TableKey,
