@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.llm import simhash
-from blockloom.llm.shared import read
+from blockloom.llm import decontaminate, quality_rules, simhash, substrings
+from blockloom.llm.shared import BLANK, read
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +19,48 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that repeat a passage of a document with a smaller id, and what is left."""
+    cut = substrings.remove_repeats(read(spark, sf_dir, "documents"))
+    kept = F.trim(F.regexp_replace("kept_text", f"{BLANK}+", " "))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of every document, and whether it is kept after its lines are cleaned."""
+    return quality_rules.judge(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    found = decontaminate.contamination(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op3_substrings": op3_substrings,
+        "op5_quality_rules": op5_quality_rules,
+        "op8_decontaminate": op8_decontaminate,
     }
 
 

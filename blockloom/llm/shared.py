@@ -28,6 +28,19 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread_join(many: DataFrame, few: DataFrame, on: list[str], by: str, salts: int = 2) -> DataFrame:
+    """Inner join of ``many`` with aggregated rows, ``few``, on the aggregation's keys.
+
+    Joined as it is, all rows of a key must follow its aggregate to one task. The
+    salt from column ``by`` deals a key over several, and the shuffles that it
+    brings are ones that adaptive execution may split further.
+    """
+    salt = F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")
+    copies = F.explode(F.array(*map(F.lit, range(salts))))
+    joined = many.withColumn("_salt", salt).join(few.withColumn("_salt", copies), [*on, "_salt"])
+    return joined.drop("_salt")
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
