@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.llm import decontaminate, quality_rules, simhash, substrings
+from blockloom.llm import (
+    chat,
+    decontaminate,
+    html,
+    pieces,
+    quality_model,
+    quality_rules,
+    simhash,
+    substrings,
+    toxicity,
+)
 from blockloom.llm.shared import BLANK, read
 
 
@@ -19,6 +29,35 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and one of control strings; digests of what is read back."""
+    hard = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    formatted = chat.format_conversations(turns.unionByName(hard))
+    back = formatted.select(
+        "conv_id",
+        chat.parse(F.col("formatted")).alias("turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+    spoken = F.array_join(
+        F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
+    )
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(spoken, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that repeat a passage of a document with a smaller id, and what is left."""
     cut = substrings.remove_repeats(read(spark, sf_dir, "documents"))
@@ -26,6 +65,12 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
 
 
+def op4_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; a fifth of the labels is held out."""
+    scored = quality_model.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures of every document, and whether it is kept after its lines are cleaned."""
     return quality_rules.judge(read(spark, sf_dir, "documents")).select(
@@ -40,6 +85,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    text = html.extract(read(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     found = decontaminate.contamination(
@@ -55,12 +106,35 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, and a digest of the text decoded from them."""
+    encoded = pieces.encode(read(spark, sf_dir, "documents"))
+    return pieces.decode(encoded, carry=("ids",)).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_pieces"),
+        "ids",
+        F.char_length("decoded").cast("bigint").alias("decoded_chars"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; a fifth of the labels is held out."""
+    scored = toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op2_chat": op2_chat,
         "op3_substrings": op3_substrings,
+        "op4_quality_model": op4_quality_model,
         "op5_quality_rules": op5_quality_rules,
+        "op6_html": op6_html,
         "op8_decontaminate": op8_decontaminate,
+        "op9_sentencepiece": op9_sentencepiece,
+        "op10_toxicity": op10_toxicity,
     }
 
 
