@@ -130,10 +130,15 @@ def _in_place(doc: Column, item: Column, shift: Column) -> Column:
 
 
 def occurrences(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, near: int = 10, lists: int = LISTS
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    near: int = 10,
+    lists: int = LISTS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, and ``matches``, an array of
-    ids, shift, phrase_starts and near_starts.
+    """One row per row of ``docs``: doc_id, the ``carry`` columns, n_words, and
+    ``matches``, an array of ids, shift, width, phrase_starts and near_starts.
 
     A phrase start is a word position in the document where ``window`` consecutive
     words of the item stand; items of fewer words are one window. A near start is a
@@ -142,16 +147,19 @@ def occurrences(
     ``lists`` rarest words of some window of the item. ``shift`` is the document
     position of the item's first word. Items that don't occur are not listed. NULL,
     empty and wordless texts have no words and no matches; a NULL item_id is listed
-    as an empty text; repeated rows are all returned; other columns are dropped.
+    as an empty text; repeated rows are all returned. A carried column named like a
+    result gives way to it; other columns are dropped.
     """
+    carry = tuple(c for c in carry if c not in ("doc_id", "n_words", "matches"))
+    rest = F.struct("doc_id", *carry).alias("rest")
     table = settle(item_table(items))
     found = alignments(docs, table, window, lists)
     found = found.join(table, "item").groupBy("key").agg(
         F.collect_list(F.struct("ids", "shift", "terms")).alias("found")
     )
-    keyed = docs.select("doc_id", "text", _key().alias("key"))
+    keyed = docs.select(rest, "text", _key().alias("key"))
     both = keyed.join(found, "key", "left").select(
-        "doc_id", words(F.col("text")).alias("words"), "found"
+        "rest", words(F.col("text")).alias("words"), "found"
     )
 
     def starts(x: Column, flags: Column, width: Column, least: Column, most: Column) -> Column:
@@ -168,7 +176,8 @@ def occurrences(
 
     def matched(x: Column) -> Column:
         flags = _in_place(F.col("words"), x["terms"], x["shift"])
-        return F.struct(x["ids"].alias("ids"), x["shift"].alias("shift"), x["terms"].alias("terms"), flags.alias("flags"))
+        same = (x[name].alias(name) for name in ("ids", "shift", "terms"))
+        return F.struct(*same, flags.alias("flags"))
 
     def judged(x: Column) -> Column:
         width = F.least(F.lit(window), F.size(x["terms"]))
@@ -186,14 +195,20 @@ def occurrences(
     )
     matches = F.when(F.col("found").isNull(), F.array().cast(_MATCHES)).otherwise(found)
     return both.select(
-        "doc_id", F.size("words").cast("bigint").alias("n_words"), matches.alias("matches")
+        *(F.col("rest")[c].alias(c) for c in ("doc_id", *carry)),
+        F.size("words").cast("bigint").alias("n_words"),
+        matches.alias("matches"),
     )
 
 
-def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit (words inside phrases), items (the
-    ids that occur, sorted as text), near_items and contaminated: a word is hit, and
-    at least a twentieth of all words are."""
+def contamination(
+    docs: DataFrame, items: DataFrame, carry: tuple[str, ...] = (), **options
+) -> DataFrame:
+    """Per row of ``docs``: doc_id, the ``carry`` columns, n_words, n_hit (words inside
+    phrases), items (the ids that occur, sorted as text), near_items and contaminated:
+    a word is hit, and at least a twentieth of all words are."""
+    results = ("doc_id", "n_words", "matches", "n_hit", "items", "near_items", "contaminated")
+    carry = tuple(c for c in carry if c not in results)
     phrases = F.filter("matches", lambda m: F.size(m["phrase_starts"]) > 0)
     hit = F.flatten(
         F.transform(
@@ -206,8 +221,9 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     ids = F.array_sort(F.array_distinct(F.flatten(F.transform(phrases, lambda m: m["ids"]))))
     near = F.filter("matches", lambda m: F.size(m["near_starts"]) > 0)
     near_ids = F.array_sort(F.array_distinct(F.flatten(F.transform(near, lambda m: m["ids"]))))
-    counted = occurrences(docs, items, **options).select(
+    counted = occurrences(docs, items, carry=carry, **options).select(
         "doc_id",
+        *carry,
         "n_words",
         F.size(F.array_distinct(hit)).cast("bigint").alias("n_hit"),
         ids.alias("items"),

@@ -11,6 +11,8 @@ from blockloom.llm import (
     chat,
     decontaminate,
     html,
+    licenses,
+    oracles,
     pieces,
     quality_model,
     quality_rules,
@@ -91,6 +93,20 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, taken as a file of a tree.
+
+    Documents lie in source/lang/thousand; every tenth is a licence file, a level up.
+    """
+    place = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")))
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit("_"))
+    shelf = F.coalesce(F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("_"))
+    path = F.when(F.col("doc_id") % 10 == 0, F.concat_ws("/", place, F.concat(F.lit("LICENSE-"), number)))
+    path = path.otherwise(F.concat_ws("/", place, shelf, F.concat(number, F.lit(".txt"))))
+    files = read(spark, sf_dir, "documents").select(path.alias("path"), "text")
+    return licenses.scan(files)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     found = decontaminate.contamination(
@@ -132,6 +148,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_model": op4_quality_model,
         "op5_quality_rules": op5_quality_rules,
         "op6_html": op6_html,
+        "op7_licenses": op7_licenses,
         "op8_decontaminate": op8_decontaminate,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_toxicity": op10_toxicity,
@@ -139,4 +156,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()

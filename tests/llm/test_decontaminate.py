@@ -58,7 +58,9 @@ def test_against_brute_force(spark, docs, monkeypatch, broadcast):
             parts.append(", ".join(w[cut:]) if draw.random() < 0.8 else text)
         rows.append((k, " ".join(parts)))
     frame = spark.createDataFrame([(i, t, "x", 1) for i, t in items], ITEMS)
-    assert result(decontaminate.contamination(docs(rows), frame)) == brute(rows, items)
+    got = decontaminate.contamination(docs(rows), frame, carry=("text", "n_words", "lang"))
+    assert result(got) == brute(rows, items)
+    assert sorted(str(r.text) for r in got.collect()) == sorted(str(t) for _, t in rows)
 
 
 def test_near(spark, docs):
