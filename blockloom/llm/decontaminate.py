@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.shared import ascii_lower, settle
+from blockloom.llm.shared import ascii_lower, computed, settle
 
 WINDOW = 13
 #: Rarest terms of a window that are looked up before its words are compared.
@@ -88,7 +88,7 @@ def rarest(table: DataFrame, counts: DataFrame, window: int, lists: int) -> Data
     picked = F.transform(
         starts, lambda s: F.slice(F.sort_array(F.slice(F.col("all"), s, width)), 1, lists)
     )
-    groups = ranked.select("item", F.explode(F.array_distinct(picked)).alias("picked"))
+    groups = computed(ranked).select("item", F.explode(F.array_distinct(picked)).alias("picked"))
     return groups.select(
         "item",
         F.transform("picked", lambda x: x["offset"]).alias("group"),
@@ -161,6 +161,7 @@ def occurrences(
     both = keyed.join(found, "key", "left").select(
         "rest", words(F.col("text")).alias("words"), "found"
     )
+    both = computed(both)
 
     def starts(x: Column, flags: Column, width: Column, least: Column, most: Column) -> Column:
         def counted(k: Column) -> Column:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.llm.shared import BLANK, blank_split
+from blockloom.llm.shared import BLANK, blank_split, computed
 
 #: Documents of fewer words fail the base rules.
 LEAST_WORDS = 20
@@ -174,7 +174,7 @@ def judge(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
             ),
         }
     )
-    return step.select(
+    judged = step.select(
         F.col("rest.doc_id").alias("doc_id"),
         *(F.col("rest")[c].alias(c) for c in carry),
         "n_words",
@@ -189,3 +189,4 @@ def judge(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         "cleaned_text",
         (~F.col("base_failed") & (F.col("lost") <= MOST_LOST)).alias("kept"),
     )
+    return computed(judged)

@@ -28,6 +28,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def computed(df: DataFrame) -> DataFrame:
+    """``df``, its columns computed once for whatever follows.
+
+    A filter on a column is pushed below the steps that make it and takes their whole
+    expressions along, into lambdas even, where they run for every element. Nothing
+    is pushed through a generated row.
+    """
+    row = F.struct(*df.columns)
+    return df.select(F.explode_outer(F.array(row)).alias("_row")).select("_row.*")
+
+
 def spread_join(many: DataFrame, few: DataFrame, on: list[str], by: str, salts: int = 2) -> DataFrame:
     """Inner join of ``many`` with aggregated rows, ``few``, on the aggregation's keys.
 
