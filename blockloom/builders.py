@@ -44,6 +44,11 @@ def register_builder(chain: str, key: TableKey, block_family: str, builder: Buil
     _ADDED[chain, key] = (block_family, builder)
 
 
+def is_added(chain: str, key: TableKey) -> bool:
+    """Whether the table was added with ``register_builder``."""
+    return (chain, key) in _ADDED
+
+
 def block_family(chain: str, key: TableKey) -> str:
     """Which parsed blocks a table reads."""
     if (chain, key) in _ADDED:

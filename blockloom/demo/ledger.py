@@ -14,8 +14,6 @@ Some members are left unset or hold text that is no number, on purpose.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import wraps
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,40 +26,10 @@ METADATA = ChainMetadata(block_start_height=0, irreversible_distance=100)
 PAYMENT, SETTLEMENT, SURCHARGE = 0, 1, 2
 
 
-def _planned(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """Make a frame once per session and folder.
-
-    A frame is only a plan, but these plans have hundreds of columns, and each
-    takes several calls from Python into the JVM to put together.
-    """
-    made: WeakKeyDictionary[SparkSession, dict[tuple, DataFrame]] = WeakKeyDictionary()
-
-    @wraps(make)
-    def planned(
-        spark: SparkSession, sf_dir: str, members: Iterable[str] | None = None
-    ) -> DataFrame:
-        frames = made.setdefault(spark, {})
-        arguments = (sf_dir,) if members is None else (sf_dir, tuple(members))
-        if arguments not in frames:
-            frames[arguments] = make(spark, *arguments)
-        return frames[arguments]
-
-    return planned
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Small inputs come in fewer splits than there are cores; deal their rows out.
-
-    An input with enough splits, as any large one, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def _struct(members: dict[str, Column]) -> Column:
     return F.struct(*[value.alias(name) for name, value in members.items()])
 
@@ -81,13 +49,13 @@ def _null(dtype: str) -> Column:
 
 
 def _repeat(count: Column, most: int, build: Callable[[Column], Column]) -> Column:
-    """``count`` elements, at most ``most``, built from 0, 1, ...; an empty list for none.
+    """``count`` elements built from 0, 1, ...; an empty list for none.
 
-    Written out element by element: unlike a lambda this is compiled.
+    Written out element by element: unlike a lambda this is compiled. A count above
+    ``most`` fails the job.
     """
-    return F.array_compact(
-        F.array(*[F.when(count > i, build(_long(i))) for i in range(most)])
-    )
+    items = F.array_compact(F.array(*[F.when(count > i, build(_long(i))) for i in range(most)]))
+    return F.when(count > most, F.raise_error(F.lit(f"more than {most} elements"))).otherwise(items)
 
 
 def _seconds(df: DataFrame, column: str) -> Column:
@@ -95,9 +63,8 @@ def _seconds(df: DataFrame, column: str) -> Column:
     return epoch_seconds(F.col(column), ntz=ntz)
 
 
-@_planned
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _spread(table(spark, sf_dir, "orders"))
+    raw = table(spark, sf_dir, "orders")
     status = F.col("o_orderstatus")
     return raw.select(
         F.col("o_orderkey").alias("k"),
@@ -128,9 +95,8 @@ def _posting_count() -> Column:
     return F.when(F.col("status") == "P", _long(0)).otherwise(filled + urgent + 1)
 
 
-@_planned
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _spread(table(spark, sf_dir, "lineitem"))
+    raw = table(spark, sf_dir, "lineitem")
     return raw.select(
         F.col("l_orderkey").alias("k"),
         F.col("l_linenumber").cast("bigint").alias("line"),
@@ -321,7 +287,6 @@ def _evm_uncle(i: Column) -> Column:
     return _struct(header)
 
 
-@_planned
 def evm_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(tag, header, uncles, k, cust, ...): headers of all orders, without transactions."""
     k, cust = F.col("k"), F.col("cust")
@@ -363,7 +328,6 @@ def evm_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_planned
 def evm_blocks(
     spark: SparkSession, sf_dir: str, members: Iterable[str] | None = None
 ) -> DataFrame:
@@ -376,7 +340,6 @@ def evm_blocks(
     )
 
 
-@_planned
 def evm_split_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split layout: (tag, height, hash, header) of all orders."""
     return evm_headers(spark, sf_dir).select(
@@ -384,7 +347,6 @@ def evm_split_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_planned
 def evm_split_transactions(
     spark: SparkSession, sf_dir: str, members: Iterable[str] | None = None
 ) -> DataFrame:
@@ -458,11 +420,11 @@ def _bitcoin_header(transactions: Column) -> Column:
 
 
 def _bitcoin_transaction(
-    name: Column, index: Column, coinbase: Column, amount: Column, owner: Column
+    name: Column, index: Column, mints: Column, amount: Column, owner: Column
 ) -> dict[str, Column]:
-    """A coinbase transaction has one unsigned input; others spend two outputs."""
-    inputs = F.when(coinbase, 1).otherwise(2)
-    outputs = F.when(coinbase, 1).otherwise(index % 2 + 1)
+    """A minting transaction has one unsigned input; others spend two outputs."""
+    inputs = F.when(mints, 1).otherwise(2)
+    outputs = F.when(mints, 1).otherwise(index % 2 + 1)
 
     def spend(i: Column) -> Column:
         script = _struct({"assembly": _text("asm", i), "hex": _text("hex", i)})
@@ -476,15 +438,15 @@ def _bitcoin_transaction(
         )
         return _struct(
             {
-                "coinbase": F.when(coinbase, _text("cb", name)),
-                "transaction_id": F.when(~coinbase, _text("prev-", name)),
-                "from_output_index": F.when(~coinbase, i),
-                "script_signature": F.when(~coinbase, script),
+                "minted": F.when(mints, _text("cb", name)),
+                "transaction_id": F.when(~mints, _text("prev-", name)),
+                "from_output_index": F.when(~mints, i),
+                "script_signature": F.when(~mints, script),
                 "sequence": _long(4294967295) - i,
                 "transaction_input_witnesses": F.when(
                     i == 1, F.array(F.lit("w1"), _text("w", name))
                 ).otherwise(F.array().cast("array<string>")),
-                "from_output": F.when(~coinbase, spent),
+                "from_output": F.when(~mints, spent),
             }
         )
 
@@ -515,21 +477,20 @@ def _bitcoin_transaction(
             "weight": amount % 4000,
             "version": _long(2),
             "lock_time": _long(0),
-            "is_coinbase": coinbase,
+            "mints": mints,
             "index": index,
             "inputs": _repeat(inputs, 2, spend),
             "outputs": _repeat(outputs, 2, pay),
             "input_count": _long(inputs),
             "output_count": _long(outputs),
-            "input_value": F.when(~coinbase, amount * 2 + 1),
+            "input_value": F.when(~mints, amount * 2 + 1),
             "output_value": amount,
-            "fee": F.when(~coinbase, amount % 100),
+            "fee": F.when(~mints, amount % 100),
         }
 
 
-@_planned
 def bitcoin_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested layout: the first posting of an order is its coinbase transaction."""
+    """Nested layout: the first posting of an order is its minting transaction."""
     k = F.col("k")
     return orders(spark, sf_dir).select(
         _long(1).alias("tag"),
@@ -544,7 +505,6 @@ def bitcoin_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_planned
 def bitcoin_split_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders(spark, sf_dir).select(
         _long(1).alias("tag"),
@@ -554,11 +514,10 @@ def bitcoin_split_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_planned
 def bitcoin_split_transactions(
     spark: SparkSession, sf_dir: str, members: Iterable[str] | None = None
 ) -> DataFrame:
-    """Split layout: line 1 of an order is a coinbase transaction."""
+    """Split layout: line 1 of an order is a minting transaction."""
     line = F.col("line")
     rows, tx = _named(lines(spark, sf_dir), {"name": line_hash()})
     transaction = _bitcoin_transaction(
@@ -681,7 +640,6 @@ def order_metadata() -> Column:
     )
 
 
-@_planned
 def rosetta_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     return orders(spark, sf_dir).select(
@@ -702,7 +660,6 @@ def rosetta_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Events ------------------------------------------------------------------
 
 
-@_planned
 def chain_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An error removes the block added before; a sign-up has no type."""
     kind, number = F.col("event_type"), F.col("event_id")

@@ -140,7 +140,7 @@ _BITCOIN_HEADER = """
 _BITCOIN_TX = """
   {name} AS hash, t.cents % 1000 AS size, t.cents % 900 AS virtual_size,
   t.cents % 4000 AS weight, CAST(2 AS BIGINT) AS version, CAST(0 AS BIGINT) AS lock_time,
-  CAST({index} = 0 AS BIGINT) AS is_coinbase, CAST({index} AS BIGINT) AS index,
+  CAST({index} = 0 AS BIGINT) AS mints, CAST({index} AS BIGINT) AS index,
   'b' || o.k AS block_hash, o.k AS block_number, o.ts AS block_timestamp, '' AS chain_work,
   (SELECT count(*) FROM p WHERE p.k = o.k) AS block_transactions,
   CAST(CASE WHEN {index} = 0 THEN 1 ELSE 2 END AS BIGINT) AS inputs,
@@ -151,7 +151,7 @@ _BITCOIN_TX = """
   t.cents AS output_value, CASE WHEN {index} = 0 THEN 0 ELSE t.cents % 100 END AS fee,"""
 
 _INPUTS = """inputs AS (
-  SELECT l.*, CAST(n.i AS BIGINT) AS i, line = 1 AS coinbase FROM l, (VALUES (0), (1)) n(i)
+  SELECT l.*, CAST(n.i AS BIGINT) AS i, line = 1 AS mints FROM l, (VALUES (0), (1)) n(i)
   WHERE n.i = 0 OR line <> 1)"""
 
 _ROSETTA_TX_METADATA = """CASE p.kind
@@ -294,16 +294,16 @@ _ORACLES = {
         coalesce((SELECT string_agg('t' || p.k || '-' || p.kind, ',' ORDER BY p.idx)
           FROM p WHERE p.k = o.k), 'none') AS transactions, {_layout("o.k")} FROM o""",
     "bitcoin_inputs": f"""WITH {_L}, {_INPUTS} SELECT hash, i AS index,
-        CASE WHEN coinbase THEN 'cb' || hash ELSE '' END AS coinbase,
-        CASE WHEN coinbase THEN '' ELSE 'prev-' || hash END AS spent_transaction_hash,
-        CASE WHEN coinbase THEN 0 ELSE i END AS spent_output_index,
-        CASE WHEN coinbase THEN '' ELSE 'asm' || i END AS script_asm,
-        CASE WHEN coinbase THEN '' ELSE 'hex' || i END AS script_hex,
+        CASE WHEN mints THEN 'cb' || hash ELSE '' END AS minted,
+        CASE WHEN mints THEN '' ELSE 'prev-' || hash END AS spent_transaction_hash,
+        CASE WHEN mints THEN 0 ELSE i END AS spent_output_index,
+        CASE WHEN mints THEN '' ELSE 'asm' || i END AS script_asm,
+        CASE WHEN mints THEN '' ELSE 'hex' || i END AS script_hex,
         4294967295 - i AS sequence,
         CAST(CASE WHEN i = 1 THEN 2 ELSE -1 END AS BIGINT) AS transaction_input_witnesses,
-        CASE WHEN coinbase THEN '' ELSE 'pubkeyhash' END AS type,
-        CASE WHEN coinbase THEN '' ELSE 'a' || supp END AS address,
-        CASE WHEN coinbase THEN 0 ELSE cents + i END AS value FROM inputs""",
+        CASE WHEN mints THEN '' ELSE 'pubkeyhash' END AS type,
+        CASE WHEN mints THEN '' ELSE 'a' || supp END AS address,
+        CASE WHEN mints THEN 0 ELSE cents + i END AS value FROM inputs""",
     "bitcoin_input_witnesses": f"""WITH {_L}, {_INPUTS} SELECT hash, i AS input,
         CAST(j AS BIGINT) AS position, CASE j WHEN 0 THEN 'w1' ELSE 'w' || hash END AS witness
         FROM inputs, (VALUES (0), (1)) t(j) WHERE i = 1""",

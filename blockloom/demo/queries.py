@@ -11,9 +11,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blockloom.builders import block_family, build
 from blockloom.demo import ledger
+from blockloom.demo.work import demo_dir
 from blockloom.functions import scalars
 from blockloom.ledger import BatchQuery, Ledger, StreamQuery
 from blockloom.metrics import BLOCKS_PROCESSED, count_blocks
@@ -37,9 +39,9 @@ from blockloom.operators.rosetta import (
 from blockloom.operators.rows import unnest
 from blockloom.plans import ranges
 from blockloom.plans.catalog import list_tables
+from blockloom.schemas.bitcoin import INPUTS
 from blockloom.schemas.inputs import split_transactions
 from blockloom.schemas.tables import PARTITION_BY, RANGE_BY, TableKey
-from blockloom.session import work_dir
 from blockloom.sinks.layout import read_table, write_table
 from blockloom.sources.blocks import parse_blocks, read_blocks, scan_blocks
 from blockloom.sources.events import scan_events, stream_events
@@ -506,6 +508,7 @@ def evm_parsed_json_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flat_bitcoin(transactions: DataFrame) -> DataFrame:
+    [flag] = [f.name for f in transactions.schema if f.dataType == T.BooleanType()]
     return transactions.select(
         "hash",
         "size",
@@ -513,7 +516,7 @@ def _flat_bitcoin(transactions: DataFrame) -> DataFrame:
         "weight",
         "version",
         "lock_time",
-        F.col("is_coinbase").cast("bigint").alias("is_coinbase"),
+        F.col(flag).cast("bigint").alias("mints"),
         "index",
         F.col("block.hash").alias("block_hash"),
         F.col("block.number").alias("block_number"),
@@ -573,7 +576,8 @@ def _bitcoin_lists(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
 @query
 def bitcoin_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = _bitcoin_lists(spark, sf_dir, "inputs")
-    return inputs.withColumn(
+    [minted] = [f.name for f in INPUTS.fields if f.source == "minted"]
+    return inputs.withColumnRenamed(minted, "minted").withColumn(
         "transaction_input_witnesses", _length("transaction_input_witnesses")
     )
 
@@ -852,7 +856,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from Structured Streaming: events land as files, a query catches up
     with them, and its output is read back."""
-    root = work_dir(spark, "stream-run")
+    root = demo_dir(spark, "stream-run")
     ledger.chain_events(spark, sf_dir).repartitionByRange(4, "sequence_num").write.parquet(
         f"{root}/events"
     )
@@ -893,7 +897,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transactions table written by its layout, then its upper half read back."""
-    path = work_dir(spark, "sink") + "/transactions"
+    path = demo_dir(spark, "sink") + "/transactions"
     table = evm_split_transactions(
         ledger.evm_split_transactions(spark, sf_dir, ["hash", "index", "value"]),
         ledger.evm_split_headers(spark, sf_dir),

@@ -209,4 +209,6 @@ def require(failed: Column, message: Column | str) -> Column:
     """
     if isinstance(message, str):
         message = F.lit(message)
+    else:  # built from members that may be unset themselves
+        message = F.coalesce(message, F.lit("a required member is unset"))
     return F.coalesce(F.when(failed, F.raise_error(message).cast("boolean")), F.lit(True))

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import types as T
 
-from blockloom.builders import block_family, build
+from blockloom.builders import block_family, build, is_added
 from blockloom.errors import InvalidArgument, NotFound
+from blockloom.metrics import count_blocks
 from blockloom.plans import ranges
 from blockloom.plans.catalog import list_tables
 from blockloom.schemas.tables import NATIVE, NONE, TableKey, family_of, table_schema, tables_of
-from blockloom.sources.blocks import scan_blocks
+from blockloom.sources.blocks import BlockStore, scan_blocks
 from blockloom.sources.metadata import ChainMetadata
 from blockloom.streaming.streams import streamed_table
 from blockloom.sources.events import scan_events
@@ -55,11 +56,16 @@ class StreamQuery:
 
 @dataclass(frozen=True)
 class Ledger:
-    """``blocks`` maps a family (evm, bitcoin, rosetta) to its parsed blocks."""
+    """``blocks`` maps a family (evm, bitcoin, rosetta) to its parsed blocks.
+
+    A store with a directory per bucket of heights is given as a ``BlockStore``; every
+    query then reads only the directories that it needs. Positions are those of the
+    chain's native blocks or, where there are none, of the only other family.
+    """
 
     chain: str
     network: str
-    blocks: Mapping[str, DataFrame]
+    blocks: Mapping[str, DataFrame | BlockStore]
     events: DataFrame | None = None
     metadata: ChainMetadata = field(default_factory=ChainMetadata)
     u64: str = "long"
@@ -68,7 +74,8 @@ class Ledger:
         return tables_of(self.chain, self.network)
 
     def list_tables(self) -> DataFrame:
-        return list_tables(self._any_blocks().sparkSession, self.chain, self.network)
+        spark = self._any_blocks().sparkSession
+        return list_tables(spark, self.chain, self.network, u64=self.u64)
 
     def schema(self, table: str, format: str = NATIVE, encoding: str = NONE) -> T.StructType:
         return table_schema(self.chain, self._known(TableKey(table, format, encoding)), self.u64)
@@ -86,14 +93,30 @@ class Ledger:
     def stream_earliest(self) -> int:
         return ranges.stream_earliest(self._log())
 
-    def batch(self, query: BatchQuery, **options) -> DataFrame:
-        """Resolve the range of the query and build its table."""
+    def batch(
+        self,
+        query: BatchQuery,
+        *,
+        check: bool = True,
+        seen: Observation | None = None,
+        **options,
+    ) -> DataFrame:
+        """Resolve the range of the query and build its table.
+
+        A range with missing blocks, or blocks that have lost their header, is refused
+        before anything is returned; ``check=False`` takes what there is. ``seen``
+        counts the blocks that are processed, once for the table.
+        """
         key = self._known(query.key)
         if key.streamed:
             raise InvalidArgument(f"not a batch table: {key}")
         span = self._batch_range(query)
         family = block_family(self.chain, key)
+        if check:
+            ranges.require_complete(self._blocks(family), span.start, span.end, family=family)
         blocks = scan_blocks(self._blocks(family), span.start, span.end, family=family)
+        if seen is not None:
+            blocks = count_blocks(blocks, seen)
         return build(
             self.chain,
             key,
@@ -111,8 +134,13 @@ class Ledger:
             query.blocks_per_partition,
         )
 
-    def stream(self, query: StreamQuery, **options) -> DataFrame:
-        """Resolve the range of the query and build its table as a bounded replay."""
+    def stream(
+        self, query: StreamQuery, *, seen: Observation | None = None, **options
+    ) -> DataFrame:
+        """Resolve the range of the query and build its table as a bounded replay.
+
+        ``seen`` counts the events that are processed, once for the table.
+        """
         key = self._known(query.key)
         log = self._log()
         span = ranges.resolve_stream_range(log, query.start_sequence, query.end_sequence)
@@ -123,6 +151,7 @@ class Ledger:
             self._blocks(block_family(self.chain, key)),
             partition_by_size=query.partition_by_size,
             u64=self.u64,
+            seen=seen,
             **options,
         )
 
@@ -139,7 +168,7 @@ class Ledger:
         )
 
     def _known(self, key: TableKey) -> TableKey:
-        if key not in self.tables():
+        if key not in self.tables() and not is_added(self.chain, key):
             raise NotFound(f"no table {key} on {self.chain}-{self.network}")
         return key
 
@@ -148,16 +177,18 @@ class Ledger:
             raise NotFound(f"{self.chain}-{self.network} has no event log")
         return self.events
 
-    def _blocks(self, family: str) -> DataFrame:
+    def _blocks(self, family: str) -> DataFrame | BlockStore:
         if family not in self.blocks:
             raise NotFound(f"{self.chain}-{self.network} has no {family} blocks")
         return self.blocks[family]
 
-    def _native(self) -> tuple[str, DataFrame]:
+    def _native(self) -> tuple[str, DataFrame | BlockStore]:
         family = family_of(self.chain)
         if family in self.blocks:
             return family, self.blocks[family]
+        if len(self.blocks) != 1:
+            raise NotFound(f"{self.chain}-{self.network} has no {family} blocks to count by")
         return next(iter(self.blocks.items()))
 
     def _any_blocks(self) -> DataFrame:
-        return self._native()[1]
+        return BlockStore.of(next(iter(self.blocks.values()))).frame

@@ -7,11 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockloom.errors import NotFound
+from blockloom.errors import InvalidArgument, NotFound
 from blockloom.operators.rows import EVENT
 from blockloom.schemas.inputs import HASH, HEIGHT
+from blockloom.sources.blocks import BlockStore
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Directories that a scan lists by name; the rest of a slice is read as a span.
+MAX_BUCKETS = 2_000
 # Upper bound of what one event row takes beside its texts, with the hash table's own cost.
 _ROW_BYTES = 256
 
@@ -44,11 +47,27 @@ def event_stats(events: DataFrame) -> EventStats:
     return EventStats(row["count"], row["bytes"], row["low"], row["high"])
 
 
-def within_heights(blocks: DataFrame, stats: EventStats, height: str) -> DataFrame:
-    """Only heights that some event names; reaches the Parquet scan."""
+def within_heights(
+    blocks: DataFrame | BlockStore, stats: EventStats, height: str, events: DataFrame
+) -> DataFrame:
+    """Only heights that some event may name; reaches the Parquet scan.
+
+    Of a store with a directory per bucket only the buckets that events name are read,
+    so one event of an old height does not open all directories in between. If they
+    are too many to list, all from the first to the last are read.
+    """
+    store = BlockStore.of(blocks)
     if stats.min_height is None:
-        return blocks.where(F.lit(False))
-    return blocks.where(F.col(height).between(stats.min_height, stats.max_height))
+        return store.frame.where(F.lit(False))
+    frame = store.within(stats.min_height, stats.max_height + 1)
+    if store.bucket_column is not None:
+        number = F.col("block.height")
+        bucket = number - number % store.bucket_size
+        named = events.where(number.isNotNull()).select(bucket.alias("bucket")).distinct()
+        buckets = [row[0] for row in named.limit(MAX_BUCKETS + 1).collect()]
+        if len(buckets) <= MAX_BUCKETS:
+            frame = store.in_buckets(sorted(buckets))
+    return frame.where(F.col(height).between(stats.min_height, stats.max_height))
 
 
 def _event_keys(events: DataFrame) -> DataFrame:
@@ -71,30 +90,38 @@ def _same_block(height: str, block_hash: str) -> Column:
 _KEYS = ("__tag", "__height", "__hash")
 
 
-def _without_block(
-    keys: DataFrame, blocks: DataFrame, stats: EventStats, height: str, block_hash: str
+def _block_counts(
+    events: DataFrame,
+    blocks: DataFrame | BlockStore,
+    stats: EventStats,
+    height: str,
+    block_hash: str,
 ) -> DataFrame:
-    """Event keys that no block has. Reads and moves only the blocks' key columns."""
-    same = _same_block("height", "hash")
-    block_keys = blocks.select(
-        "tag", F.col(height).alias("height"), F.col(block_hash).alias("hash")
-    )
-    if not stats.fits_broadcast:
-        return keys.join(block_keys, same, "left_anti")
-    # An anti join cannot broadcast its left side, so list the events that do
-    # have a block (no more than there are events) and take those away.
-    matched = (
-        block_keys.join(F.broadcast(keys), same, "inner")
-        .select(F.col(f"{EVENT}.sequence_num").alias("__sequence"))
-        .distinct()
+    """Every event with ``__blocks``, how many blocks it names; NULL for none.
+
+    Reads and moves only the blocks' key columns. Blocks are cut to the keys that
+    events name and counted there; whether these keys are broadcast for it changes
+    the plan, not the counts.
+    """
+    keys = _event_keys(events)
+    named = keys.select(*_KEYS).distinct()
+    counts = (
+        within_heights(blocks, stats, height, events)
+        .select("tag", F.col(height).alias("height"), F.col(block_hash).alias("hash"))
+        .join(
+            F.broadcast(named) if stats.fits_broadcast else named,
+            _same_block("height", "hash"),
+            "left_semi",
+        )
+        .groupBy("tag", "height", "hash")
+        .agg(F.count(F.lit(1)).alias("__blocks"))
     )
-    sequence = F.col(f"{EVENT}.sequence_num")
-    return keys.join(matched, sequence == F.col("__sequence"), "left_anti")
+    return keys.join(counts, _same_block("height", "hash"), "left")
 
 
 def missing_blocks(
     events: DataFrame,
-    blocks: DataFrame,
+    blocks: DataFrame | BlockStore,
     *,
     family: str = "evm",
     height: str | None = None,
@@ -102,37 +129,56 @@ def missing_blocks(
     stats: EventStats | None = None,
 ) -> DataFrame:
     """Events whose block is not there: (sequence_num, type, tag, height, hash)."""
-    height = height or HEIGHT[family]
-    stats = stats or event_stats(events)
-    missing = _without_block(
-        _event_keys(events),
-        within_heights(blocks, stats, height),
-        stats,
-        height,
+    counted = _block_counts(
+        events,
+        blocks,
+        stats or event_stats(events),
+        height or HEIGHT[family],
         block_hash or HASH[family],
     )
-    return missing.select(
-        f"{EVENT}.sequence_num",
-        f"{EVENT}.type",
+    return counted.where(F.col("__blocks").isNull()).select(*_reported())
+
+
+def _reported() -> list[Column]:
+    return [
+        F.col(f"{EVENT}.sequence_num"),
+        F.col(f"{EVENT}.type"),
         F.col("__tag").alias("tag"),
         F.col("__height").alias("height"),
         F.col("__hash").alias("hash"),
-    )
+    ]
 
 
-def require_blocks(events: DataFrame, blocks: DataFrame, **where) -> None:
-    """Refuse a slice with an event whose block is missing. Runs a job over the keys."""
-    lost = missing_blocks(events, blocks, **where).first()
-    if lost is not None:
-        raise NotFound(
-            f"failed to get block with (tag={lost['tag']}) (height={lost['height']}) "
-            f"(hash={lost['hash']}) for event {lost['sequence_num']}"
-        )
+def require_blocks(
+    events: DataFrame,
+    blocks: DataFrame | BlockStore,
+    *,
+    height: str,
+    block_hash: str,
+    stats: EventStats | None = None,
+) -> None:
+    """Refuse a slice with an event whose block is missing or stored more than once.
+
+    One job over the keys.
+    """
+    stats = stats or event_stats(events)
+    counted = _block_counts(events, blocks, stats, height, block_hash)
+    wrong = counted.where(F.col("__blocks").isNull() | (F.col("__blocks") > 1))
+    lost = wrong.select(*_reported(), "__blocks").first()
+    if lost is None:
+        return
+    where = (
+        f"tag {lost['tag']}, height {lost['height']}, hash {lost['hash']}; "
+        f"event {lost['sequence_num']}"
+    )
+    if lost["__blocks"] is None:
+        raise NotFound(f"no block for an event: {where}")
+    raise InvalidArgument(f"{lost['__blocks']} stored blocks for one event: {where}")
 
 
 def resolve_events(
     events: DataFrame,
-    blocks: DataFrame,
+    blocks: DataFrame | BlockStore,
     *,
     family: str = "evm",
     height: str | None = None,
@@ -144,7 +190,8 @@ def resolve_events(
     """The blocks' columns and ``event`` (sequence number, type) for every event.
 
     A block serves any number of events. Blocks must be unique by (tag, height,
-    hash), as in a block store. In the split layout ``blocks`` are the keyed
+    hash), as in a block store; one that an event names and that is stored twice is
+    refused with the missing ones. In the split layout ``blocks`` are the keyed
     transactions and ``headers`` tell which blocks exist (a block may have no
     transactions).
 
@@ -167,7 +214,7 @@ def resolve_events(
         require_blocks(events, headers, height="height", block_hash="hash", stats=stats)
     keys = _event_keys(events)
     return (
-        within_heights(blocks, stats, height)
+        within_heights(blocks, stats, height, events)
         .join(
             F.broadcast(keys) if stats.fits_broadcast else keys,
             _same_block(height, block_hash),

@@ -30,7 +30,7 @@ _FAMILY = "evm"
 def _with_receipts(rows: DataFrame, members: Iterable[str] | None) -> DataFrame:
     if members is not None and "receipt" not in members:
         return rows
-    message = F.concat(F.lit("receipt is required (hash="), F.col("transaction.hash"), F.lit(")"))
+    message = F.concat(F.lit("transaction without receipt, hash "), F.coalesce("transaction.hash", F.lit("unset")))
     return rows.where(require(F.col("transaction.receipt").isNull(), message))
 
 

@@ -39,7 +39,7 @@ def rosetta_transactions(
 ) -> DataFrame:
     """One row per transaction, numbered by its place in the block.
 
-    A block without timestamp, and a transaction, operation or related
+    A transaction whose block has no timestamp (if that is asked for), and a transaction, operation or related
     transaction without its identifier, fails the job.
     """
     fields = choose(rosetta.TRANSACTIONS, columns)
@@ -51,8 +51,6 @@ def rosetta_transactions(
             "transaction.related_transactions", "transaction_identifier"
         ),
     }
-    if columns is None:
-        blocks = _require_timestamp(blocks)
     carried = [
         *carried_columns(blocks, _FAMILY),
         F.col("block_identifier"),
@@ -61,6 +59,11 @@ def rosetta_transactions(
     rows = unnest_transactions(
         require_body(blocks, _FAMILY), carried, members, with_position=True
     )
+    if "block_timestamp" in {f.name for f in fields}:
+        # Names the position, so that it is not pushed below the unnesting, where it
+        # would meet blocks without transactions.
+        untimed = F.col("timestamp").isNull() & (F.col("position") >= 0)
+        rows = rows.where(require(untimed, "timestamp is required"))
     for member, failed in checks.items():
         if members is None or member in members:
             rows = rows.where(require(failed, f"identifier is missing in {member}"))

@@ -21,11 +21,12 @@ from pyspark.sql import types as T
 from blockloom.functions.scalars import partition_floor, require
 from blockloom.schemas.inputs import BODY, HEIGHT
 from blockloom.schemas.kinds import Field, u64_type
-from blockloom.schemas.tables import EVENT_FIELDS, PARTITION_BY, RANGE_BY
+from blockloom.schemas.tables import EVENT_FIELDS, PARTITION_BY, PARTITION_SIZE, RANGE_BY
 
 EVENT = "event"
 BLOCK_KEYS = ("tag", "height", "hash")
 _POSITION = "__range_position"
+_PLACE = "__place"
 
 
 def require_body(blocks: DataFrame, family: str) -> DataFrame:
@@ -93,16 +94,18 @@ def unnest(
 ) -> DataFrame:
     """One row per element of a list, with the carried columns; none for an empty list.
 
+    A NULL element is an element with nothing set, whichever of its members are read.
     From a plain ``explode`` Spark derives the filter that the list has elements
     and pushes it down to the scan. Where the list is built by an expression
     that means building it twice, the first time before any pruning. The outer
     form, with the rows of empty lists taken out again, builds it once.
     """
-    if position is None:
-        rows = df.select(*carried, F.explode_outer(items).alias(item))
-    else:
-        rows = df.select(*carried, F.posexplode_outer(items).alias(position, item))
-    return rows.where(F.col(item).isNotNull())
+    place = position or _PLACE
+    rows = df.select(*carried, F.posexplode_outer(items).alias(place, item))
+    # Not "is not null": Spark runs such tests after others that don't use the column,
+    # and the checks of callers would then see the rows of empty lists.
+    rows = rows.where(F.col(place) >= 0)
+    return rows if position else rows.drop(place)
 
 
 def is_streamed(rows: DataFrame) -> bool:
@@ -144,7 +147,9 @@ def project(
     ]
     return rows.select(
         *columns,
-        partition_floor(position, partition_by_size).cast(wanted).alias(PARTITION_BY),
+        partition_floor(position, partition_by_size)
+        .cast(wanted)
+        .alias(PARTITION_BY, metadata={PARTITION_SIZE: partition_by_size}),
         position.alias(RANGE_BY),
     )
 

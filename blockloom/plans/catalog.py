@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -35,11 +36,13 @@ def tables_for(chain: str, network: str) -> list[TableKey]:
     return tables_of(chain, network)
 
 
-def list_tables(spark: SparkSession, chain: str, network: str | None = None) -> DataFrame:
+def list_tables(
+    spark: SparkSession, chain: str, network: str | None = None, *, u64: str = "long"
+) -> DataFrame:
     """One row per table of the chain (and network)."""
     rows = []
     for key in tables_of(chain, network):
-        schema = table_schema(chain, key)
+        schema = table_schema(chain, key, u64)
         rows.append(
             (
                 str(key),
@@ -69,20 +72,28 @@ def view_name(key: TableKey) -> str:
 
 
 def register_tables(
-    spark: SparkSession, root: str, chain: str, network: str | None = None, *, prefix: str = ""
+    spark: SparkSession,
+    root: str,
+    chain: str,
+    network: str | None = None,
+    *,
+    prefix: str = "",
+    u64: str = "long",
 ) -> list[str]:
     """A temporary view over each table written below ``root``; names of the views.
 
-    Schemas are given, so no file is opened to find them out. Tables not written
-    yet are left out.
+    Schemas are given, so no file is opened to find them out; ``u64`` is what the
+    tables were written with. Tables not written yet are left out.
     """
     names = []
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
     for key in tables_of(chain, network):
-        path = jvm_path(table_path(root, key))
-        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        reader = spark.read.schema(table_schema(chain, key, u64))
+        try:
+            df = reader.parquet(table_path(root, key))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
-        df = spark.read.schema(table_schema(chain, key)).parquet(table_path(root, key))
         names.append(prefix + view_name(key))
         df.createOrReplaceTempView(names[-1])
     return names

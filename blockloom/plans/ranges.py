@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from blockloom.errors import InvalidArgument, NotFound
 from blockloom.schemas.inputs import HEIGHT
+from blockloom.sources.blocks import BlockStore
 from blockloom.sources.metadata import ChainMetadata
 
 # Defaults and limit of the slices a range is cut into.
@@ -47,14 +48,14 @@ def tip_frame(blocks: DataFrame, metadata: ChainMetadata, height: str) -> DataFr
 
 
 def tip(
-    blocks: DataFrame,
+    blocks: DataFrame | BlockStore,
     metadata: ChainMetadata,
     *,
     family: str = "evm",
     height: str | None = None,
 ) -> int:
     column = height or HEIGHT[family]
-    latest = blocks.agg(F.max(column)).first()[0]
+    latest = BlockStore.of(blocks).top().agg(F.max(column)).first()[0]
     if latest is None:
         raise NotFound("there is no latest block")
     if latest < metadata.irreversible_distance:
@@ -90,7 +91,7 @@ def stream_earliest(events: DataFrame) -> int:
 
 
 def resolve_batch_range(
-    blocks: DataFrame,
+    blocks: DataFrame | BlockStore,
     metadata: ChainMetadata,
     start: int = 0,
     end: int = 0,
@@ -171,7 +172,12 @@ def plan_stream_slices(spark: SparkSession, span: Range, events_per_slice: int =
 
 
 def missing_heights(
-    blocks: DataFrame, start: int, end: int, *, family: str = "evm", height: str | None = None
+    blocks: DataFrame | BlockStore,
+    start: int,
+    end: int,
+    *,
+    family: str = "evm",
+    height: str | None = None,
 ) -> DataFrame:
     """Heights of ``[start, end)`` without a block, as ``height``.
 
@@ -179,19 +185,38 @@ def missing_heights(
     many rows is folded where it is read.
     """
     number = F.col(height or HEIGHT[family])
+    store = BlockStore.of(blocks)
     present = (
-        blocks.where((number >= start) & (number < end))
+        store.within(start, end)
+        .where((number >= start) & (number < end))
         .select(number.cast("bigint").alias("__height"))
         .distinct()
     )
-    wanted = blocks.sparkSession.range(start, end).withColumnRenamed("id", "height")
+    wanted = store.frame.sparkSession.range(start, end).withColumnRenamed("id", "height")
     return wanted.join(present, F.col("height") == F.col("__height"), "left_anti")
 
 
 def require_complete(
-    blocks: DataFrame, start: int, end: int, *, family: str = "evm", height: str | None = None
+    blocks: DataFrame | BlockStore, start: int, end: int, *, family: str = "evm", height: str | None = None
 ) -> None:
-    """Refuse a range with gaps. Runs a job over the heights alone."""
+    """Refuse a range with gaps, or with blocks that have lost their header.
+
+    Runs over the heights alone. A block without header has no height, so it could lie
+    in any range: it is refused in every one that reads its directory.
+    """
+    number = F.col(height or HEIGHT[family])
+    store = BlockStore.of(blocks)
+    inside = (number >= start) & (number < end)
+    lost, found = (
+        store.within(start, end)
+        .where(inside | number.isNull())
+        .agg(F.count(F.when(number.isNull(), 1)), F.countDistinct(number))
+        .first()
+    )
+    if lost:
+        raise InvalidArgument(f"{lost} blocks have no height: their header is missing")
+    if found == end - start:
+        return
     gaps = missing_heights(blocks, start, end, family=family, height=height)
     first = gaps.agg(F.min("height"), F.count("height")).first()
     if first[0] is not None:

@@ -42,7 +42,7 @@ BLOCK = Struct(_header(""))
 INPUTS = IndexedListOf(
     Field("index", U64, "", "Position of the input, from 0"),
     (
-        Field("coinbase", TEXT, "coinbase", "Data of a coinbase input"),
+        Field("coinbase", TEXT, "minted", "Data of an input that creates coins"),
         Field("spent_transaction_hash", TEXT, "transaction_id", "Transaction being spent"),
         Field("spent_output_index", U64, "from_output_index", "Output of it being spent"),
         Field("script_asm", TEXT, "script_signature.assembly", "Script, in words"),
@@ -79,7 +79,7 @@ TRANSACTIONS = (
     Field("weight", U64, "transaction.weight", "Weight by BIP 141"),
     Field("version", U64, "transaction.version", "Transaction version"),
     Field("lock_time", U64, "transaction.lock_time", "Earliest height or time"),
-    Field("is_coinbase", FLAG, "transaction.is_coinbase", "Whether it creates coins"),
+    Field("is_coinbase", FLAG, "transaction.mints", "Whether it creates coins"),
     Field("index", U64, "transaction.index", "Position in the block, from 0"),
     Field("block", Prebuilt(BLOCK), "block", "Block of the transaction"),
     Field("inputs", INPUTS, "transaction.inputs", "Inputs"),

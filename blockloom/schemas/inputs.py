@@ -1,7 +1,8 @@
 """Schemas of what is read: parsed blocks of each family, and chain events.
 
-Unsigned 64-bit values are BIGINT here; DECIMAL(20,0) columns are read as well
-when the builders run with ``u64="decimal"``.
+Unsigned 64-bit values are BIGINT here, which can't hold the upper half of them;
+``block_schema`` gives the same schemas with DECIMAL(20,0), for builders that run with
+``u64="decimal"``.
 """
 
 from __future__ import annotations
@@ -159,11 +160,11 @@ BITCOIN_TRANSACTION = _struct(
         "weight": LONG,
         "version": LONG,
         "lock_time": LONG,
-        "is_coinbase": FLAG,
+        "mints": FLAG,
         "index": LONG,
         "inputs": _list(
             {
-                "coinbase": TEXT,
+                "minted": TEXT,
                 "transaction_id": TEXT,
                 "from_output_index": LONG,
                 "script_signature": _struct({"assembly": TEXT, "hex": TEXT}),
@@ -250,6 +251,27 @@ EVENTS = _struct(
 
 BLOCKS = {"evm": EVM_BLOCKS, "bitcoin": BITCOIN_BLOCKS, "rosetta": ROSETTA_BLOCKS}
 
+
+def _unsigned(dtype: T.DataType) -> T.DataType:
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _unsigned(f.dataType), True) for f in dtype])
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_unsigned(dtype.elementType))
+    return T.DecimalType(20, 0) if isinstance(dtype, T.LongType) else dtype
+
+
+def block_schema(family: str, u64: str = "long") -> T.StructType:
+    """Schema of parsed blocks; with ``u64="decimal"`` unsigned values are read exactly."""
+    schema = BLOCKS[family]
+    if u64 == "long":
+        return schema
+    if u64 != "decimal":
+        raise ValueError(f"u64 must be long or decimal: {u64}")
+    return T.StructType(
+        [f if f.name == "tag" else T.StructField(f.name, _unsigned(f.dataType)) for f in schema]
+    )
+
+
 # Where each family keeps the number and the hash of a block.
 HEIGHT = {
     "evm": "header.number",

@@ -16,6 +16,8 @@ NONE, RAW = "none", "raw"
 
 PARTITION_BY = "_partition_by"
 RANGE_BY = "_repartition_by_range"
+# Metadata of the column PARTITION_BY: the size its values are rounded down to.
+PARTITION_SIZE = "partition_by_size"
 SEQUENCE_NUMBER = "_sequence_number"
 
 # The family of each chain and the formats enabled on its networks.

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,12 +33,10 @@ def local_session(cores: int | str = "*", app: str = "blockloom", **settings) ->
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one that all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where
-    one machine runs everything, may do without.
+    The cluster names it in ``spark.checkpoint.dir``; a folder given to
+    ``setCheckpointDir`` serves as well. Without either there is none.
     """
-    shared = spark.conf.get(CHECKPOINT_DIR, None)
+    shared = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        return tempfile.mkdtemp(prefix=f"{purpose}-")
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

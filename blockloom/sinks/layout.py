@@ -1,48 +1,91 @@
 """Partitioned Parquet by the two layout columns that every table carries.
 
-Rows with one ``_partition_by`` share a directory; within the table they are
-range-partitioned and sorted by ``_repartition_by_range``.
+Rows with one ``_partition_by`` share a directory; within their files they are sorted
+by ``_repartition_by_range``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blockloom.errors import InvalidArgument
-from blockloom.schemas.tables import PARTITION_BY, RANGE_BY, SEQUENCE_NUMBER
+from blockloom.schemas.tables import PARTITION_BY, PARTITION_SIZE, RANGE_BY, SEQUENCE_NUMBER
 from blockloom.sources.blocks import prune_partitions
 
 # What tells rows of one height or sequence apart: the first that a table has.
 _TIE_BREAKERS = ("transaction_index", "index", "transaction_hash", "hash")
 ROWS_PER_FILE = 5_000_000
+# Tasks that one directory is dealt out to, at most.
+SPREAD = 16
+SIZE_NOTE = "_partition_by_size"
 
 
-def tie_breakers(df: DataFrame) -> list[str]:
+def tie_breakers(df: DataFrame) -> list[str | Column]:
+    """What tells rows of one height or sequence apart; without such a column, a hash
+    of the whole row."""
     present = [name for name in _TIE_BREAKERS if name in df.columns]
-    return present[:1]
+    return list(present[:1]) or [F.xxhash64(*df.columns)]
+
+
+def partition_size(df: DataFrame) -> int:
+    """The partition size that a table was built with; 0 if it isn't known."""
+    return df.schema[PARTITION_BY].metadata.get(PARTITION_SIZE, 0)
 
 
 def arrange(
-    df: DataFrame, partitions: int | None = None, order: Sequence[str] | None = None
+    df: DataFrame, partitions: int | None = None, order: Sequence[str | Column] | None = None
 ) -> DataFrame:
-    """Range-partition and sort for the sink.
-
-    The tie-breaking column is part of the range key: a block that holds a large
-    share of all rows is then cut into several partitions, where the height
-    alone would send it to one task. Without a number Spark uses the session's
-    and merges small partitions at run time.
+    """Deal the rows out and sort them for the sink.
+
+    A table with a partition size is dealt out by directory and, inside it, by the
+    hash of height and tie-breaker: nothing has to be sampled, so what makes the rows
+    runs once, and a block that holds a large share of all rows is spread over
+    ``SPREAD`` tasks. Other tables, and those with a wanted number of partitions, are
+    partitioned by range, for which Spark samples the rows first. Without a number
+    Spark uses the session's and merges small partitions at run time.
     """
     keys = [RANGE_BY, *(tie_breakers(df) if order is None else order)]
-    ranged = (
-        df.repartitionByRange(*keys)
-        if partitions is None
-        else df.repartitionByRange(partitions, *keys)
-    )
-    return ranged.sortWithinPartitions(PARTITION_BY, *keys)
+    if partitions is None and partition_size(df) > 0:
+        part = F.pmod(F.xxhash64(*keys), F.lit(SPREAD))
+        dealt = df.repartition(F.col(PARTITION_BY), part)
+    elif partitions is None:
+        dealt = df.repartitionByRange(*keys)
+    else:
+        dealt = df.repartitionByRange(partitions, *keys)
+    return dealt.sortWithinPartitions(PARTITION_BY, *keys)
+
+
+def _note(spark: SparkSession, path: str, name: str) -> str | None:
+    """The text that a table's folder keeps under a name hidden from scans."""
+    try:
+        rows = spark.read.text(f"{path.rstrip('/')}/{name}").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows[0][0] if rows else None
+
+
+def note(spark: SparkSession, path: str, name: str, wanted: str) -> str:
+    """Keep ``wanted`` under a name if nothing is kept there yet; what is kept."""
+    kept = _note(spark, path, name)
+    if kept is None:
+        frame = spark.createDataFrame([(wanted,)], "value STRING").coalesce(1)
+        frame.write.mode("overwrite").text(f"{path.rstrip('/')}/{name}")
+        return wanted
+    return kept
+
+
+def keep_size(spark: SparkSession, path: str, size: int) -> None:
+    """Store a table's partition size with it; refuse one that disagrees."""
+    kept = int(note(spark, path, SIZE_NOTE, str(size)))
+    if kept != size:
+        raise InvalidArgument(f"{path} is partitioned by {kept}, not by {size}")
 
 
 def write_table(
@@ -55,12 +98,16 @@ def write_table(
     rows_per_file: int = ROWS_PER_FILE,
     shuffle: bool = True,
 ) -> None:
-    """Write a table by its layout columns.
+    """Write a table by its layout columns, its partition size beside it.
 
     ``shuffle=False`` keeps the rows where they are, for blocks that already lie
     in height order; the rows are then only sorted within their tasks, so that a
-    task holds one file open at a time.
+    task holds one file open at a time. Rows are appended only to a table of the
+    same partition size.
     """
+    spark = df.sparkSession
+    if mode == "append":
+        keep_size(spark, path, partition_size(df))
     if shuffle:
         arranged = arrange(df, partitions)
     else:
@@ -72,6 +119,7 @@ def write_table(
         .partitionBy(PARTITION_BY)
         .parquet(path)
     )
+    keep_size(spark, path, partition_size(df))
 
 
 def read_table(
@@ -81,13 +129,17 @@ def read_table(
     *,
     start: int | None = None,
     end: int | None = None,
-    partition_by_size: int = 0,
+    partition_by_size: int | None = None,
 ) -> DataFrame:
     """A written table, optionally only ``[start, end)`` of heights or sequences.
 
-    With the partition size it was written with, directories outside the range
-    are not even listed into the scan.
+    Directories outside the range are not even listed into the scan, by the partition
+    size that is stored with the table. A size that disagrees with it is refused; a
+    table without a stored one is read by the rows' own position alone.
     """
+    kept = _note(spark, path, SIZE_NOTE)
+    if kept is not None and partition_by_size not in (None, int(kept)):
+        raise InvalidArgument(f"{path} is partitioned by {kept}, not by {partition_by_size}")
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(path)
     if start is None and end is None:
@@ -96,9 +148,9 @@ def read_table(
         raise InvalidArgument(f"range must satisfy 0 <= start < end: {start}, {end}")
     position: Column = F.col(RANGE_BY)
     in_range = df.where((position >= start) & (position < end))
-    return prune_partitions(in_range, PARTITION_BY, partition_by_size, start, end)
+    return prune_partitions(in_range, PARTITION_BY, int(kept or 0), start, end)
 
 
-def event_order(df: DataFrame) -> list[str]:
+def event_order(df: DataFrame) -> list[str | Column]:
     """Columns that put streamed rows into the order of the event log."""
     return [SEQUENCE_NUMBER, *tie_breakers(df)]

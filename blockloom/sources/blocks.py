@@ -2,26 +2,82 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blockloom.errors import InvalidArgument
-from blockloom.schemas.inputs import BLOCKS, HEIGHT
+from blockloom.schemas.inputs import HEIGHT, block_schema
+
+
+@dataclass(frozen=True)
+class BlockStore:
+    """Blocks and, where they lie in a directory per bucket of heights, that layout.
+
+    ``bucket_column`` is the height rounded down to ``bucket_size``.
+    """
+
+    frame: DataFrame
+    bucket_column: str | None = None
+    bucket_size: int = 0
+
+    def __post_init__(self) -> None:
+        if (self.bucket_column is None) != (self.bucket_size <= 0):
+            raise InvalidArgument("name the bucket column and its size, or neither")
+
+    @staticmethod
+    def of(blocks: DataFrame | BlockStore) -> BlockStore:
+        return blocks if isinstance(blocks, BlockStore) else BlockStore(blocks)
+
+    def within(self, start: int, end: int) -> DataFrame:
+        """The directories that may hold heights of ``[start, end)``."""
+        if self.bucket_column is None:
+            return self.frame
+        return prune_partitions(self.frame, self.bucket_column, self.bucket_size, start, end)
+
+    def in_buckets(self, buckets: list[int]) -> DataFrame:
+        """The named directories alone."""
+        if self.bucket_column is None:
+            return self.frame
+        return self.frame.where(F.col(self.bucket_column).isin(buckets))
+
+    def top(self) -> DataFrame:
+        """The directory of the greatest heights; found from directory names."""
+        if self.bucket_column is None:
+            return self.frame
+        last = self.frame.agg(F.max(self.bucket_column)).first()[0]
+        return self.frame.where(F.col(self.bucket_column) == F.lit(last))
 
 
 def read_blocks(
-    spark: SparkSession, path: str, family: str = "evm", format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    family: str = "evm",
+    format: str = "parquet",
+    u64: str = "long",
+    bucket_column: str | None = None,
 ) -> DataFrame:
-    """Blocks as nested rows, one per block. The schema is given, never inferred."""
-    reader = spark.read.schema(BLOCKS[family])
+    """Blocks as nested rows, one per block. The schema is given, never inferred.
+
+    ``u64="decimal"`` reads unsigned 64-bit values past 2^63-1, as Parquet's UINT_64.
+    A store with a directory per height bucket names that column.
+    """
+    schema = block_schema(family, u64)
+    if bucket_column is not None:
+        schema = T.StructType([*schema.fields, T.StructField(bucket_column, T.LongType())])
+    reader = spark.read.schema(schema)
     if format == "json":
         reader = reader.option("mode", "FAILFAST")
     return reader.format(format).load(path)
 
 
-def parse_blocks(texts: DataFrame, column: str = "value", family: str = "evm") -> DataFrame:
+def parse_blocks(
+    texts: DataFrame, column: str = "value", family: str = "evm", u64: str = "long"
+) -> DataFrame:
     """Blocks from JSON text, one block per row; malformed text fails the job."""
-    parsed = F.from_json(F.col(column), BLOCKS[family], {"mode": "FAILFAST"})
+    parsed = F.from_json(F.col(column), block_schema(family, u64), {"mode": "FAILFAST"})
     return texts.select(parsed.alias("block")).select("block.*")
 
 
@@ -36,7 +92,7 @@ def prune_partitions(
 
 
 def scan_blocks(
-    blocks: DataFrame,
+    blocks: DataFrame | BlockStore,
     start: int,
     end: int,
     *,
@@ -48,11 +104,12 @@ def scan_blocks(
     """Blocks with a height in ``[start, end)``; the range is taken strictly as given.
 
     The filter reaches the Parquet scan. Where the store has a directory per
-    height bucket, name its column and size to skip whole directories.
+    height bucket, name its column and size, or give a ``BlockStore``, to skip
+    whole directories.
     """
     if start < 0 or end <= start:
         raise InvalidArgument(f"heights must satisfy 0 <= start < end: {start}, {end}")
     if bucket_column is not None:
-        blocks = prune_partitions(blocks, bucket_column, bucket_size, start, end)
+        blocks = BlockStore(blocks, bucket_column, bucket_size)
     number = F.col(height or HEIGHT[family])
-    return blocks.where((number >= start) & (number < end))
+    return BlockStore.of(blocks).within(start, end).where((number >= start) & (number < end))

@@ -7,28 +7,33 @@ see blocks that land later. Blocks must land before the events that name them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from blockloom.builders import block_family, build
 from blockloom.errors import InvalidArgument
 from blockloom.metrics import count_blocks
-from blockloom.operators.events import resolve_events
+from blockloom.operators.events import event_stats, require_blocks, resolve_events
 from blockloom.plans.ranges import (
     EARLIEST,
     LATEST,
+    event_bounds,
     event_position,
-    plan_stream_slices,
     resolve_stream_range,
 )
+from blockloom.schemas.inputs import HASH, HEIGHT
 from blockloom.schemas.tables import PARTITION_BY, TableKey
-from blockloom.sinks.layout import ROWS_PER_FILE, event_order, write_table
+from blockloom.sinks.layout import ROWS_PER_FILE, arrange, event_order, keep_size, note
+from blockloom.sources.blocks import BlockStore
 from blockloom.sources.events import scan_events
 
-BATCH_ID = "batch_id"
-SLICE = "slice"
+RUN, BATCH_ID, SLICE = "run", "batch_id", "slice"
+RUN_NOTE, SLICE_NOTE = "blockloom_run", "_events_per_slice"
 EVENTS_PER_BACKFILL = 100_000
 
 
@@ -42,12 +47,25 @@ def start_position(events: DataFrame, position: str | int) -> int:
 
 
 def streamed_table(
-    chain: str, key: TableKey, events: DataFrame, blocks: DataFrame, **options
+    chain: str,
+    key: TableKey,
+    events: DataFrame,
+    blocks: DataFrame | BlockStore,
+    *,
+    seen: Observation | None = None,
+    **options,
 ) -> DataFrame:
-    """A streamed table from a bounded slice of events."""
+    """A streamed table from a bounded slice of events; ``seen`` counts them."""
     if not key.streamed:
         raise InvalidArgument(f"not a streamed table: {key}")
-    resolved = resolve_events(events, blocks, family=block_family(chain, key))
+    family = block_family(chain, key)
+    stats = event_stats(events)
+    if seen is not None:
+        require_blocks(
+            events, blocks, height=HEIGHT[family], block_hash=HASH[family], stats=stats
+        )
+        events = count_blocks(events, seen)
+    resolved = resolve_events(events, blocks, family=family, stats=stats, check=seen is None)
     return build(chain, key, resolved, **options)
 
 
@@ -55,7 +73,7 @@ def replay(
     chain: str,
     key: TableKey,
     events: DataFrame,
-    blocks: DataFrame,
+    blocks: DataFrame | BlockStore,
     start: int = 0,
     end: int = 0,
     **options,
@@ -71,73 +89,125 @@ def backfill(
     chain: str,
     key: TableKey,
     events: DataFrame,
-    blocks: DataFrame,
+    blocks: DataFrame | BlockStore,
     path: str,
     start: int = 0,
     end: int = 0,
     *,
     events_per_slice: int = EVENTS_PER_BACKFILL,
+    at_once: int = 4,
+    partition_by_size: int = 0,
     **options,
 ) -> None:
-    """Write a long replay slice by slice, each to its own ``slice=<start>`` directory.
+    """Write a long replay slice by slice, ``at_once`` of them at a time.
 
     The events of one slice are few enough to be broadcast and their heights lie
     close together, so each slice reads its own part of the blocks and shuffles
     only what it writes; one replay of the whole log would shuffle all blocks to
-    join them. A slice that is written again replaces itself.
+    join them.
+
+    Slices begin at multiples of their size, each in its own ``slice=<start>``
+    directory, and are always written whole, as far as the log goes, also where the
+    range begins or ends inside one. So a slice that is written again, by whatever
+    range, replaces itself and nothing else. The sizes are stored with the table;
+    others are refused.
     """
+    if events_per_slice <= 0:
+        raise InvalidArgument(f"slices must have events: {events_per_slice}")
+    spark, path = events.sparkSession, path.rstrip("/")
+    first, last = event_bounds(events)
     span = resolve_stream_range(events, start, end)
-    slices = plan_stream_slices(events.sparkSession, span, events_per_slice)
-    for part in slices.sort("slice_start").toLocalIterator():
-        log = scan_events(events, part["slice_start"], part["slice_end"])
-        write_table(
-            streamed_table(chain, key, log, blocks, **options),
-            f"{path.rstrip('/')}/{SLICE}={part['slice_start']}",
-            mode="overwrite",
+    kept = int(note(spark, path, SLICE_NOTE, str(events_per_slice)))
+    if kept != events_per_slice:
+        raise InvalidArgument(f"{path} has slices of {kept} events, not of {events_per_slice}")
+    keep_size(spark, path, partition_by_size)
+
+    def write(begin: int) -> None:
+        low, high = max(begin, first), min(begin + events_per_slice, last + 1)
+        table = streamed_table(
+            chain,
+            key,
+            scan_events(events, low, high),
+            blocks,
+            partition_by_size=partition_by_size,
+            **options,
         )
+        _write_part(table, f"{path}/{SLICE}={begin}")
+
+    starts = iter(range(span.start - span.start % events_per_slice, span.end, events_per_slice))
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {pool.submit(write, begin) for begin in islice(starts, at_once)}
+        while running:
+            done, running = wait(running, return_when=FIRST_COMPLETED)
+            for future in done:
+                future.result()
+            running |= {pool.submit(write, begin) for begin in islice(starts, len(done))}
+
+
+def _write_part(
+    table: DataFrame,
+    path: str,
+    partitions: int | None = None,
+    compression: str = "zstd",
+    shuffle: bool = True,
+) -> None:
+    """Write a part of a streamed table over whatever its directory holds."""
+    order = event_order(table)
+    if shuffle:
+        arranged = arrange(table, partitions, order)
+    else:
+        arranged = table.sortWithinPartitions(PARTITION_BY, *order)
+    (
+        arranged.write.mode("overwrite")
+        .option("compression", compression)
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .partitionBy(PARTITION_BY)
+        .parquet(path)
+    )
 
 
 def stream_table(
     chain: str,
     key: TableKey,
     events: DataFrame,
-    read_blocks: Callable[[SparkSession], DataFrame],
+    read_blocks: Callable[[SparkSession], DataFrame | BlockStore],
     path: str,
     checkpoint: str,
     *,
     partitions: int | None = None,
     compression: str = "zstd",
+    shuffle: bool = True,
+    partition_by_size: int = 0,
     **options,
 ) -> DataStreamWriter:
     """A writer, ready to be given a trigger and started.
 
     ``read_blocks`` is called for every micro-batch and must list the store anew.
-    Each micro-batch owns the directory ``batch_id=<id>`` and overwrites it, so a
-    batch that Spark repeats after a failure leaves no double rows. ``path`` and
-    ``checkpoint`` belong together: a new checkpoint counts batches from 0 again.
+    Each micro-batch owns a directory ``run=<run>/batch_id=<id>`` and overwrites it, so
+    a batch that Spark repeats after a failure leaves no double rows. The run is a name
+    kept in the checkpoint: a new checkpoint, which counts batches from 0 again, writes
+    beside what others have written, never over it.
+    ``shuffle=False`` writes the rows where the join leaves them.
     The query's progress has the number of events as ``blocks_processed``.
     """
+    spark, path = events.sparkSession, path.rstrip("/")
+    keep_size(spark, path, partition_by_size)
+    run = note(spark, checkpoint, RUN_NOTE, f"r{uuid.uuid4().hex}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Measured, checked and joined: read the few columns of the events once.
         batch = batch.persist()
         try:
-            blocks = read_blocks(batch.sparkSession)
-            table = streamed_table(chain, key, batch, blocks, **options)
-            order = event_order(table)
-            arranged = (
-                table.repartitionByRange(*order)
-                if partitions is None
-                else table.repartitionByRange(partitions, *order)
-            )
-            (
-                arranged.sortWithinPartitions(PARTITION_BY, *order)
-                .write.mode("overwrite")
-                .option("compression", compression)
-                .option("maxRecordsPerFile", ROWS_PER_FILE)
-                .partitionBy(PARTITION_BY)
-                .parquet(f"{path.rstrip('/')}/{BATCH_ID}={batch_id}")
+            table = streamed_table(
+                chain,
+                key,
+                batch,
+                read_blocks(batch.sparkSession),
+                partition_by_size=partition_by_size,
+                **options,
             )
+            part = f"{path}/{RUN}={run}/{BATCH_ID}={batch_id}"
+            _write_part(table, part, partitions, compression, shuffle)
         finally:
             batch.unpersist()
 

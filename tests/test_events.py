@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from blockloom import NotFound
+from blockloom import InvalidArgument, NotFound
 from blockloom.operators.events import event_stats, missing_blocks, resolve_events
 from blockloom.operators.evm import (
     evm_blocks,
@@ -15,6 +15,7 @@ from blockloom.operators.evm import (
     evm_transactions,
 )
 from blockloom.operators.rosetta import rosetta_raw_transactions
+from blockloom.sources.blocks import BlockStore, read_blocks
 from tests.fixtures import blocks, events, evm_block, evm_transaction, rosetta_block
 
 ADDED, REMOVED = "BLOCK_ADDED", "BLOCK_REMOVED"
@@ -88,7 +89,7 @@ def test_streamed_transactions_respect_the_tag(spark, chain, stats_of):
 )
 def test_a_missing_block_is_refused(spark, chain, stats_of, bad):
     log = events(spark, [*LOG, bad])
-    with pytest.raises(NotFound, match=r"failed to get block.*for event 20"):
+    with pytest.raises(NotFound, match=r"no block for an event.*event 20"):
         resolve_events(log, chain, stats=stats_of(log))
     rest = resolve_events(log, chain, stats=stats_of(log), check=False)
     assert rest.count() == len(LOG)
@@ -100,6 +101,40 @@ def test_missing_blocks_are_listed(spark, chain, stats_of):
     assert [tuple(r) for r in missing.collect()] == [(20, None, 1, 99, "b99")]
 
 
+def test_repeated_and_lost_sequences_do_not_hide_a_missing_block(spark, chain, stats_of):
+    log = events(
+        spark,
+        [(1, ADDED, 1, 3, "b3"), (1, ADDED, 1, 77, "b77"), (None, ADDED, 1, 4, "b4"), (2, ADDED, 1, None, "b1")],
+    )
+    missing = missing_blocks(log, chain, stats=stats_of(log))
+    assert sorted(map(str, map(tuple, missing.collect()))) == sorted(
+        map(str, [(1, ADDED, 1, 77, "b77"), (2, ADDED, 1, None, "b1")])
+    )
+    good = log.where("block.hash in ('b3', 'b4')")
+    assert resolve_events(good, chain, stats=stats_of(good)).count() == 2
+
+
+def test_a_block_stored_twice_is_refused(spark, chain, stats_of):
+    log, twice = events(spark, LOG), chain.union(chain.where("header.number = 3"))
+    with pytest.raises(InvalidArgument, match="2 stored blocks.*hash b3"):
+        resolve_events(log, twice, stats=stats_of(log))
+    rest = events(spark, LOG[:4])
+    assert resolve_events(rest, twice, stats=stats_of(rest)).count() == 4
+
+
+def test_only_the_directories_that_events_name_are_read(spark, chain, tmp_path):
+    path = str(tmp_path / "blocks")
+    rows = blocks(spark, [evm_block(n) for n in range(100)])
+    rows.withColumn("bucket", F.expr("header.number div 10 * 10")).write.partitionBy("bucket").parquet(path)
+    store = BlockStore(read_blocks(spark, path, bucket_column="bucket"), "bucket", 10)
+    log = events(spark, [(1, ADDED, 1, 3, "b3"), (2, ADDED, 1, 95, "b95")])
+    resolved = resolve_events(log, store)
+    assert resolved.count() == 2
+    plan = resolved._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "bucket" in filters and "IN (0,90)" in filters
+
+
 def test_no_events_no_rows(spark, chain):
     log = events(spark, LOG).limit(0)
     assert resolve_events(log, chain).count() == 0
@@ -118,7 +153,7 @@ def test_split_layout(spark, chain, stats_of):
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     bad = events(spark, [(20, ADDED, 1, 99, "b99")])
-    with pytest.raises(NotFound, match="failed to get block"):
+    with pytest.raises(NotFound, match="no block for an event"):
         resolve_events(
             bad, split, height="height", block_hash="hash", headers=headers, stats=stats_of(bad)
         )
