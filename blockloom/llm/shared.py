@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.session import work_dir
+from blockloom.session import CHECKPOINT_DIR, work_dir
 
 #: White space between words, as a class of a Java pattern: \x20 and \x09-\x0D.
 BLANK = r"[\x20\x09-\x0D]"
@@ -16,6 +17,18 @@ BLANK = r"[\x20\x09-\x0D]"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the one that all executors share, see ``work_dir``.
+
+    Only a local session, where one machine runs everything, gets one if it has none.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not named and context.master.startswith("local"):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return work_dir(spark, purpose)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage.
 
@@ -24,7 +37,7 @@ def settle(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(work_dir(df.sparkSession, "checkpoints"))
+        context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoints"))
     return df.checkpoint()
 
 
