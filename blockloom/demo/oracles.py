@@ -395,7 +395,11 @@ _ORACLES = {
         {_layout("e.seq")} FROM e JOIN o ON o.k = e.height""",
     "stream_replay": _STREAMED_VALUES,
     "stream_run": _STREAMED_VALUES,
-    "sink_round_trip": f"""WITH {_L}, t AS (SELECT max(o_orderkey) - 99 AS z FROM orders)
+    "stream_restart": _STREAMED_VALUES,
+    "stream_backfill": _STREAMED_VALUES,
+    "sink_round_trip": f"""WITH {_L} SELECT hash AS transaction_hash,
+        line - 1 AS transaction_index, {_decimal("amount")} AS value, {_layout("k")} FROM l""",
+    "sink_range": f"""WITH {_L}, t AS (SELECT max(o_orderkey) - 99 AS z FROM orders)
         SELECT hash AS transaction_hash, line - 1 AS transaction_index,
           {_decimal("amount")} AS value, {_layout("k")}
         FROM l, t WHERE k >= z // 2 AND k < z""",
@@ -422,5 +426,8 @@ _ORACLES = {
 }
 
 
+_ORACLES["missing_event_blocks_shuffled"] = _ORACLES["missing_event_blocks"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_ORACLES)

@@ -7,6 +7,7 @@ results can be compared with SQL value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,7 +25,7 @@ from blockloom.operators.bitcoin import (
     bitcoin_split_transactions,
     bitcoin_transactions,
 )
-from blockloom.operators.events import event_stats, missing_blocks, resolve_events
+from blockloom.operators.events import BROADCAST_BYTES, event_stats, missing_blocks, resolve_events
 from blockloom.operators.evm import (
     evm_blocks,
     evm_raw_transactions,
@@ -45,7 +46,7 @@ from blockloom.schemas.tables import PARTITION_BY, RANGE_BY, TableKey
 from blockloom.sinks.layout import read_table, write_table
 from blockloom.sources.blocks import parse_blocks, read_blocks, scan_blocks
 from blockloom.sources.events import scan_events, stream_events
-from blockloom.streaming.streams import replay, stream_table
+from blockloom.streaming.streams import backfill, replay, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 PARTITION_SIZE = 1000
@@ -129,7 +130,8 @@ def _sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranges.tip_frame(_heights(spark, sf_dir), ledger.METADATA, "height")
+    found = ranges.tip(_heights(spark, sf_dir), ledger.METADATA, height="height")
+    return spark.createDataFrame([(found,)], "tip_height BIGINT")
 
 
 @query
@@ -144,12 +146,14 @@ def earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_tip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sequences(spark, sf_dir).agg(F.max("sequence_num").alias("stream_tip"))
+    found = ranges.stream_tip(_sequences(spark, sf_dir))
+    return spark.createDataFrame([(found,)], "stream_tip BIGINT")
 
 
 @query
 def stream_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _sequences(spark, sf_dir).agg(F.min("sequence_num").alias("stream_earliest"))
+    found = ranges.stream_earliest(_sequences(spark, sf_dir))
+    return spark.createDataFrame([(found,)], "stream_earliest BIGINT")
 
 
 @query
@@ -691,6 +695,16 @@ def missing_event_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing.withColumn("type", F.coalesce("type", F.lit("UNKNOWN")))
 
 
+@query
+def missing_event_blocks_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the plan for events that are too many to be broadcast."""
+    landed = ledger.evm_headers(spark, sf_dir).where(F.col("status") == "F")
+    events = ledger.chain_events(spark, sf_dir)
+    stats = replace(event_stats(events), bytes=BROADCAST_BYTES + 1)
+    missing = missing_blocks(events, landed, stats=stats)
+    return missing.withColumn("type", F.coalesce("type", F.lit("UNKNOWN")))
+
+
 @query
 def evm_streamed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = resolve_events(
@@ -852,26 +866,23 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streamed.withColumn("value", _digits("value"))
 
 
-@query
-def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from Structured Streaming: events land as files, a query catches up
-    with them, and its output is read back."""
-    root = demo_dir(spark, "stream-run")
-    ledger.chain_events(spark, sf_dir).repartitionByRange(4, "sequence_num").write.parquet(
-        f"{root}/events"
-    )
-    # Members that are not written are read as unset; this table asks for none of them.
+def _store_blocks(spark: SparkSession, sf_dir: str, root: str) -> None:
+    # Members that are not written are read as unset; these tables ask for none of them.
     ledger.evm_blocks(spark, sf_dir, ["hash", "index", "value"]).select(
         "tag", F.struct("header.number", "header.hash").alias("header"), "transactions"
     ).write.parquet(f"{root}/blocks")
+
+
+def _catch_up(spark: SparkSession, root: str, checkpoint: str, start: int) -> None:
+    """Stream the stored events from ``start`` on into the stored table."""
     running = (
         stream_table(
             "ethereum",
             _STREAMED,
-            stream_events(spark, f"{root}/events", start=0, max_files=2),
+            stream_events(spark, f"{root}/events", start=start, max_files=2),
             lambda session: read_blocks(session, f"{root}/blocks"),
             f"{root}/table",
-            f"{root}/checkpoint",
+            f"{root}/{checkpoint}",
             columns=_STREAM_COLUMNS,
             partition_by_size=PARTITION_SIZE,
         )
@@ -879,8 +890,10 @@ def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         .start()
     )
     running.awaitTermination()
-    written = read_table(spark, f"{root}/table").drop("batch_id")
-    return written.select(
+
+
+def _streamed_values(spark: SparkSession, path: str) -> DataFrame:
+    return read_table(spark, path).select(
         "_sequence_number",
         "_event_type",
         "transaction_hash",
@@ -891,12 +904,65 @@ def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# --- sink, catalog, metrics --------------------------------------------------
+@query
+def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from Structured Streaming: events land as files, a query catches up
+    with them, and its output is read back."""
+    root = demo_dir(spark, "stream-run")
+    ledger.chain_events(spark, sf_dir).repartitionByRange(4, "sequence_num").write.parquet(
+        f"{root}/events"
+    )
+    _store_blocks(spark, sf_dir, root)
+    _catch_up(spark, root, "checkpoint", 0)
+    return _streamed_values(spark, f"{root}/table")
 
 
 @query
-def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transactions table written by its layout, then its upper half read back."""
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a stream that resumes its checkpoint, and then one with a new
+    checkpoint that starts where the first one ended."""
+    root = demo_dir(spark, "stream-restart")
+    events = ledger.chain_events(spark, sf_dir)
+    low, high = ranges.event_bounds(events)
+    third = (high - low) // 3
+    _store_blocks(spark, sf_dir, root)
+    for part, checkpoint, start in ((0, "first", low), (1, "first", low), (2, "second", low + 2 * third)):
+        end = high + 1 if part == 2 else low + (part + 1) * third
+        scan_events(events, low + part * third, end).coalesce(1).write.mode("append").parquet(
+            f"{root}/events"
+        )
+        _catch_up(spark, root, checkpoint, start)
+    return _streamed_values(spark, f"{root}/table")
+
+
+@query
+def stream_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same written slice by slice, a part of it twice."""
+    root = demo_dir(spark, "backfill")
+    events = ledger.chain_events(spark, sf_dir)
+    blocks = ledger.evm_blocks(spark, sf_dir, ["hash", "index", "value"])
+    low, high = ranges.event_bounds(events)
+    size = (high - low) // 3 + 1
+    for end in (0, (low + high) // 2 + 1):
+        backfill(
+            "ethereum",
+            _STREAMED,
+            events,
+            blocks,
+            f"{root}/table",
+            end=end,
+            events_per_slice=size,
+            columns=_STREAM_COLUMNS,
+            partition_by_size=PARTITION_SIZE,
+        )
+    return _streamed_values(spark, f"{root}/table")
+
+
+# --- sink, catalog, metrics --------------------------------------------------
+
+
+def _stored_transactions(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """The transactions table written by its layout: its path and schema."""
     path = demo_dir(spark, "sink") + "/transactions"
     table = evm_split_transactions(
         ledger.evm_split_transactions(spark, sf_dir, ["hash", "index", "value"]),
@@ -905,9 +971,23 @@ def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         partition_by_size=PARTITION_SIZE,
     )
     write_table(table, path)
+    return path, table.schema
+
+
+@query
+def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions table written and read back."""
+    path, schema = _stored_transactions(spark, sf_dir)
+    return read_table(spark, path, schema).withColumn("value", _digits("value"))
+
+
+@query
+def sink_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of the written transactions table, its directories pruned."""
+    path, schema = _stored_transactions(spark, sf_dir)
     end = ranges.tip(_heights(spark, sf_dir), ledger.METADATA, height="height") + 1
     written = read_table(
-        spark, path, table.schema, start=end // 2, end=end, partition_by_size=PARTITION_SIZE
+        spark, path, schema, start=end // 2, end=end, partition_by_size=PARTITION_SIZE
     )
     return written.withColumn("value", _digits("value"))
 

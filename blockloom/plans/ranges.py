@@ -32,21 +32,6 @@ class Range:
     end: int
 
 
-def tip_frame(blocks: DataFrame, metadata: ChainMetadata, height: str) -> DataFrame:
-    """One row ``tip_height``: latest height minus the irreversible distance.
-
-    NULL without blocks; a chain shorter than the distance fails the job.
-    """
-    latest = F.max(height).cast("bigint")
-    distance = F.lit(metadata.irreversible_distance).cast("bigint")
-    too_short = F.raise_error(F.lit("chain is shorter than its irreversible distance"))
-    return blocks.agg(
-        F.when(latest < distance, too_short.cast("bigint"))
-        .otherwise(latest - distance)
-        .alias("tip_height")
-    )
-
-
 def tip(
     blocks: DataFrame | BlockStore,
     metadata: ChainMetadata,

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.errors import SparkRuntimeException
 
 from blockloom import ChainMetadata, InvalidArgument, NotFound
 from blockloom.plans import ranges
@@ -23,12 +22,9 @@ def log(spark, first, last):
 
 def test_tip(spark):
     assert ranges.tip(heights(spark, 3, 120), META, height="height") == 20
-    assert ranges.tip_frame(heights(spark, 120), META, "height").first()[0] == 20
     assert ranges.tip(heights(spark, 100), META, height="height") == 0
     with pytest.raises(InvalidArgument):
         ranges.tip(heights(spark, 99), META, height="height")
-    with pytest.raises(SparkRuntimeException):
-        ranges.tip_frame(heights(spark, 99), META, "height").collect()
     with pytest.raises(NotFound):
         ranges.tip(heights(spark), META, height="height")
 
