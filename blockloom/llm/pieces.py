@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
 import ahocorasick
@@ -28,12 +29,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from blockloom.llm.shared import texts
+from blockloom.llm.shared import slices, texts
 
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words whose segmentation a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 
 
 class Pieces:
@@ -59,16 +60,21 @@ class Pieces:
             else:
                 self.table.append(name.replace(BLANK, " ").encode())
                 self.scores[name] = (k, known.get_score(k))
-        self.automaton = ahocorasick.Automaton()
-        for name, (k, score) in self.scores.items():
-            self.automaton.add_word(name, (len(name), k, score))
-        self.automaton.make_automaton()
         self.worst = min(score for _, score in self.scores.values()) - 10.0
         inside = any(BLANK in name.lstrip(BLANK) for name in self.scores)
         alone = "" if any("\n" in name for name in self.scores) else "\n"
         self._parts = None if inside else re.compile(f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+|\n")
         self._memory: dict[str, tuple[int, ...]] = {}
 
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Built when a text is encoded; decoding needs none."""
+        made = ahocorasick.Automaton()
+        for name, (k, score) in self.scores.items():
+            made.add_word(name, (len(name), k, score))
+        made.make_automaton()
+        return made
+
     def viterbi(self, text: str) -> tuple[int, ...]:
         """The best segmentation of ``text``, blanks already written as such."""
         n = len(text)
@@ -158,7 +164,7 @@ def encode(docs: DataFrame, model: str = MODEL, carry: tuple[str, ...] = ()) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _load(file.value)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [pieces.encode(t.decode()) for t in texts(batch)]
             ends = np.cumsum([0, *map(len, rows)], dtype=np.int64)
             flat = np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))
@@ -178,7 +184,7 @@ def decode(encoded: DataFrame, model: str = MODEL, carry: tuple[str, ...] = ())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _load(file.value)
-        for batch in batches:
+        for batch in slices(batches):
             made = [
                 pieces.decode(row.values.to_numpy(zero_copy_only=False).tolist()) if row.is_valid else ""
                 for row in batch.column("ids")

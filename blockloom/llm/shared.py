@@ -81,6 +81,13 @@ def blank_split(text: Column) -> Column:
     return words
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task makes of them stays small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
     """The UTF-8 of each text of a batch, empty for NULL."""
     for value in batch.column(column):
