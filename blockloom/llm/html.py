@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from blockloom.llm.shared import in_batches
+
 #: Lines whose lengths are added up.
 WINDOW = 3
 #: Such a sum begins a text on pages that don't mark their article.
@@ -215,4 +217,4 @@ def extract(pages: DataFrame, carry: tuple[str, ...] = ("url",)) -> DataFrame:
             )
 
     schema = T.StructType([pages.schema[c] for c in carry]).add("text", T.StringType())
-    return pages.select(*carry, "html").mapInArrow(run, schema)
+    return pages.select(*carry, "html").transform(in_batches(run, schema))

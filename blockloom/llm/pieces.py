@@ -29,7 +29,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from blockloom.llm.shared import slices, texts
+from blockloom.llm.shared import in_batches, slices, texts
 
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -172,7 +172,7 @@ def encode(docs: DataFrame, model: str = MODEL, carry: tuple[str, ...] = ()) ->
             yield pa.RecordBatch.from_arrays([*map(batch.column, carry), made], [*carry, "ids"])
 
     taken = docs.select(*carry, *(["text"] if "text" not in carry else []))
-    return taken.mapInArrow(run, _with(docs, carry, "ids", T.ArrayType(T.IntegerType())))
+    return taken.transform(in_batches(run, _with(docs, carry, "ids", T.ArrayType(T.IntegerType()))))
 
 
 def decode(encoded: DataFrame, model: str = MODEL, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -194,4 +194,4 @@ def decode(encoded: DataFrame, model: str = MODEL, carry: tuple[str, ...] = ())
             )
 
     taken = encoded.select(*carry, *(["ids"] if "ids" not in carry else []))
-    return taken.mapInArrow(run, _with(encoded, carry, "decoded", T.StringType()))
+    return taken.transform(in_batches(run, _with(encoded, carry, "decoded", T.StringType())))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockloom.llm.labels import fold, one_label
-from blockloom.llm.shared import settle, texts
+from blockloom.llm.shared import in_batches, settle, texts
 
 _SPACE = b" \t\n\r\x0b\x0c"
 _UPPER = bytes(range(65, 91))
@@ -82,7 +82,7 @@ def featurise(docs: DataFrame) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, features array<double>")
+    return docs.select("doc_id", "text").transform(in_batches(run, f"doc_id {kind}, features array<double>"))
 
 
 class Discriminant:
@@ -164,6 +164,6 @@ def quality(docs: DataFrame, labels: DataFrame, shrinkage: float = 0.1) -> DataF
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.withColumn("held_out", fold("doc_id") == 0).mapInArrow(
+    return rows.withColumn("held_out", fold("doc_id") == 0).transform(in_batches(
         run, f"doc_id {kind}, held_out boolean, score double"
-    )
+    ))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+import blockloom
 from blockloom.session import CHECKPOINT_DIR, work_dir
 
 #: White space between words, as a class of a Java pattern: \x20 and \x09-\x0D.
@@ -29,6 +34,32 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return work_dir(spark, purpose)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for a context.
+
+    A cluster whose machines have it installed, or that got it as a zip, needs nothing.
+    """
+    context, root = spark.sparkContext, Path(blockloom.__file__).parent
+    if not root.is_dir() or getattr(context, "_sent_blockloom", False):
+        return
+    archive = os.path.realpath(os.path.join(tempfile.mkdtemp(prefix="package-"), "blockloom.zip"))
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(root.rglob("*.py")):
+            file.write(source, source.relative_to(root.parent))
+    context.addPyFile(archive)
+    context._sent_blockloom = True
+
+
+def in_batches(run: Callable, schema: str | T.StructType) -> Callable[[DataFrame], DataFrame]:
+    """For ``transform``: ``mapInArrow`` with a function of this package."""
+
+    def mapped(df: DataFrame) -> DataFrame:
+        ship(df.sparkSession)
+        return df.mapInArrow(run, schema)
+
+    return mapped
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage.
 

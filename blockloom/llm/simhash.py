@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blockloom.llm.components import smallest_reachable
-from blockloom.llm.shared import settle, texts
+from blockloom.llm.shared import in_batches, settle, texts
 
 BITS = 64
 BUCKET = 2048
@@ -66,7 +66,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, print bigint")
+    return docs.select("doc_id", "text").transform(in_batches(run, f"doc_id {kind}, print bigint"))
 
 
 def _signed(mask: int) -> int:
@@ -241,7 +241,7 @@ def links(reps: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
         rows.select("mask", "key", "print", "rep")
         .repartition("mask", "key")
         .sortWithinPartitions("mask", "key")
-        .mapInArrow(_compare(radius), f"a {kind}, b {kind}")
+        .transform(in_batches(_compare(radius), f"a {kind}, b {kind}"))
     )
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blockloom.llm.shared import settle, spread_join, texts
+from blockloom.llm.shared import in_batches, settle, spread_join, texts
 
 WINDOW = 50
 GRAM = 8
@@ -251,9 +251,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...]
     id_type = docs.schema["doc_id"].dataType.simpleString()
     keyed = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", *carry)
 
-    runs = keyed.select("doc_id", "text").mapInArrow(
+    runs = keyed.select("doc_id", "text").transform(in_batches(
         _runs(window), f"doc_id {id_type}, anchor bigint, run bigint"
-    )
+    ))
     anchors = runs.groupBy("anchor").agg(
         F.min("doc_id").alias("least"),
         F.max("doc_id").alias("most"),
@@ -275,7 +275,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...]
     single = settle(
         keyed.join(wanted, "doc_id")
         .select("doc_id", "text", "wanted")
-        .mapInArrow(_windows(window), f"doc_id {id_type}, anchor bigint, hash bigint")
+        .transform(in_batches(_windows(window), f"doc_id {id_type}, anchor bigint, hash bigint"))
     )
     repeated = single.groupBy("anchor", "hash").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
@@ -299,4 +299,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...]
         f"n_words bigint, n_removed bigint, spans {SPANS}, kept_text string"
     ):
         schema = schema.add(field)
-    return ready.mapInArrow(_remove(window, ["doc_id", *carry]), schema)
+    return ready.transform(in_batches(_remove(window, ["doc_id", *carry]), schema))
