@@ -109,3 +109,18 @@ def test_disguises():
     assert toxicity.measure("In 2024, U.S.A. policy e.g. www.example.com 3.14")[5] == 0
     near = toxicity.FEATURES.index("near_second_person")
     assert toxicity.measure("you are an idiot")[near] == 1 and toxicity.measure("an idiot")[near] == 0
+
+
+def test_beginnings_are_learned(spark):
+    draw = random.Random(8)
+    rows = []
+    for k in range(300):
+        words = prose(draw, 40).split()
+        if k % 8 == 0:
+            words.insert(3, "grulx" + draw.choice(["a", "en", "oso"]))
+        rows.append((" ".join(words) + (" onlyonce" if k == 8 else ""), int(k % 8 == 0)))
+    frame = spark.createDataFrame(rows + [(None, 0), ("", 1)], "text string, label int")
+    assert toxicity.learn_lexicon(frame) >= {"grul", "grulx"}
+    assert all(x.startswith("grul") for x in toxicity.learn_lexicon(frame))
+    assert toxicity.learn_lexicon(frame.filter("label = 1")) == frozenset()
+    assert toxicity.measure("a grulxen you", frozenset({"grul"}))[-4:] == [1.0, 1 / 3, 1.0, 1.0]
