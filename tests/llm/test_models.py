@@ -121,6 +121,6 @@ def test_beginnings_are_learned(spark):
         rows.append((" ".join(words) + (" onlyonce" if k == 8 else ""), int(k % 8 == 0)))
     frame = spark.createDataFrame(rows + [(None, 0), ("", 1)], "text string, label int")
     assert toxicity.learn_lexicon(frame) >= {"grul", "grulx"}
-    assert all(x.startswith("grul") for x in toxicity.learn_lexicon(frame))
+    assert all(x.startswith("gru") for x in toxicity.learn_lexicon(frame))
     assert toxicity.learn_lexicon(frame.filter("label = 1")) == frozenset()
     assert toxicity.measure("a grulxen you", frozenset({"grul"}))[-4:] == [1.0, 1 / 3, 1.0, 1.0]
