@@ -60,7 +60,7 @@ def event_position(events: DataFrame, position: str) -> int:
     """Sequence of the first or last event; the log must not be empty."""
     extremes = {EARLIEST: F.min, LATEST: F.max}
     if position not in extremes:
-        raise InvalidArgument(f"invalid event position: {position}")
+        raise InvalidArgument(f"not a position of an event log: {position}")
     sequence = events.agg(extremes[position]("sequence_num")).first()[0]
     if sequence is None:
         raise NotFound("there are no events")
@@ -139,7 +139,7 @@ def plan_batch_slices(spark: SparkSession, span: Range, blocks_per_slice: int =
     size = _size(blocks_per_slice, BLOCKS_PER_SLICE)
     count = -(-(span.end - span.start) // size)
     if count > MAX_SLICES:
-        raise InvalidArgument(f"{size} blocks per slice is too small: {count} slices")
+        raise InvalidArgument(f"{count} slices of {size} blocks are more than {MAX_SLICES}")
     return _slices(spark, span, size)
 
 
@@ -152,7 +152,7 @@ def plan_stream_slices(spark: SparkSession, span: Range, events_per_slice: int =
     size = _size(events_per_slice, EVENTS_PER_SLICE)
     count = -(-(span.end - span.start + 1) // size)
     if count > MAX_SLICES:
-        raise InvalidArgument(f"{size} events per slice is too small: {count} slices")
+        raise InvalidArgument(f"{count} slices of {size} events are more than {MAX_SLICES}")
     return _slices(spark, span, size)
 
 

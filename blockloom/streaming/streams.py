@@ -42,7 +42,7 @@ def start_position(events: DataFrame, position: str | int) -> int:
     if isinstance(position, int):
         return position
     if position not in (EARLIEST, LATEST):
-        raise InvalidArgument(f"invalid event position: {position}")
+        raise InvalidArgument(f"not a position of an event log: {position}")
     return event_position(events, position)
 
 

@@ -23,8 +23,12 @@ SAMPLE = [
     "bitcoin_inputs",
     "rosetta_operations",
     "missing_event_blocks",
+    "missing_event_blocks_shuffled",
+    "stream_restart",
+    "stream_backfill",
     "evm_streamed_transactions",
     "sink_round_trip",
+    "sink_range",
 ]
 
 
