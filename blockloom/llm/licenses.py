@@ -1,21 +1,30 @@
 """Licences of files: TF-IDF cosine to templates, then inheritance along directories.
 
 DataFrame functions only. Every line of a file is a unit, and so is the whole text of
-a licence file. Units and templates become sparse vectors of their words' inverse
-document frequencies over all files; a word of no template counts as one that no
-other file has. Only the templates' words are ever shuffled. The best template of a
-unit counts from ``LEAST`` on. A file without a licence of its own takes that of the
-nearest directory above it that holds a licence file.
+a licence file. Units and templates become sparse vectors of term frequency times
+inverse document frequency, over the words of all files. The words' counts are added
+up before they are shuffled. A unit's words outside the templates weigh at least their
+number, so most units can't reach ``LEAST`` whatever the files hold; these are left
+where they are, and only the others' words are joined with their frequencies. The best
+template of a unit counts from ``LEAST`` on. A file without a licence of its own takes
+that of the nearest directory above it that holds a licence file.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockloom.llm.shared import ascii_lower, settle, spread_join
+from blockloom.llm.shared import ascii_lower, computed, settle, spread_join
 
 LEAST = 0.6
+#: What rounding may take from a similarity.
+SLACK = 1e-8
+#: So many paths that several rows have are broadcast.
+FEW = 100_000
 #: Names of licence files, at their beginning.
 LICENSE_FILE = r"(?i)^(un)?licen[cs]e|^copying|^notice"
 PARTING = r"[^\p{L}\p{Nd}]+"
@@ -71,64 +80,121 @@ def templates(spark: SparkSession, known: list[tuple[str, str]] | None = None) -
 
 
 def _words(text: Column) -> Column:
-    """Distinct words that say something."""
-    split = F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), PARTING), "")
-    return F.array_except(split, F.array(*map(F.lit, COMMON)))
+    """Words that say something, as often as they come."""
+    split = F.split(ascii_lower(F.coalesce(text, F.lit(""))), PARTING)
+    return F.filter(split, lambda w: ~w.isin("", *COMMON))
 
 
 def _name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def frequencies(files: DataFrame) -> DataFrame:
+    """term and df, the number of paths whose rows have it, for all words of ``files``."""
+    files = files.select(F.coalesce("path", F.lit("")).alias("path"), "text")
+    again = settle(files.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1").select("path"))
+    repeated = again.count()
+    if repeated <= FEW:
+        again = F.broadcast(again)
+    lone = files.join(again, "path", "left_anti") if repeated else files
+    term = F.explode(F.array_distinct(_words(F.col("text")))).alias("term")
+    terms = lone.select(term)
+    if repeated:
+        terms = terms.unionByName(
+            files.join(again, "path", "left_semi").select("path", term).distinct().select("term")
+        )
+    return terms.groupBy("term").agg(F.count("*").alias("df"))
+
+
 def own_licenses(files: DataFrame, known: DataFrame, least: float = LEAST) -> DataFrame:
     """path, license and similarity of the best match of each file that has one."""
-    vectors = known.select(
-        "license", F.xxhash64("license", "text").alias("template"), F.explode(_words(F.col("text"))).alias("term")
-    ).distinct()
-    terms = vectors.select("term").distinct()  # templates are fixed: some hundred rows
+    # templates are fixed, so their words and frequencies fit into one row
+    listed = F.collect_set(F.struct("license", _words(F.col("text")).alias("words"))).alias("all")
+    texts = [(r["license"], Counter(r["words"])) for r in known.agg(listed).first()["all"] if r["words"]]
+    terms = sorted(set().union(*(words for _, words in texts)))
+    n_files = files.count()
+    df = settle(frequencies(files))
+    counted = df.filter(F.col("term").isin(terms)).agg(F.collect_list(F.struct("term", "df")).alias("all"))
+    counts = {r["term"]: r["df"] for r in counted.first()["all"]}
+    weight = {w: math.log((1 + n_files) / (1 + counts.get(w, 0))) + 1 for w in terms}
+    sides, share = [], dict.fromkeys(terms, 0.0)
+    for name, words in texts:
+        norm = math.sqrt(sum((n * weight[w]) ** 2 for w, n in words.items()))
+        sides.append((name, {w: n * weight[w] / norm for w, n in words.items()}))
+        for w, part in sides[-1][1].items():
+            share[w] = max(share[w], part**2)
+    model = F.broadcast(
+        files.sparkSession.createDataFrame(
+            [(weight, share, sides)],
+            "weight map<string,double>, share map<string,double>, "
+            "sides array<struct<license string, parts map<string,double>>>",
+        )
+    )
+
+    def add(values: Column, each) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda sum, x: sum + F.coalesce(each(x), F.lit(0.0)))
+
     path = F.coalesce("path", F.lit("")).alias("path")
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     whole = F.when(_name(F.coalesce("path", F.lit(""))).rlike(LICENSE_FILE), F.array("text")).otherwise(
         F.array().cast("array<string>")
     )
-    units = files.select(path, F.explode(F.concat(lines, whole)).alias("line")).select(
-        "path", F.xxhash64("line").alias("unit"), _words(F.col("line")).alias("words")
-    )
-    held = settle(
-        units.select("path", "unit", F.size("words").alias("n"), F.explode("words").alias("term"))
-        .join(F.broadcast(terms), "term")
-        .distinct()
+    units = computed(
+        files.select(path, F.explode(F.concat(lines, whole)).alias("line")).select(
+            "path", F.xxhash64("line").alias("unit"), _words(F.col("line")).alias("words")
+        )
     )
-    n_files = F.lit(files.count())
-    counts = held.groupBy("term").agg(F.countDistinct("path").alias("df"))
-    weights = terms.join(counts, "term", "left").select(
-        "term",
-        (F.log((1 + n_files) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("weight"),
-        (F.log(1 + n_files) + 1).alias("foreign"),
+    held = F.filter("words", lambda w: w.isin(terms))
+    sharing = computed(units.withColumn("held", held)).filter(F.size("held") > 0).crossJoin(model)
+    # the part of a template that a unit has bounds their similarity
+    sharing = sharing.filter(
+        add(F.array_distinct("held"), lambda w: F.col("share")[w]) >= least**2 - SLACK
     )
-    sided = vectors.join(weights, "term")
-    norms = sided.groupBy("template").agg(F.sqrt(F.sum(F.pow("weight", F.lit(2)))).alias("template_norm"))
-    sided = F.broadcast(settle(sided.join(norms, "template")))
-    weights = F.broadcast(weights.select("term", "weight", "foreign"))
-    own = held.join(weights, "term").groupBy("path", "unit").agg(
-        F.sqrt(
-            F.sum(F.pow("weight", F.lit(2)))
-            + (F.first("n") - F.count("*")) * F.pow(F.first("foreign"), F.lit(2))
-        ).alias("unit_norm")
+    sharing = computed(
+        sharing.select(
+            "path",
+            "unit",
+            F.filter("words", lambda w: ~w.isin(terms)).alias("foreign"),
+            add(
+                F.array_distinct("held"),
+                lambda w: F.pow(F.col("weight")[w] * F.size(F.filter("held", lambda v: v == w)), F.lit(2)),
+            ).alias("square"),
+            F.transform(
+                "sides",
+                lambda t: F.struct(
+                    add(F.col("held"), lambda w: F.col("weight")[w] * t["parts"][w]).alias("dot"),
+                    t["license"].alias("license"),
+                ),
+            ).alias("matches"),
+        )
     )
-    dots = held.join(sided, "term").groupBy("path", "unit", "license", "template").agg(
-        (F.sum(F.pow("weight", F.lit(2))) / F.first("template_norm")).alias("dot")
+    # no word weighs less than 1
+    bound = (least - SLACK) * F.sqrt(F.col("square") + F.size("foreign"))
+    able = F.filter("matches", lambda m: (m["dot"] > 0) & (m["dot"] >= bound))
+    able = sharing.withColumn("matches", able).filter(F.size("matches") > 0)
+    able = settle(able.dropDuplicates(["path", "unit"]))
+    foreign = able.select("path", "unit", F.explode("foreign").alias("term"))
+    foreign = foreign.groupBy("path", "unit", "term").agg(F.count("*").alias("tf"))
+    weighed = F.col("tf") * (F.log((1 + F.lit(n_files)) / (1 + F.col("df"))) + 1)
+    foreign = (
+        spread_join(foreign, df, ["term"], "path")
+        .groupBy("path", "unit")
+        .agg(F.sum(F.pow(weighed, F.lit(2))).alias("rest"))
     )
-    matched = dots.join(own, ["path", "unit"]).withColumn(
-        "similarity", F.round(F.col("dot") / F.col("unit_norm"), 9)
+    norm = F.sqrt(F.col("square") + F.coalesce("rest", F.lit(0.0)))
+    best = F.array_max(
+        F.transform(
+            "matches",
+            lambda m: F.struct(F.round(m["dot"] / F.col("norm"), 9).alias("similarity"), m["license"].alias("license")),
+        )
     )
-    best = F.struct(F.col("similarity"), F.col("license"))
     return (
-        matched.filter(F.col("similarity") >= least)
-        .groupBy("path", "license")
-        .agg(F.max("similarity").alias("similarity"))
+        able.join(foreign, ["path", "unit"], "left")
+        .select("path", "matches", norm.alias("norm"))
+        .select("path", best.alias("best"))
+        .filter(F.col("best.similarity") >= least)
         .groupBy("path")
-        .agg(F.max(best).alias("best"))
+        .agg(F.max("best").alias("best"))
         .select("path", F.col("best.license").alias("license"), F.col("best.similarity").alias("similarity"))
     )
 

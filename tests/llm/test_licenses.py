@@ -85,3 +85,46 @@ def test_root_license_and_empty(spark):
     frame = spark.createDataFrame([(p, t, "x", 1) for p, t in rows], FILES)
     assert [r[1] for r in result(licenses.scan(frame))] == ["LicenseRef-proprietary"] * 2
     assert licenses.scan(frame.limit(0)).collect() == []
+
+
+def all_words(text):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [w for w in re.findall(r"[^\W_]+", lower) if w not in licenses.COMMON]
+
+
+def cosines(rows, unit):
+    """Similarity of a unit to each template, with the frequencies of all words."""
+    files = {}
+    for path, text in rows:
+        files.setdefault(path or "", set()).update(all_words(text))
+
+    def weigh(text):
+        words = all_words(text)
+        return {w: words.count(w) * (math.log((1 + len(rows)) / (1 + sum(w in f for f in files.values()))) + 1) for w in set(words)}
+
+    a, out = weigh(unit), {}
+    for name, text in licenses.TEMPLATES:
+        b = weigh(text)
+        dot = sum(a[w] * b[w] for w in a.keys() & b)
+        norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        out[name] = max(out.get(name, 0), dot / norm)
+    return out
+
+
+def test_frequencies_of_all_words_count(spark):
+    gpl = "This thing here is licensed under the GNU General Public License, version 3."
+    rare = "Zyx wvu tsr qpo nml kji licensed under the GNU General Public License"
+    rows = [(f"p/{k}.txt", f"thing here number{k} thing") for k in range(600)]
+    rows += [("a/gpl.txt", gpl), ("a/twice.txt", f"x {gpl}\n{gpl}\n{gpl}"), ("a/rare.txt", rare), ("a/same.txt", "thing"), ("a/same.txt", "here thing")]
+    rows += [("a/often.txt", f"mit {gpl} thing thing thing here"), ("a/gpl.txt", "one more row of this path"), (None, "here"), (None, None)]
+    got = {r[0]: r[1:3] for r in result(licenses.scan(spark.createDataFrame(rows, "path string, text string")))}
+    want = {}
+    for path, text in rows:
+        for unit in (text or "").split("\n") if path and path.startswith("a/") else []:
+            similarity, name = max((s, name) for name, s in cosines(rows, unit).items())
+            if similarity >= licenses.LEAST:
+                want[path] = max(want.get(path, (0, "")), (similarity, name))
+    assert {p for p, v in got.items() if v[0]} == set(want) >= {"a/gpl.txt", "a/twice.txt"}
+    assert "a/rare.txt" not in want
+    for path, (similarity, name) in want.items():
+        assert got[path][0] == name and abs(got[path][1] - similarity) < 1e-6
