@@ -107,6 +107,27 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(files)
 
 
+def op7_licenses_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document in a tree whose licence files lie beside, and above, other files.
+
+    Documents lie in source/lang/thousand. A hash of doc_id makes every fourth a licence
+    file, and deals these to the three levels of directories.
+    """
+    parts = [
+        F.coalesce("source", F.lit("_")),
+        F.coalesce("lang", F.lit("_")),
+        F.coalesce(F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("_")),
+    ]
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit("_"))
+    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(12))
+    path = F.concat_ws("/", *parts, F.concat(number, F.lit(".txt")))
+    for depth in range(1, 4):
+        named = F.concat_ws("/", *parts[:depth], F.concat(F.lit("LICENSE-"), number))
+        path = F.when(dealt == depth - 1, named).otherwise(path)
+    files = read(spark, sf_dir, "documents").select(path.alias("path"), "text")
+    return licenses.scan(files)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     found = decontaminate.contamination(
@@ -149,6 +170,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_rules": op5_quality_rules,
         "op6_html": op6_html,
         "op7_licenses": op7_licenses,
+        "op7_licenses_tree": op7_licenses_tree,
         "op8_decontaminate": op8_decontaminate,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_toxicity": op10_toxicity,

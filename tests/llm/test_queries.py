@@ -86,6 +86,28 @@ def test_op7(spark, documents):
     assert [(a, b, d, e) for a, b, _, d, e in got] == [(a, b, d, e) for a, b, _, d, e in want]
 
 
+def test_op7_tree_inherits_from_the_nearest_of_two(spark):
+    got = test_licenses.result(queries.op7_licenses_tree(spark, SF_DIR.replace("0.001", "0.01")))
+    given = {}
+    for path, license, similarity, origin, _ in got:
+        at, _, name = path.rpartition("/")
+        if origin == "own" and name.startswith("LICENSE-"):
+            given[at] = max(given.get(at, (0, "")), (similarity, license))
+    plain, two = set(), set()
+    for path, license, similarity, origin, directory in got:
+        parts = path.split("/")
+        above = ["/".join(parts[:k]) for k in range(len(parts) - 1, 0, -1)]
+        above = [d for d in above if d in given]
+        if origin == "own":
+            continue
+        near = (given[above[0]][1], given[above[0]][0], "inherited", above[0]) if above else (None,) * 4
+        assert (license, similarity, origin, directory) == near
+        if above and not parts[-1].startswith("LICENSE-"):
+            plain.add(len(above[0].split("/")))
+            two.update([license != given[above[1]][1]] if len(above) > 1 else [])
+    assert plain == {1, 2, 3} and True in two  # at all depths, and another licence further up
+
+
 def test_op9(spark, documents):
     with open(pieces.MODEL, "rb") as file:
         vocabulary = pieces.Pieces(file.read())
