@@ -32,6 +32,16 @@ PARTING = r"[^\p{L}\p{Nd}]+"
 #: Words that say nothing about a licence.
 COMMON = "a an and any are as at be by for from in is it its may not of on or that the this to with you your".split()
 
+#: Creative Commons licences with terms: short and long names.
+COMMONS = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+
 #: Sentences by which a licence is known, several for most.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -67,7 +77,16 @@ TEMPLATES = [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
         "fee is hereby granted",
     ),
-    ("CC-BY-4.0", "Licensed under the Creative Commons Attribution 4.0 International License."),
+    *(
+        (f"CC-{short}-4.0", sentence)
+        for short, long in COMMONS.items()
+        for sentence in (
+            f"Licensed under CC {short} 4.0.",
+            f"Licensed under the Creative Commons {long} 4.0 International License.",
+            f"This work is licensed under a Creative Commons {long} 4.0 International License.",
+            f"SPDX-License-Identifier: CC-{short}-4.0",
+        )
+    ),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("LicenseRef-proprietary", "All rights reserved."),

@@ -128,3 +128,27 @@ def test_frequencies_of_all_words_count(spark):
     assert "a/rare.txt" not in want
     for path, (similarity, name) in want.items():
         assert got[path][0] == name and abs(got[path][1] - similarity) < 1e-6
+
+
+def test_licence_lines_of_the_documents_match_their_own(spark):
+    lines = {
+        "Released under the MIT License.": "MIT",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-or-later",
+        "All rights reserved.": "LicenseRef-proprietary",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    }
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    files = documents.selectExpr("concat('p/', doc_id, '.txt') AS path", "text").collect()
+    want = {r.path: lines[u] for r in files for u in (r.text or "").split("\n") if u in lines}
+    marks = re.compile("licen[cs]e|rights reserved|creative commons|public domain|SPDX", re.I)
+    others = [u for r in files for u in (r.text or "").split("\n") if len(u) < 200 and marks.search(u) and u not in lines]
+    got = {r[0]: r[1] for r in result(licenses.scan(spark.createDataFrame(files))) if r[1]}
+    assert others == [] and got == want and set(want.values()) == set(lines.values())
+
+
+def test_commons_variants(spark):
+    forms = ("{s} 4.0", "Licensed under CC {s} 4.0", "This work is licensed under the Creative Commons {l} 4.0 International License.", "SPDX-License-Identifier: CC-{s}-4.0")
+    rows = [(f"{s}/{k}", form.format(s=f"CC {s}" if k == 0 else s, l=long)) for s, long in licenses.COMMONS.items() for k, form in enumerate(forms)]
+    got = result(licenses.scan(spark.createDataFrame(rows + [("x", "nothing here")], "path string, text string")))
+    assert [(r[0], r[1]) for r in got if r[1]] == sorted((p, f"CC-{p.split('/')[0]}-4.0") for p, _ in rows)
