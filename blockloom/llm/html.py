@@ -1,11 +1,11 @@
 """Main text of web pages by the distribution of line blocks.
 
-Markup is stripped to lines, one for each block of the page. A line weighs its
-characters outside links; what stands in menus, forms, adverts and the like weighs
-nothing, and where a page marks its article, neither does what stands outside. Sums
-over ``WINDOW`` consecutive lines show where the text is: they surge where it begins
-and dive to nothing where it ends. The heaviest stretch between a surge and a dive is
-the text, or every such stretch of a marked article.
+Markup is stripped to lines, one for each block of the page that holds text, or that
+is empty. A line weighs its characters outside links; what stands in menus, forms,
+adverts and the like is left out and makes no line, and where a page marks its
+article, what stands outside weighs nothing. Sums over ``WINDOW`` consecutive lines
+show where the text is: they surge where it begins and dive to nothing where it ends.
+All stretches between a surge and a dive are the text, in the order of the page.
 """
 
 from __future__ import annotations
@@ -72,6 +72,7 @@ class _Page:
         self.parts: list[str] = []
         self.linked = 0
         self.link = self.article = 0
+        self.bare = False  # a block has begun, and nothing in it
         self.open: list[str] = []  # blocks that are open outside what is left out
         self.out: list[str] = []  # what is left out, and the same elements inside it
 
@@ -82,13 +83,15 @@ class _Page:
         if self.link:
             self.linked += len("".join(raw.split()))
 
-    def flush(self) -> None:
+    def flush(self, ends: bool = False) -> None:
+        """Ends a line; one without text counts if it is a block of its own."""
         text = " ".join(html.unescape("".join(self.parts)).split())
         weight = 0
         if text:
             weight = max(0, len("".join(text.split())) - self.linked)
-        self.lines.append((text, weight, self.article > 0))
-        self.parts, self.linked = [], 0
+        if text or ends and self.bare:
+            self.lines.append((text, weight, self.article > 0))
+        self.parts, self.linked, self.bare = [], 0, False
 
     def start(self, name: str, rest: str) -> None:
         closed = name in VOID or rest.endswith("/") and name not in BLOCKS
@@ -115,6 +118,7 @@ class _Page:
             self.link = 1
         if name in BLOCKS and not closed:
             self.open.append(name)
+            self.bare = True
 
     def end(self, name: str) -> None:
         if self.out:
@@ -128,7 +132,7 @@ class _Page:
         if name == "a":
             self.link = 0
         if name in BLOCKS:
-            self.flush()
+            self.flush(ends=True)
             if name in self.open:
                 while self.open.pop() != name:
                     pass
@@ -174,7 +178,10 @@ def stretches(weights: list[int], surge: int, window: int = WINDOW) -> list[tupl
         start = k
         while start < n and not weights[start]:
             start += 1
-        stop = start
+        stop, least = start, found[-1][1] if found else 0
+        # short lines before the surge, as after it, until a dive
+        while before := [j for j in range(max(least, start - window), start) if weights[j]]:
+            start = before[0]
         while stop < n and sums[stop]:
             stop += 1
         last = max(j for j in range(start, stop) if weights[j])
@@ -193,7 +200,6 @@ def main_text(page: str) -> str:
     else:
         weights = [weight for _, weight, _ in found]
         chosen = stretches(weights, SURGE) or stretches(weights, 1)
-        chosen = sorted(chosen, key=lambda s: (-sum(weights[s[0] : s[1]]), s))[:1]
     kept = [
         text for start, stop in chosen for text, _, inside in found[start:stop] if text and (inside or not marked)
     ]

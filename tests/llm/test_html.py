@@ -50,3 +50,20 @@ def test_frame(spark):
     got = sorted((str(r.page_id), r.url, r.text[:9]) for r in html.extract(frame).collect())
     assert got == [("1", "u", "a"), ("1", "u", "a"), ("2", "v", "long long"), ("None", None, "")]
     assert html.extract(frame.limit(0)).collect() == []
+
+
+LONG = "This is a paragraph of the article that is long enough to surge. " * 4
+UNMARKED = {
+    "wrapped": (f"<div><p>{LONG}</p></div><div><p>Short one.</p></div><div><section><p>{LONG}</p></section></div>", [LONG, "Short one.", LONG]),
+    "inline advert": (f"<p>{LONG}</p><div class=ad><p>Buy</p><p>now</p></div><p>Short one.</p><aside>x</aside><div><nav>y</nav></div><p>{LONG}</p>", [LONG, "Short one.", LONG]),
+    "parted": (f"<p>{LONG}</p><div></div><div> </div><div><p></p></div><p>{LONG}{LONG}</p><ul><li><a>A</a><li><a>B</a><li><a>C</a></ul><p>{LONG}</p>", [LONG, LONG + LONG, LONG]),
+    "short beginning": (f"<h1>Title</h1><p>One.</p><p>Two.</p><p>Three.</p><p>{LONG}</p>", ["Title", "One.", "Two.", "Three.", LONG]),
+    "two short": ("<div><p>A</p></div><div><p>B</p></div>", ["A", "B"]),
+    "short, parted": ("<p>A</p><div></div><div></div><div></div><p>B</p>", ["A", "B"]),
+}
+
+
+@pytest.mark.parametrize("name", UNMARKED)
+def test_all_pieces_of_an_unmarked_page_stay(name):
+    page, want = UNMARKED[name]
+    assert html.main_text(page).split("\n\n") == [" ".join(w.split()) for w in want]
