@@ -157,10 +157,84 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def _value(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+def _tree(name: str, leaves: str, key: str, levels: int) -> str:
+    """Levels ``name``0, ``name``1, ... above rows (key, idx, h, n)."""
+    made = [f"{name}0 AS ({leaves})"]
+    for k in range(levels):
+        made.append(
+            f"""{name}{k + 1} AS (SELECT {key}, idx // 8 AS idx, sha256(string_agg(h, '' ORDER BY idx)) AS h,
+            (any_value(n) + 7) // 8 AS n FROM {name}{k} WHERE n > 1 GROUP BY {key}, idx // 8)"""
+        )
+    return ",\n".join(made)
+
+
+def _ascent(name: str, start: str, tree: str, key: str, levels: int) -> str:
+    """Rows (row, key, i, f, proof) of ``start`` folded up through the levels of a tree."""
+    made = [f"{name}0 AS ({start})"]
+    for k in range(levels):
+        made.append(
+            f"""{name}{k + 1} AS (
+            SELECT c.row, c.{key}, c.i // 8 AS i,
+              CASE WHEN any_value(s.n) > 1
+                THEN sha256(string_agg(CASE WHEN s.idx = c.i THEN c.f ELSE s.h END, '' ORDER BY s.idx))
+                ELSE any_value(c.f) END AS f,
+              any_value(c.proof) || coalesce(string_agg(s.h, '' ORDER BY s.idx) FILTER (s.idx <> c.i), '') AS proof
+            FROM {name}{k} c LEFT JOIN {tree}{k} s ON s.{key} = c.{key} AND s.idx // 8 = c.i // 8
+            GROUP BY c.row, c.{key}, c.i)"""
+        )
+        # A tree that has ended has no such level: its rows stay as they are.
+        made[-1] = made[-1].replace("CASE WHEN any_value(s.n) > 1", "CASE WHEN coalesce(any_value(s.n), 1) > 1")
+    return ",\n".join(made)
+
+
+def manifest_sql(levels: int = 7, top: int = 3) -> str:
+    """The manifest of up to 8 ** levels rows a language, and 8 ** top languages."""
+    fields = " || ".join(map(_value, ("doc_id", "source", "lang", "n_chars", "text")))
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    changed = fields.replace("CAST(text AS VARCHAR)", f"translate(text, '{upper}', '{upper.lower()}')")
+    last = "\nUNION ALL ".join(f"SELECT shelf, h FROM l{k} WHERE n = 1" for k in range(levels + 1))
+    return f"""
+WITH bits AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(b))
+),
+hashed AS (
+  SELECT doc_id, lang, sha256({fields}) AS leaf, sha256({changed}) AS lowered,
+    coalesce(xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: ascii(d)::BIGINT)),
+      lambda c, d: xor(c >> 8, t[(xor(c, d) & 255) + 1])), 4294967295) % 3 = 0, false) AS bad
+  FROM documents, bits
+),
+shelves AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS shelf FROM (SELECT DISTINCT lang FROM hashed)),
+leaves AS (
+  SELECT h.*, shelf, row_number() OVER () AS row, count(*) OVER (PARTITION BY shelf) AS n,
+    row_number() OVER (PARTITION BY shelf ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx
+  FROM hashed h JOIN shelves s ON h.lang IS NOT DISTINCT FROM s.lang
+),
+{_tree("l", "SELECT shelf, idx, leaf AS h, n FROM leaves", "shelf", levels)},
+subroots AS ({last}),
+{_tree("t", "SELECT 0 AS one, shelf AS idx, h, (SELECT count(*) FROM subroots) AS n FROM subroots", "one", top)},
+{_ascent("a", "SELECT row, shelf, idx AS i, CASE WHEN bad THEN lowered ELSE leaf END AS f, '' AS proof FROM leaves", "l", "shelf", levels)},
+{_ascent("b", f"SELECT row, 0 AS one, shelf AS i, f, proof FROM a{levels}", "t", "one", top)},
+root AS (SELECT h FROM t{top} {" ".join(f"UNION ALL SELECT h FROM t{k} WHERE n = 1" for k in range(top))})
+SELECT l.doc_id, l.leaf, s.h AS subroot, root.h AS root, sha256(b.proof) AS proof_sha256,
+  b.f AS folded_root, b.f = root.h AS verified
+FROM leaves l JOIN subroots s USING (shelf) JOIN b{top} b USING (row), root
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_chat": OP2,
         "op3_substrings": OP3,
         "op5_quality_rules": OP5.replace("{boilerplate}", BOILERPLATE),
         "op8_decontaminate": OP8,
+        "op13_manifest": manifest_sql(),
     }

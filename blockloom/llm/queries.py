@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,15 @@ from blockloom.llm import (
     decontaminate,
     html,
     licenses,
+    merkle,
     oracles,
     pieces,
     quality_model,
     quality_rules,
+    runs,
     simhash,
     substrings,
+    token_counts,
     toxicity,
 )
 from blockloom.llm.shared import BLANK, read
@@ -161,6 +165,50 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def _with_repeats(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth document, by a checksum of its id, goes on repeating some of its words."""
+    n = len(words)
+    checksum = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or not n or checksum % 10:
+        return words
+    chosen = checksum // 10
+    begin = chosen % n
+    period = 1 + (n - begin) // (3 + chosen % 8)
+    unit = words[begin : begin + period]
+    return (words[:begin] + unit * -(-(n - begin) // period))[:n]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, the longest of them, and what is left."""
+    found = runs.periodic_runs(read(spark, sf_dir, "documents"), alter=_with_repeats)
+    longest = F.array_min(
+        F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"], r["period"]))
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", longest)
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("-1000 * best.less div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    counted = token_counts.token_counts(read(spark, sf_dir, "documents"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest, and whether its proof holds."""
+    return merkle.manifest(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -174,6 +222,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_sentencepiece": op9_sentencepiece,
         "op10_toxicity": op10_toxicity,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_token_counts": op12_token_counts,
+        "op13_manifest": op13_manifest,
     }
 
 

@@ -123,3 +123,19 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> Iterator[bytes]:
     """The UTF-8 of each text of a batch, empty for NULL."""
     for value in batch.column(column):
         yield (value.as_py() or "").encode()
+
+
+def portions(
+    batches: Iterator[pa.RecordBatch], key: str, column: str, rows: int = 512, size: int = 4_000_000
+) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """Keys and UTF-8 of a few texts at a time: at most ``rows``, and no more once they
+    have ``size`` bytes. A longer text comes with those before it."""
+    for batch in batches:
+        keys, begin, held = batch.column(key), 0, []
+        total = 0
+        for at, text in enumerate(texts(batch, column), 1):
+            held.append(text)
+            total += len(text)
+            if at - begin >= rows or total >= size or at == batch.num_rows:
+                yield keys.slice(begin, at - begin), held
+                begin, held, total = at, [], 0
