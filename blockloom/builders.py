@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from blockloom.errors import NotFound
-from blockloom.operators.bitcoin import bitcoin_blocks, bitcoin_transactions
-from blockloom.operators.evm import evm_blocks, evm_raw_transactions, evm_transactions
+from blockloom.operators.bitcoin import (
+    bitcoin_blocks,
+    bitcoin_split_transactions,
+    bitcoin_transactions,
+)
+from blockloom.operators.evm import (
+    evm_blocks,
+    evm_raw_transactions,
+    evm_split_transactions,
+    evm_transactions,
+)
 from blockloom.operators.rosetta import (
     rosetta_blocks,
     rosetta_raw_transactions,
@@ -78,3 +87,31 @@ def build(
     if _EVM[key] is not evm_raw_transactions:
         options["chain"] = chain
     return _EVM[key](blocks, **options)
+
+
+def is_split(chain: str, key: TableKey) -> bool:
+    """Whether a table is built from transactions and headers apart, in a split store."""
+    return (
+        (chain, key) not in _ADDED
+        and (key.format, key.encoding) == (NATIVE, NONE)
+        and key.table in ("transactions", "streamed_transactions")
+    )
+
+
+def build_split(
+    chain: str,
+    key: TableKey,
+    transactions: DataFrame,
+    headers: DataFrame,
+    *,
+    partition_by_size: int = 0,
+    u64: str = "long",
+    **options,
+) -> DataFrame:
+    """The table from a split store (streamed tables: from resolved transactions)."""
+    if key not in tables_of(chain) or not is_split(chain, key):
+        raise NotFound(f"no split table {key} on chain {chain!r}")
+    options |= {"partition_by_size": partition_by_size, "u64": u64}
+    if family_of(chain) == "bitcoin":
+        return bitcoin_split_transactions(transactions, headers, **options)
+    return evm_split_transactions(transactions, headers, chain=chain, **options)

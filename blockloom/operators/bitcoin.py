@@ -29,6 +29,7 @@ def bitcoin_transactions(
     partition_by_size: int = 0,
     columns: Iterable[str] | None = None,
     u64: str = "long",
+    spread: int | None = None,
 ) -> DataFrame:
     """One row per transaction of nested blocks; ``columns`` limits what is read."""
     fields = choose(bitcoin.TRANSACTIONS, columns)
@@ -36,7 +37,7 @@ def bitcoin_transactions(
     carried = carried_columns(blocks, _FAMILY)
     if any(f.name == "block" for f in fields):
         carried.append(bitcoin.BLOCK.column(F.col("header"), u64).alias("block"))
-    rows = unnest_transactions(require_body(blocks, _FAMILY), carried, members)
+    rows = unnest_transactions(require_body(blocks, _FAMILY), carried, members, spread=spread)
     return project(rows, fields, partition_by_size=partition_by_size, u64=u64)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from blockloom.errors import InvalidArgument, NotFound
@@ -13,6 +13,8 @@ from blockloom.schemas.inputs import HASH, HEIGHT
 from blockloom.sources.blocks import BlockStore
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+# A block that more than one in so many events name is joined apart from a bucketed store.
+HOT_BLOCKS = 1_000
 # Directories that a scan lists by name; the rest of a slice is read as a span.
 MAX_BUCKETS = 2_000
 # Upper bound of what one event row takes beside its texts, with the hash table's own cost.
@@ -133,8 +135,7 @@ def missing_blocks(
         events,
         blocks,
         stats or event_stats(events),
-        height or HEIGHT[family],
-        block_hash or HASH[family],
+        *_key_columns(BlockStore.of(blocks), family, height, block_hash),
     )
     return counted.where(F.col("__blocks").isNull()).select(*_reported())
 
@@ -202,23 +203,43 @@ def resolve_events(
 
     Blocks are cut to the events' heights first. If the events' measured size
     fits, they are broadcast and the wide blocks are neither shuffled nor
-    sorted. Otherwise both sides are shuffled by key, and adaptive execution may
-    split either of them where one block has very many events or transactions.
+    sorted. Otherwise, in a store that is bucketed by block (``write_block_store``), the
+    events alone are shuffled to the buckets of the blocks, which stay where they are;
+    blocks that very many events name are joined apart. In other stores both sides
+    are shuffled by key, and adaptive execution may split either of them where one
+    block has very many events or transactions.
     """
-    height = height or HEIGHT[family]
-    block_hash = block_hash or HASH[family]
+    store = BlockStore.of(blocks)
+    height, block_hash = _key_columns(store, family, height, block_hash)
     stats = stats or event_stats(events)
     if check and headers is None:
         require_blocks(events, blocks, height=height, block_hash=block_hash, stats=stats)
     elif check:
         require_blocks(events, headers, height="height", block_hash="hash", stats=stats)
     keys = _event_keys(events)
-    return (
-        within_heights(blocks, stats, height, events)
-        .join(
-            F.broadcast(keys) if stats.fits_broadcast else keys,
-            _same_block(height, block_hash),
-            "inner",
-        )
-        .drop(*_KEYS)
-    )
+    inside = within_heights(blocks, stats, height, events)
+    same = _same_block(height, block_hash)
+    if stats.fits_broadcast:
+        return inside.join(F.broadcast(keys), same, "inner").drop(*_KEYS)
+    if store.height is None or not (hot := _hot_blocks(keys, stats)):
+        return inside.join(keys, same, "inner").drop(*_KEYS)
+    # A bucket can't be split: blocks with very many events are joined apart, by a
+    # shuffle that can. They are few, see HOT_BLOCKS.
+    named = F.broadcast(events.sparkSession.createDataFrame(hot, keys.select(*_KEYS).schema))
+    cold = inside.join(keys.join(named, list(_KEYS), "left_anti"), same, "inner")
+    heights = sorted({row["__height"] for row in hot})
+    few = inside.where(F.col(height).isin(heights)).repartition("tag", height, block_hash)
+    warm = few.join(keys.join(named, list(_KEYS), "left_semi"), same, "inner")
+    return cold.unionByName(warm).drop(*_KEYS)
+
+
+def _key_columns(
+    store: BlockStore, family: str, height: str | None, block_hash: str | None
+) -> tuple[str, str]:
+    return height or store.height or HEIGHT[family], block_hash or store.block_hash or HASH[family]
+
+
+def _hot_blocks(keys: DataFrame, stats: EventStats) -> list[Row]:
+    """Blocks that more than one in ``HOT_BLOCKS`` events name: fewer than that many."""
+    counted = keys.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("__events"))
+    return counted.where(F.col("__events") > stats.count / HOT_BLOCKS).select(*_KEYS).collect()

@@ -41,10 +41,12 @@ def evm_transactions(
     partition_by_size: int = 0,
     columns: Iterable[str] | None = None,
     u64: str = "long",
+    spread: int | None = None,
 ) -> DataFrame:
     """One row per transaction of nested blocks (per event as well, when streamed).
 
     ``columns`` names the payload columns to build; only what they need is read.
+    ``spread`` cuts blocks into pieces of that many transactions and deals these out.
     """
     fields = choose(evm.transactions(chain), columns)
     members = None if columns is None else members_used(fields, "transaction")
@@ -53,7 +55,7 @@ def evm_transactions(
     carried = carried_columns(blocks, _FAMILY)
     if any(f.name == "block" for f in fields):
         carried.append(evm.BLOCK.column(F.col("header"), u64).alias("block"))
-    rows = unnest_transactions(require_body(blocks, _FAMILY), carried, members)
+    rows = unnest_transactions(require_body(blocks, _FAMILY), carried, members, spread=spread)
     return project(
         _with_receipts(rows, members), fields, partition_by_size=partition_by_size, u64=u64
     )

@@ -36,6 +36,7 @@ def rosetta_transactions(
     partition_by_size: int = 0,
     columns: Iterable[str] | None = None,
     u64: str = "long",
+    spread: int | None = None,
 ) -> DataFrame:
     """One row per transaction, numbered by its place in the block.
 
@@ -57,7 +58,7 @@ def rosetta_transactions(
         F.col("timestamp"),
     ]
     rows = unnest_transactions(
-        require_body(blocks, _FAMILY), carried, members, with_position=True
+        require_body(blocks, _FAMILY), carried, members, with_position=True, spread=spread
     )
     if "block_timestamp" in {f.name for f in fields}:
         # Names the position, so that it is not pushed below the unnesting, where it

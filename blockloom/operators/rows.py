@@ -18,9 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blockloom.errors import InvalidArgument
 from blockloom.functions.scalars import partition_floor, require
 from blockloom.schemas.inputs import BODY, HEIGHT
-from blockloom.schemas.kinds import Field, u64_type
+from blockloom.schemas.kinds import U64_TYPES, Field, u64_type
 from blockloom.schemas.tables import EVENT_FIELDS, PARTITION_BY, PARTITION_SIZE, RANGE_BY
 
 EVENT = "event"
@@ -64,9 +65,14 @@ def unnest_transactions(
     members: Sequence[str] | None,
     *,
     with_position: bool = False,
+    spread: int | None = None,
 ) -> DataFrame:
     """One row per transaction, with the carried columns; no row for an empty block.
 
+    With ``spread`` a block's transactions are cut into pieces of that many, which are
+    dealt out before anything is built from them: a block with a large share of all
+    transactions is read by one task, but worked on by many.
+
     Spark reads every member of an array of structs once two of them are used
     above an ``explode``. With ``members`` the array is first cut down to those,
     so that the scan reads no others.
@@ -80,8 +86,35 @@ def unnest_transactions(
         else:
             first = _element_members(blocks)[0]
             transactions = F.arrays_zip(F.col("transactions")[first].alias(first))
-    return unnest(
-        blocks, transactions, "transaction", carried, "position" if with_position else None
+    position = "position" if with_position else None
+    if spread is None:
+        return unnest(blocks, transactions, "transaction", carried, position)
+    pieces = _pieces(blocks, transactions, carried, spread)
+    names = [name for name in pieces.columns if name != "__piece"]
+    rows = unnest(pieces, "__piece.items", "transaction", [*names, F.col("__piece.before")], position)
+    if position is not None:
+        rows = rows.withColumn(position, F.col(position) + F.col("before"))
+    return rows.drop("before")
+
+
+def _pieces(
+    blocks: DataFrame, transactions: Column, carried: Sequence[Column], size: int
+) -> DataFrame:
+    """Carried columns and ``__piece``, up to ``size`` transactions of a block, dealt out.
+
+    All pieces of a block are cut in one go: generated one by one, each would take a copy
+    of the whole block along.
+    """
+    if size <= 0:
+        raise InvalidArgument(f"pieces must hold transactions: {size}")
+    listed = blocks.select(*carried, transactions.alias("__all"))
+    begins = F.sequence(F.lit(0), F.greatest(F.size("__all") - 1, F.lit(0)), F.lit(size))
+    cut = F.transform(
+        begins, lambda k: F.struct(k.alias("before"), F.slice("__all", k + 1, size).alias("items"))
+    )
+    names = [name for name in listed.columns if name != "__all"]
+    return listed.select(*names, F.explode(cut).alias("__piece")).repartition(
+        F.col(_POSITION), F.col("__piece.before")
     )
 
 
@@ -128,6 +161,13 @@ def carried_columns(blocks: DataFrame, family: str) -> list[Column]:
     return carried
 
 
+def _refuse_wrapping(rows: DataFrame, u64: str) -> None:
+    """Without ANSI casts, what is past 2^63-1 would come out negative instead of failing."""
+    ansi = rows.sparkSession.conf.get("spark.sql.ansi.enabled", "true") == "true"
+    if u64 == "long" and not ansi and U64_TYPES["decimal"].simpleString() in rows.schema.simpleString():
+        raise InvalidArgument("unsigned values need spark.sql.ansi.enabled, or u64='decimal'")
+
+
 def project(
     rows: DataFrame,
     fields: Sequence[Field],
@@ -138,6 +178,7 @@ def project(
 ) -> DataFrame:
     """The table's columns: event columns if streamed, payload, then the layout."""
     wanted = u64_type(u64)
+    _refuse_wrapping(rows, u64)
     position = F.col(_POSITION) if position is None else position
     position = F.coalesce(position.cast(wanted), F.lit(0).cast(wanted))
     prefix = EVENT_FIELDS if is_streamed(rows) else ()

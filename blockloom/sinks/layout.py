@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blockloom.errors import InvalidArgument
 from blockloom.schemas.tables import PARTITION_BY, PARTITION_SIZE, RANGE_BY, SEQUENCE_NUMBER
+from blockloom.sinks.files import create, names, read
 from blockloom.sources.blocks import prune_partitions
 
 # What tells rows of one height or sequence apart: the first that a table has.
@@ -60,25 +60,21 @@ def arrange(
     return dealt.sortWithinPartitions(PARTITION_BY, *keys)
 
 
-def _note(spark: SparkSession, path: str, name: str) -> str | None:
+def read_note(spark: SparkSession, path: str, name: str) -> str | None:
     """The text that a table's folder keeps under a name hidden from scans."""
-    try:
-        rows = spark.read.text(f"{path.rstrip('/')}/{name}").collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return rows[0][0] if rows else None
+    return read(spark, f"{path.rstrip('/')}/{name}")
 
 
 def note(spark: SparkSession, path: str, name: str, wanted: str) -> str:
-    """Keep ``wanted`` under a name if nothing is kept there yet; what is kept."""
-    kept = _note(spark, path, name)
-    if kept is None:
-        frame = spark.createDataFrame([(wanted,)], "value STRING").coalesce(1)
-        frame.write.mode("overwrite").text(f"{path.rstrip('/')}/{name}")
-        return wanted
-    return kept
+    """Keep ``wanted`` under a name if nothing is kept there yet; what is kept.
+
+    A note is created, never overwritten, and read back: of two writers that come at
+    once both get what one of them has kept.
+    """
+    kept = read_note(spark, path, name)
+    if kept is None and not create(spark, f"{path.rstrip('/')}/{name}", wanted):
+        kept = read_note(spark, path, name)
+    return wanted if kept is None else kept
 
 
 def keep_size(spark: SparkSession, path: str, size: int) -> None:
@@ -102,12 +98,18 @@ def write_table(
 
     ``shuffle=False`` keeps the rows where they are, for blocks that already lie
     in height order; the rows are then only sorted within their tasks, so that a
-    task holds one file open at a time. Rows are appended only to a table of the
-    same partition size.
+    task holds one file open at a time. Rows are appended only to a table that is known
+    to have the same partition size: the size is stored before any row, and data without
+    a stored size is refused.
     """
     spark = df.sparkSession
-    if mode == "append":
+    held = set(names(spark, path))
+    rows = {name for name in held if not name.startswith((".", "_")) or name.startswith(f"{PARTITION_BY}=")}
+    if mode == "append" and rows and SIZE_NOTE not in held:
+        raise InvalidArgument(f"{path} has rows, but it isn't known how they are partitioned")
+    if mode == "append" or (mode == "errorifexists" and not rows):
         keep_size(spark, path, partition_size(df))
+        mode = "append"
     if shuffle:
         arranged = arrange(df, partitions)
     else:
@@ -122,6 +124,29 @@ def write_table(
     keep_size(spark, path, partition_size(df))
 
 
+def write_part(
+    table: DataFrame,
+    path: str,
+    partitions: int | None = None,
+    compression: str = "zstd",
+    shuffle: bool = True,
+) -> None:
+    """Write a part of a table over whatever its directory holds; its caller keeps track
+    of parts, and of the partition size."""
+    order = event_order(table) if SEQUENCE_NUMBER in table.columns else [RANGE_BY, *tie_breakers(table)]
+    if shuffle:
+        arranged = arrange(table, partitions, order)
+    else:
+        arranged = table.sortWithinPartitions(PARTITION_BY, *order)
+    (
+        arranged.write.mode("overwrite")
+        .option("compression", compression)
+        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .partitionBy(PARTITION_BY)
+        .parquet(path)
+    )
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -137,7 +162,7 @@ def read_table(
     size that is stored with the table. A size that disagrees with it is refused; a
     table without a stored one is read by the rows' own position alone.
     """
-    kept = _note(spark, path, SIZE_NOTE)
+    kept = read_note(spark, path, SIZE_NOTE)
     if kept is not None and partition_by_size not in (None, int(kept)):
         raise InvalidArgument(f"{path} is partitioned by {kept}, not by {partition_by_size}")
     reader = spark.read if schema is None else spark.read.schema(schema)

@@ -9,19 +9,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blockloom.errors import InvalidArgument
-from blockloom.schemas.inputs import HEIGHT, block_schema
+from blockloom.schemas.inputs import HASH, HEIGHT, block_schema
+
+BLOCK_HEIGHT, BLOCK_HASH, HEIGHT_BUCKET = "block_height", "block_hash", "height_bucket"
 
 
 @dataclass(frozen=True)
 class BlockStore:
     """Blocks and, where they lie in a directory per bucket of heights, that layout.
 
-    ``bucket_column`` is the height rounded down to ``bucket_size``.
+    ``bucket_column`` is the height rounded down to ``bucket_size``. ``height`` and
+    ``block_hash`` name columns of their own for these, where a store has them; one that
+    :func:`write_block_store` has written is bucketed by them and the tag, and its blocks
+    are joined where they lie.
     """
 
     frame: DataFrame
     bucket_column: str | None = None
     bucket_size: int = 0
+    height: str | None = None
+    block_hash: str | None = None
 
     def __post_init__(self) -> None:
         if (self.bucket_column is None) != (self.bucket_size <= 0):
@@ -51,6 +58,75 @@ class BlockStore:
         return self.frame.where(F.col(self.bucket_column) == F.lit(last))
 
 
+@dataclass(frozen=True)
+class SplitStore:
+    """Blocks in two tables, for chains with very uneven blocks.
+
+    ``transactions`` has (tag, height, hash, transaction), ``headers`` (tag, height, hash,
+    header): a block of any size is many rows. ``blocks`` are the blocks as nested rows,
+    for the tables that list what a block holds; without them there are none. A bucket
+    column, if given, is one of both tables.
+    """
+
+    transactions: DataFrame
+    headers: DataFrame
+    blocks: DataFrame | BlockStore | None = None
+    bucket_column: str | None = None
+    bucket_size: int = 0
+
+    def heights(self) -> BlockStore:
+        """The headers, which tell what blocks there are."""
+        return BlockStore(self.headers, self.bucket_column, self.bucket_size, "height", "hash")
+
+    def rows(self) -> BlockStore:
+        return BlockStore(self.transactions, self.bucket_column, self.bucket_size, "height", "hash")
+
+
+def write_block_store(
+    blocks: DataFrame,
+    table: str,
+    path: str,
+    *,
+    family: str = "evm",
+    bucket_size: int,
+    buckets: int,
+    compression: str = "zstd",
+) -> None:
+    """Add blocks to a table at ``path`` that joins need not shuffle.
+
+    It has a directory for each ``bucket_size`` heights and, in each, ``buckets`` buckets
+    by (tag, height, hash). Blocks are shuffled here, once, to the task that owns their
+    bucket; each writes one file a directory.
+    """
+    if bucket_size <= 0 or buckets <= 0:
+        raise InvalidArgument(f"a store needs sizes: {bucket_size} heights, {buckets} buckets")
+    number = F.col(HEIGHT[family])
+    keyed = blocks.select(
+        *block_schema(family).fieldNames(),
+        number.alias(BLOCK_HEIGHT),
+        F.col(HASH[family]).alias(BLOCK_HASH),
+        (number - number % bucket_size).alias(HEIGHT_BUCKET),
+    )
+    keys = ("tag", BLOCK_HEIGHT, BLOCK_HASH)
+    (
+        keyed.repartition(buckets, *keys)
+        .sortWithinPartitions(HEIGHT_BUCKET, *keys)
+        .write.mode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("compression", compression)
+        .partitionBy(HEIGHT_BUCKET)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(table)
+    )
+
+
+def read_block_store(spark: SparkSession, table: str, bucket_size: int) -> BlockStore:
+    """A store that :func:`write_block_store` has written, by the name of its table."""
+    return BlockStore(spark.table(table), HEIGHT_BUCKET, bucket_size, BLOCK_HEIGHT, BLOCK_HASH)
+
+
 def read_blocks(
     spark: SparkSession,
     path: str,

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from blockloom import ChainMetadata, InvalidArgument, NotFound
 from blockloom.plans import ranges
@@ -130,6 +131,56 @@ def test_missing_heights(spark):
     blocks = heights(spark, 0, 1, 1, 4, 9)
     gaps = ranges.missing_heights(blocks, 0, 6, height="height")
     assert sorted(r[0] for r in gaps.collect()) == [2, 3, 5]
-    ranges.require_complete(blocks, 0, 2, height="height")
-    with pytest.raises(NotFound, match="3 blocks are missing.*first 2"):
-        ranges.require_complete(blocks, 0, 6, height="height")
+    once = heights(spark, 0, 1, 4, 9)
+    ranges.require_complete(once, 0, 2, height="height")
+    with pytest.raises(NotFound, match="3 blocks are missing.*first 2 to 3"):
+        ranges.require_complete(once, 0, 6, height="height")
+
+
+def test_heights_stored_twice_are_refused(spark):
+    blocks = heights(spark, 0, 1, 1, 2, 3, 3, 3, 9)
+    ranges.require_complete(blocks, 2, 3, height="height")
+    with pytest.raises(InvalidArgument, match="2 heights are stored more than once.*first 1, 2 times"):
+        ranges.require_complete(blocks, 0, 4, height="height")
+    found = ranges.doubled_heights(blocks, 0, 10, height="height")
+    assert sorted(map(tuple, found.collect())) == [(1, 2), (3, 3)]
+
+
+def gaps_of(there, start, end):
+    found, at = [], start
+    for n in [*sorted(n for n in set(there) if start <= n < end), end]:
+        if n > at:
+            found.append((at, n))
+        at = n + 1
+    return found
+
+
+@pytest.mark.parametrize(
+    "start, end, gone",
+    [
+        (0, 10, []),
+        (0, 10, [0, 9]),
+        (5, 90_000, [*range(32_760, 32_780), *range(40_000, 80_000), 89_999, 7]),
+        (100, 33_000, range(100, 33_000)),
+        (32_768, 65_536, [32_768, 65_535]),
+        (10, 200_000, [*range(11, 199_000)]),
+    ],
+)
+def test_gaps_are_whole_intervals(spark, start, end, gone):
+    gone = set(gone)
+    rows = spark.range(start - 1, end + 2).where(~F.col("id").isin(sorted(gone))) if len(gone) < 50 else None
+    if rows is None:
+        rows = spark.createDataFrame([(n,) for n in gone], "n BIGINT").join(
+            spark.range(start - 1, end + 2), F.col("n") == F.col("id"), "right"
+        ).where("n IS NULL").select("id")
+    rows = rows.withColumnRenamed("id", "height")
+    found = ranges.height_gaps(rows, start, end, height="height")
+    want = gaps_of([n for n in range(start - 1, end + 2) if n not in gone], start, end)
+    assert sorted(map(tuple, found.collect())) == want
+
+
+def test_completeness_needs_one_shuffle_of_folded_heights(spark):
+    frame = spark.range(0, 100_000, 1, 8).withColumnRenamed("id", "height")
+    folded = ranges._folded(frame, 0, 100_000, F.col("height"))
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_bitmap_construct_agg" in plan
