@@ -425,6 +425,48 @@ _ORACLES = {
     "blocks_processed": "SELECT count(*) AS blocks_processed FROM orders",
 }
 
+_TIP = "(SELECT max(o_orderkey) - 100 FROM orders)"
+_GAPS = f"""gone AS (
+  SELECT k, k - row_number() OVER (ORDER BY k) AS island FROM (
+    SELECT unnest(range(0, {_TIP})) AS k EXCEPT SELECT l_orderkey FROM lineitem))"""
+
+_ORACLES |= {
+    "chain_metadata": """SELECT (SELECT min(o_orderkey) FROM orders) AS block_start_height,
+        m AS irreversible_distance, (SELECT max(o_orderkey) FROM orders) - m AS tip_height
+        FROM (SELECT max(n) AS m FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey))""",
+    "stream_positions": """WITH b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events),
+        p AS (SELECT 'EARLIEST' AS position, lo AS s FROM b UNION ALL SELECT 'LATEST', hi FROM b
+          UNION ALL SELECT 'MIDDLE', (lo + hi) // 2 FROM b)
+        SELECT position, min(event_id) AS first_sequence, count(*) AS events
+        FROM p JOIN events ON event_id >= s GROUP BY position""",
+    "required_members": """SELECT o_orderstatus AS status, count(*) AS blocks,
+        CAST(sum(o_orderkey) AS BIGINT) AS numbers FROM orders GROUP BY 1""",
+    "height_gaps": f"""WITH {_GAPS} SELECT min(k) AS gap_start, max(k) + 1 AS gap_end
+        FROM gone GROUP BY island""",
+    "doubled_heights": f"""SELECT l_orderkey AS height, count(*) AS blocks FROM lineitem
+        WHERE l_orderkey < {_TIP} GROUP BY 1 HAVING count(*) > 1""",
+    "event_store_replay": _STREAMED_VALUES,
+    "event_store_range": f"""WITH {_E} SELECT seq AS sequence_num, kind_of_event AS type,
+        CAST(1 AS BIGINT) AS tag, height, 'b' || height AS hash
+        FROM e WHERE seq >= (SELECT (min(seq) + max(seq)) // 2 FROM e)""",
+    "bucketed_events": _STREAMED_VALUES,
+    "ledger_split": f"""WITH {_O}, {_L} SELECT l.hash AS transaction_hash,
+        line - 1 AS transaction_index, {_decimal("amount")} AS value, 'c' || o.cust AS miner,
+        {_layout("l.k")} FROM l JOIN o ON o.k = l.k WHERE l.k < {_TIP}""",
+    "ledger_split_stream": _ORACLES["evm_streamed_split_transactions"],
+    "ledger_spread": _ORACLES["batch_query"],
+    "batch_backfill": f"""WITH {_L} SELECT hash AS transaction_hash, line - 1 AS transaction_index,
+        {_decimal("amount")} AS value, {_layout("k")} FROM l WHERE k < {_TIP}""",
+    "backfill_progress": f"""SELECT 'blocks' AS table_name, CAST({_TIP} AS BIGINT) AS blocks_processed
+        UNION ALL SELECT 'streamed_blocks', count(*) FROM events""",
+    "stream_small_batches": _STREAMED_VALUES,
+    "stream_overlap": _STREAMED_VALUES,
+    "catalog_statistics": f"""WITH {_O}, {_P}, t AS (SELECT {_TIP} AS z),
+        r AS (SELECT 'transactions' AS "table", k FROM p UNION ALL SELECT 'blocks', k FROM o)
+        SELECT "table", count(*) AS rows,
+          count(*) FILTER (k // {_SIZE} * {_SIZE} >= z // 2 // {_SIZE} * {_SIZE}) AS later_rows
+        FROM r, t WHERE k < z GROUP BY 1""",
+}
 
 _ORACLES["missing_event_blocks_shuffled"] = _ORACLES["missing_event_blocks"]
 

@@ -19,7 +19,7 @@ from blockloom.demo import ledger
 from blockloom.demo.work import demo_dir
 from blockloom.functions import scalars
 from blockloom.ledger import BatchQuery, Ledger, StreamQuery
-from blockloom.metrics import BLOCKS_PROCESSED, count_blocks
+from blockloom.metrics import BLOCKS_PROCESSED
 from blockloom.operators.bitcoin import (
     bitcoin_blocks,
     bitcoin_split_transactions,
@@ -37,16 +37,37 @@ from blockloom.operators.rosetta import (
     rosetta_raw_transactions,
     rosetta_transactions,
 )
-from blockloom.operators.rows import unnest
+from blockloom.operators.rows import require_body, unnest
 from blockloom.plans import ranges
-from blockloom.plans.catalog import list_tables
+from blockloom.plans.catalog import create_tables, list_tables, table_path
 from blockloom.schemas.bitcoin import INPUTS
 from blockloom.schemas.inputs import split_transactions
 from blockloom.schemas.tables import PARTITION_BY, RANGE_BY, TableKey
 from blockloom.sinks.layout import read_table, write_table
-from blockloom.sources.blocks import parse_blocks, read_blocks, scan_blocks
-from blockloom.sources.events import scan_events, stream_events
-from blockloom.streaming.streams import backfill, replay, stream_table
+from blockloom.sinks.slices import processed, read_slices
+from blockloom.sources.blocks import (
+    BlockStore,
+    SplitStore,
+    parse_blocks,
+    read_block_store,
+    read_blocks,
+    scan_blocks,
+    write_block_store,
+)
+from blockloom.sources.events import (
+    read_event_store,
+    scan_events,
+    stream_events,
+    write_event_store,
+)
+from blockloom.sources.metadata import ChainMetadata, read_metadata
+from blockloom.streaming.streams import (
+    backfill,
+    read_streamed,
+    replay,
+    start_position,
+    stream_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 PARTITION_SIZE = 1000
@@ -1028,7 +1049,272 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def blocks_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks counted while their transactions are written to nowhere."""
     seen = Observation()
-    blocks = count_blocks(ledger.evm_blocks(spark, sf_dir, ["hash"]), seen)
-    narrow = evm_transactions(blocks, columns=["transaction_hash"])
+    end = ranges.tip(_heights(spark, sf_dir), ChainMetadata(), height="height") + 1
+    asked = BatchQuery("transactions", end_height=end)
+    narrow = _ledger(spark, sf_dir).batch(asked, seen=seen, columns=["transaction_hash"])
     narrow.write.format("noop").mode("overwrite").save()
     return spark.createDataFrame([(seen.get[BLOCKS_PROCESSED],)], "blocks_processed BIGINT")
+
+
+# --- stores, and tables written slice by slice -------------------------------
+
+
+@query
+def chain_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain's facts read from a table of them: here the first order, and how many
+    orders a customer has at most."""
+    placed = ledger.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.min("o_orderkey").alias("first"), F.count(F.lit(1)).alias("orders")
+    )
+    facts = read_metadata(
+        placed.agg(
+            F.min("first").alias("block_start_height"), F.max("orders").alias("irreversible_distance")
+        )
+    )
+    tip = ranges.tip(_heights(spark, sf_dir), facts, height="height")
+    return spark.createDataFrame(
+        [(facts.block_start_height, facts.irreversible_distance, tip)],
+        "block_start_height BIGINT, irreversible_distance BIGINT, tip_height BIGINT",
+    )
+
+
+@query
+def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events from each named position on, and from a number."""
+    events = ledger.chain_events(spark, sf_dir)
+    first, last = ranges.event_bounds(events)
+    counts = []
+    for position in ("EARLIEST", "LATEST", (first + last) // 2):
+        begin = start_position(events, position)
+        counts.append(
+            scan_events(events, begin, last + 1).agg(
+                F.lit(str(position) if isinstance(position, str) else "MIDDLE").alias("position"),
+                F.min("sequence_num").alias("first_sequence"),
+                F.count(F.lit(1)).alias("events"),
+            )
+        )
+    return reduce(DataFrame.union, counts)
+
+
+@query
+def required_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks and transactions by status, each through the check of what it must have."""
+    headers = ledger.evm_headers(spark, sf_dir)
+    checked = require_body(headers, "evm").where(
+        scalars.require(F.col("header.hash").isNull(), "hash is required")
+    )
+    return checked.groupBy("status").agg(
+        F.count(F.lit(1)).alias("blocks"), F.sum("header.number").alias("numbers")
+    )
+
+
+@query
+def height_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without a line item, as whole gaps in the heights of the line items."""
+    end = ranges.tip(_heights(spark, sf_dir), ledger.METADATA, height="height")
+    lines = ledger.lines(spark, sf_dir).select(F.col("k").alias("height"))
+    return ranges.height_gaps(lines, 0, end, height="height")
+
+
+@query
+def doubled_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with several line items, as heights stored more than once."""
+    end = ranges.tip(_heights(spark, sf_dir), ledger.METADATA, height="height")
+    lines = ledger.lines(spark, sf_dir).select(F.col("k").alias("height"))
+    return ranges.doubled_heights(lines, 0, end, height="height")
+
+
+@query
+def event_store_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log in a directory for every few sequences, replayed from there."""
+    path = demo_dir(spark, "event-store") + "/events"
+    write_event_store(ledger.chain_events(spark, sf_dir), path, 2 * PARTITION_SIZE)
+    blocks = {"evm": ledger.evm_blocks(spark, sf_dir, ["hash", "index", "value"])}
+    stored = Ledger("ethereum", "mainnet", blocks, read_event_store(spark, path), ledger.METADATA)
+    asked = StreamQuery(
+        "streamed_transactions",
+        stored.stream_earliest(),
+        stored.stream_tip() + 1,
+        partition_by_size=PARTITION_SIZE,
+    )
+    return stored.stream(asked, columns=_STREAM_COLUMNS).withColumn("value", _digits("value"))
+
+
+@query
+def event_store_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half of the stored log, its directories pruned."""
+    path = demo_dir(spark, "event-range") + "/events"
+    write_event_store(ledger.chain_events(spark, sf_dir), path, PARTITION_SIZE)
+    stored = read_event_store(spark, path)
+    first, last = ranges.event_bounds(stored)
+    half = scan_events(stored, (first + last) // 2, last + 1)
+    name = scalars.enum_name(F.col("type"), scalars.EVENT_TYPES).alias("type")
+    return half.select("sequence_num", name, "block.*")
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> BlockStore:
+    """Blocks stored in buckets by key, as a table of the session's catalog."""
+    path = demo_dir(spark, "bucketed") + "/blocks"
+    # Blocks with the members that are asked for below; the others are read as unset.
+    blocks = ledger.evm_blocks(spark, sf_dir, ["hash", "index", "value"])
+    table = "demo_blocks_" + path.split("-")[-1].split("/")[0]
+    write_block_store(blocks, table, path, bucket_size=50 * PARTITION_SIZE, buckets=8)
+    return read_block_store(spark, table, 50 * PARTITION_SIZE)
+
+
+@query
+def bucketed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events too many to be broadcast meet blocks that stay where they lie."""
+    events, blocks = ledger.chain_events(spark, sf_dir), _bucketed(spark, sf_dir)
+    stats = replace(event_stats(events), bytes=BROADCAST_BYTES + 1)
+    resolved = resolve_events(events, blocks, stats=stats)
+    streamed = evm_transactions(resolved, columns=_STREAM_COLUMNS, partition_by_size=PARTITION_SIZE)
+    return streamed.withColumn("value", _digits("value"))
+
+
+def _split_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
+    store = SplitStore(
+        ledger.evm_split_transactions(spark, sf_dir, ["hash", "index", "value"]),
+        ledger.evm_split_headers(spark, sf_dir),
+    )
+    return Ledger(
+        "ethereum", "mainnet", {"evm": store}, ledger.chain_events(spark, sf_dir), ledger.METADATA
+    )
+
+
+_SPLIT_COLUMNS = ["transaction_hash", "transaction_index", "value", "block"]
+
+
+@query
+def ledger_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch query on a split store: line items beside their order's header."""
+    asked = BatchQuery("transactions", partition_by_size=PARTITION_SIZE)
+    result = _split_ledger(spark, sf_dir).batch(asked, columns=_SPLIT_COLUMNS)
+    return result.select(
+        "transaction_hash",
+        "transaction_index",
+        _digits("value").alias("value"),
+        F.col("block.miner").alias("miner"),
+        *_layout(),
+    )
+
+
+@query
+def ledger_split_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream query on a split store."""
+    asked = StreamQuery("streamed_transactions", partition_by_size=PARTITION_SIZE)
+    result = _split_ledger(spark, sf_dir).stream(asked, columns=_STREAM_COLUMNS)
+    return result.withColumn("value", _digits("value"))
+
+
+@query
+def ledger_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch query whose blocks are cut into pieces and dealt out before they are unnested."""
+    asked = BatchQuery("transactions", partition_by_size=PARTITION_SIZE)
+    result = _ledger(spark, sf_dir).batch(asked, spread=2, columns=["transaction_hash", "value"])
+    return result.withColumn("value", _digits("value"))
+
+
+@query
+def batch_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch table written in slices: half of it, and then the whole, which goes on from there."""
+    path = demo_dir(spark, "batch-backfill") + "/table"
+    source = _split_ledger(spark, sf_dir)
+    tip = source.tip()
+    asked = BatchQuery(
+        "transactions", partition_by_size=PARTITION_SIZE, blocks_per_partition=tip // 4 + 1
+    )
+    columns = ["transaction_hash", "transaction_index", "value"]
+    source.backfill(replace(asked, end_height=tip // 2), path, columns=columns)
+    source.backfill(asked, path, columns=columns)
+    written = read_slices(spark, path)
+    return written.withColumns(
+        {"value": _digits("value"), PARTITION_BY: F.col(PARTITION_BY).cast("bigint")}
+    )
+
+
+@query
+def backfill_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks and events that two backfills took, one of them run twice: by table."""
+    root, source = demo_dir(spark, "progress"), _ledger(spark, sf_dir)
+    rows = []
+    for asked in (
+        BatchQuery("blocks", blocks_per_partition=source.tip() // 3 + 1),
+        StreamQuery("streamed_blocks", events_per_partition=source.stream_tip() // 2 + 1),
+    ):
+        path = f"{root}/{asked.table}"
+        for _ in range(2):
+            source.backfill(asked, path, columns=["hash"])
+        rows.append((asked.table, processed(spark, path)))
+    return spark.createDataFrame(rows, "table_name STRING, blocks_processed BIGINT")
+
+
+def _small_batches(spark: SparkSession, root: str, checkpoint: str, start: int, size: int) -> None:
+    """Stream the stored events into the stored table, ``size`` of them at a time."""
+    stream_table(
+        "ethereum",
+        _STREAMED,
+        stream_events(spark, f"{root}/events", start=start),
+        lambda session: read_blocks(session, f"{root}/blocks"),
+        f"{root}/table",
+        f"{root}/{checkpoint}",
+        columns=_STREAM_COLUMNS,
+        partition_by_size=PARTITION_SIZE,
+        events_per_part=size,
+    ).trigger(availableNow=True).start().awaitTermination()
+
+
+def _each_event_once(spark: SparkSession, path: str) -> DataFrame:
+    table = read_streamed(spark, path).select("_sequence_number", "_event_type", *_STREAM_COLUMNS, *_layout())
+    return table.withColumns(
+        {"value": _digits("value"), PARTITION_BY: F.col(PARTITION_BY).cast("bigint")}
+    )
+
+
+@query
+def stream_small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file with all events, streamed in parts of a quarter of the log."""
+    root = demo_dir(spark, "small-batches")
+    events = ledger.chain_events(spark, sf_dir)
+    _store_blocks(spark, sf_dir, root)
+    events.coalesce(1).write.parquet(f"{root}/events")
+    low, high = ranges.event_bounds(events)
+    _small_batches(spark, root, "checkpoint", low, (high - low) // 4 + 1)
+    return _each_event_once(spark, f"{root}/table")
+
+
+@query
+def stream_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with checkpoints of their own: the second begins before the first's end."""
+    root = demo_dir(spark, "overlap")
+    events = ledger.chain_events(spark, sf_dir)
+    low, high = ranges.event_bounds(events)
+    third = (high - low) // 3
+    _store_blocks(spark, sf_dir, root)
+    scan_events(events, low, low + 2 * third).coalesce(1).write.parquet(f"{root}/events")
+    _catch_up(spark, root, "first", low)
+    scan_events(events, low + 2 * third, high + 1).coalesce(1).write.mode("append").parquet(f"{root}/events")
+    _catch_up(spark, root, "second", low + third)
+    return _each_event_once(spark, f"{root}/table")
+
+
+@query
+def catalog_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two written tables as tables of the catalog: their rows by its statistics, and the
+    rows of the later directories by SQL."""
+    root = demo_dir(spark, "catalog")
+    source, prefix = _ledger(spark, sf_dir), "demo_" + root.split("-")[-1] + "_"
+    for table in ("transactions", "blocks"):
+        asked = BatchQuery(table, partition_by_size=PARTITION_SIZE)
+        write_table(source.batch(asked), table_path(root, TableKey(table)))
+    created = create_tables(spark, root, "ethereum", "mainnet", prefix=prefix)
+    half = source.tip() // 2 // PARTITION_SIZE * PARTITION_SIZE
+    later = [
+        spark.table(name).where(F.col(PARTITION_BY) >= half).agg(
+            F.lit(name.rpartition(prefix)[2]).alias("table"), F.count(F.lit(1)).alias("later_rows")
+        )
+        for name in created
+    ]
+    listing = list_tables(spark, "ethereum", "mainnet", database="default", prefix=prefix)
+    known = listing.where("total_records >= 0").select("table", F.col("total_records").alias("rows"))
+    return known.join(reduce(DataFrame.union, later), "table")

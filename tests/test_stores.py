@@ -11,6 +11,7 @@ from blockloom import BatchQuery, ChainMetadata, InvalidArgument, Ledger, NotFou
 from blockloom.operators import events as joins
 from blockloom.operators.evm import evm_blocks, evm_transactions
 from blockloom.plans import ranges
+from blockloom.plans.catalog import create_tables, list_tables, refresh_table, table_path, table_size
 from blockloom.sinks import slices
 from blockloom.sinks.layout import SIZE_NOTE, note, read_note, read_table, write_table
 from blockloom.sources.blocks import BlockStore, SplitStore, read_block_store, read_blocks, write_block_store
@@ -363,3 +364,36 @@ def test_parts_bound_what_a_single_file_brings(spark, tmp_path):
     assert len({r.batch_id for r in written.select("batch_id").collect()}) == 1
     with pytest.raises(InvalidArgument, match="parts of 6"):
         follow(spark, root, "second", events_per_part=7)
+
+
+# --- the session's catalog -------------------------------------------------------------
+
+
+def test_tables_of_the_catalog(spark, chains, tmp_path):
+    nested, root = chains[0], str(tmp_path / "tables")
+    query = BatchQuery("transactions", 2, 20, partition_by_size=10)
+    path = table_path(root, TableKey("transactions"))
+    write_table(nested.batch(query), path)
+    [name] = create_tables(spark, root, "ethereum", "mainnet", prefix="kept_")
+    try:
+        assert name == "default.kept_transactions" and name in {f"default.{t.name}" for t in spark.catalog.listTables()}
+        rows = nested.batch(query).count()
+        records, size = table_size(spark, name)
+        assert records == rows == spark.table(name).count() and size > 0
+        about = {r["col_name"]: r["comment"] for r in spark.sql(f"DESCRIBE {name}").collect()}
+        wanted = {f.name: f.metadata.get("comment") for f in nested.schema("transactions")}
+        assert {c: about[c] for c in wanted} == wanted
+        part = spark.sql(f"SELECT transaction_hash FROM {name} WHERE _partition_by >= 10")
+        assert "PartitionFilters: [isnotnull(_partition_by" in plan(part)
+        # Rows that come later show once the table is refreshed.
+        write_table(nested.batch(replace(query, start_height=20, end_height=30)), path, mode="append")
+        assert table_size(spark, name)[0] == rows
+        assert create_tables(spark, root, "ethereum", "mainnet", prefix="kept_") == [name]
+        assert table_size(spark, name)[0] == spark.table(name).count() > rows
+        listing = list_tables(spark, "ethereum", "mainnet", database="default", prefix="kept_").collect()
+        known = {r.table_key: r.total_records for r in listing if r.total_records >= 0}
+        assert known == {str(TableKey("transactions")): table_size(spark, name)[0]} and len(listing) > 1
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    with pytest.raises(NotFound):
+        refresh_table(spark, name)
