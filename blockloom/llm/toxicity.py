@@ -6,19 +6,24 @@ has fixed words and, for what they don't cover, other languages above all, begin
 of words that are far more frequent in toxic texts than in others. These beginnings
 and the trees are learned from folds 1 to 3, the isotonic curve from fold 4, whose rows
 neither has seen. All is fitted by Spark over all labelled rows of these folds.
+
+All beginnings that pass the thresholds are used, however many. Up to ``SENT_BEGINNINGS``
+they go to the tasks as a set; beyond that they stay a table, and each text is joined
+with those that it has.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockloom.llm.labels import fold, one_label
@@ -57,9 +62,9 @@ FEATURES = (
     "learned_near_second_person",
 )
 
-#: Lengths of the beginnings of words that are learned, and how many are kept at most.
+#: Lengths of the beginnings of words that are learned, and how many are sent to tasks.
 BEGINNINGS = (3, 4, 5, 6)
-LEXICON = 2000
+SENT_BEGINNINGS = 100_000
 #: A beginning is kept if at least so many toxic texts have it, if it is so many times
 #: as frequent in them as in others, and from so high a log-likelihood ratio on.
 LEAST_TEXTS, LEAST_RATIO, LEAST_EVIDENCE = 5, 8.0, 25.0
@@ -69,7 +74,10 @@ BROADCAST_ROWS = 500_000
 #: Characters that stand for letters in disguised words.
 DISGUISE = str.maketrans("013457@$!|", "oieastasii")
 _WORD = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
-_CLOAKED = re.compile(r"(?<![^\s(\"'])(?=[^\s]*[A-Za-z])(?=[^\s]*[0-9@$!|*._-][A-Za-z])[A-Za-z0-9@$!|*._-]{3,24}(?![^\s),;:?\"'])")
+#: Stretches that may be a disguised word, a letter behind such a sign, and white space.
+_STRETCH = re.compile(r"[A-Za-z0-9@$!|*._-]+")
+_BEHIND = re.compile(r"[0-9@$!|*._-](?=[A-Za-z])")
+_SPACE = re.compile(r"\s")
 _SPELT = re.compile(r"(?<!\w)(?:[A-Za-z][ .\-_*]){2,15}[A-Za-z](?!\w)")
 _TRIPLE = re.compile(r"(.)\1{2,}")
 
@@ -79,9 +87,32 @@ def _reveal(token: str) -> str:
     return re.sub(r"[^a-z]", "", plain)
 
 
+def _cloaked(text: str) -> list[str]:
+    """Stretches of 3 to 24 letters, digits and signs that stand alone, if they, or what
+    follows up to the next white space, have a letter behind a digit or sign."""
+    behind = [m.start() for m in _BEHIND.finditer(text)]
+    if not behind:
+        return []
+    spaces = [m.start() for m in _SPACE.finditer(text)] + [len(text)]
+    found = []
+    for m in _STRETCH.finditer(text):
+        begin, end = m.span()
+        if not 3 <= end - begin <= 24:
+            continue
+        before, after = text[begin - 1 : begin], text[end : end + 1]
+        if before not in "(\"'" and not before.isspace():
+            continue
+        if after not in "),;:?\"'" and not after.isspace():
+            continue
+        at = bisect_left(behind, begin)
+        if at < len(behind) and behind[at] < spaces[bisect_left(spaces, begin)]:
+            found.append(m.group())
+    return found
+
+
 def _disguised(text: str, words: list[str]) -> tuple[int, int]:
     """Lexicon words in disguise, and tokens that look disguised."""
-    tokens = [m.group() for m in _CLOAKED.finditer(text)] + [m.group() for m in _SPELT.finditer(text)]
+    tokens = _cloaked(text) + [m.group() for m in _SPELT.finditer(text)]
     found = sum(1 for t in tokens if _reveal(t) in ABUSE and t.lower() not in ABUSE)
     for word in words:
         if _TRIPLE.search(word):
@@ -133,13 +164,10 @@ def measure(text: str, learned: frozenset[str] = frozenset()) -> list[float]:
     ]
 
 
-def learn_lexicon(texts_: DataFrame, size: int = LEXICON) -> frozenset[str]:
-    """Beginnings of words that mark toxic texts, from a frame with text and label.
-
-    Counted over all rows given; the driver gets the ``size`` most telling ones.
-    """
-    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}\p{Nd}]+"))
-    cut = F.array_distinct(
+def _beginnings(text: Column) -> Column:
+    """The different beginnings of the words of a text, of all lengths that are learned."""
+    words = F.array_distinct(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{Nd}]+"))
+    return F.array_distinct(
         F.flatten(
             F.transform(
                 F.filter(words, lambda w: F.char_length(w) >= min(BEGINNINGS)),
@@ -147,13 +175,22 @@ def learn_lexicon(texts_: DataFrame, size: int = LEXICON) -> frozenset[str]:
             )
         )
     )
+
+
+def learn_lexicon(texts_: DataFrame) -> DataFrame | None:
+    """Beginnings of words that mark toxic texts (``begin``), from a frame with text and
+    label; None if a class is missing.
+
+    Counted over all rows given. A beginning that a shorter one implies is left out: it
+    would mark no more words.
+    """
     rows = texts_.groupBy("label").count().collect()
     totals = {r["label"]: r["count"] for r in rows}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
-        return frozenset()
+        return None
     counted = (
-        texts_.select("label", F.explode(cut).alias("begin"))
+        texts_.select("label", F.explode(_beginnings(F.col("text"))).alias("begin"))
         .groupBy("begin")
         .agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
         .filter(F.col("t") >= LEAST_TEXTS)
@@ -166,27 +203,65 @@ def learn_lexicon(texts_: DataFrame, size: int = LEXICON) -> frozenset[str]:
 
     evidence = 2 * (part(F.col("t"), n * share) + part(F.col("c"), n * (1 - share)))
     ratio = (F.col("t") / toxic) / ((F.col("c") + 0.5) / clean)
-    kept = (
-        counted.withColumn("evidence", evidence)
-        .filter((ratio >= LEAST_RATIO) & (F.col("evidence") >= LEAST_EVIDENCE))
-        .orderBy(F.desc("evidence"), "begin")
-        .limit(size)
+    kept = settle(
+        counted.filter((ratio >= LEAST_RATIO) & (evidence >= LEAST_EVIDENCE)).select("begin")
+    )
+    shorter = F.array(*(F.substring("begin", 1, i) for i in BEGINNINGS[:-1]))
+    implied = (
+        kept.select("begin", F.explode(shorter).alias("short"))
+        .filter("short <> begin")
+        .join(kept.select(F.col("begin").alias("short")), "short", "left_semi")
     )
-    return frozenset(r["begin"] for r in kept.select("begin").collect())
+    return kept.join(implied.select("begin"), "begin", "left_anti")
 
 
-def featurise(docs: DataFrame, learned: frozenset[str] = frozenset()) -> DataFrame:
-    """doc_id and features, an array of doubles, of every row."""
+def marked(docs: DataFrame, learned: DataFrame) -> DataFrame:
+    """doc_id, text and marks, the learned beginnings that a text has.
+
+    Rows are numbered, so that repeated ones stay apart; only beginnings that are learned
+    are gathered again.
+    """
+    rows = settle(docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id()))
+    held = (
+        rows.select("_row", F.explode(_beginnings(F.col("text"))).alias("begin"))
+        .join(learned, "begin")
+        .groupBy("_row")
+        .agg(F.collect_list("begin").alias("marks"))
+    )
+    return rows.join(held, "_row", "left").drop("_row")
+
+
+def featurise(
+    docs: DataFrame, learned: DataFrame | None = None, sent: int = SENT_BEGINNINGS
+) -> DataFrame:
+    """doc_id and features, an array of doubles, of every row.
+
+    ``learned`` are beginnings of words (``begin``). Up to ``sent`` of them the driver
+    sends to the tasks; more are joined with the texts that have them.
+    """
+    known: frozenset[str] = frozenset()
+    rows = docs.select("doc_id", "text")
+    if learned is not None:
+        first = learned.limit(sent + 1).collect()
+        if len(first) <= sent:
+            known = frozenset(r["begin"] for r in first)
+        else:
+            rows = marked(docs, learned)
+    joined = "marks" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([measure(t.decode(), learned) for t in texts(batch)], pa.list_(pa.float64()))
+            marks = batch.column("marks").to_pylist() if joined else [None] * batch.num_rows
+            made = [
+                measure(t.decode(), frozenset(own or ()) if joined else known)
+                for t, own in zip(texts(batch), marks)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), made], ["doc_id", "features"]
+                [batch.column("doc_id"), pa.array(made, pa.list_(pa.float64()))], ["doc_id", "features"]
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").transform(in_batches(run, f"doc_id {kind}, features array<double>"))
+    return rows.transform(in_batches(run, f"doc_id {kind}, features array<double>"))
 
 
 def toxicity(
@@ -236,9 +311,12 @@ def toxicity(
     scored = probability(out.withColumn("features", array_to_vector("features")))
     if min(counts.get((True, c), 0) for c in (0, 1)) == 0:
         return scored.select("doc_id", "held_out", F.col("raw").alias("score"))
-    curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(
-        probability(known.filter("fold = 4")).select("raw", "label")
-    )
+    # Few trees give few different scores: rows of one score become one, with their number.
+    scores = probability(known.filter("fold = 4")).groupBy("raw")
+    scores = scores.agg(F.avg("label").alias("label"), F.count("label").cast("double").alias("weight"))
+    curve = IsotonicRegression(
+        featuresCol="raw", labelCol="label", weightCol="weight", predictionCol="score"
+    ).fit(scores)
     return curve.transform(scored.select("doc_id", "held_out", "raw")).select(
         "doc_id", "held_out", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score")
     )

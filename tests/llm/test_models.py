@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import time
+import re
 import random
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.ml.regression import IsotonicRegression
+from pyspark.sql import functions as F
 
 from blockloom.llm import quality_model, toxicity
 
@@ -120,7 +124,57 @@ def test_beginnings_are_learned(spark):
             words.insert(3, "grulx" + draw.choice(["a", "en", "oso"]))
         rows.append((" ".join(words) + (" onlyonce" if k == 8 else ""), int(k % 8 == 0)))
     frame = spark.createDataFrame(rows + [(None, 0), ("", 1)], "text string, label int")
-    assert toxicity.learn_lexicon(frame) >= {"grul", "grulx"}
-    assert all(x.startswith("gru") for x in toxicity.learn_lexicon(frame))
-    assert toxicity.learn_lexicon(frame.filter("label = 1")) == frozenset()
+    # Longer beginnings mark no other words.
+    assert [r.begin for r in toxicity.learn_lexicon(frame).collect()] == ["gru"]
+    assert toxicity.learn_lexicon(frame.filter("label = 1")) is None
     assert toxicity.measure("a grulxen you", frozenset({"grul"}))[-4:] == [1.0, 1 / 3, 1.0, 1.0]
+
+
+def test_many_beginnings_are_joined_and_give_the_same(spark, docs):
+    rows = [(1, "a grulxen you"), (1, "a grulxen you"), (2, None), (3, ""), (4, "zorf Grulo, you zorf"), (5, "plain")]
+    learned = spark.createDataFrame([("gru",), ("zor",), ("zorfi",)], "begin string")
+    sent = toxicity.featurise(docs(rows), learned).collect()
+    joined = toxicity.featurise(docs(rows), learned, sent=2).collect()
+    assert sorted(map(str, sent)) == sorted(map(str, joined)) and len(joined) == len(rows)
+    begun = toxicity.FEATURES.index("learned")
+    assert sorted((r.doc_id, r.features[begun]) for r in joined) == [(1, 1.0), (1, 1.0), (2, 0.0), (3, 0.0), (4, 3.0), (5, 0.0)]
+
+
+def test_cloaked_stretches():
+    brute = re.compile(
+        r"(?<![^\s(\"'])(?=[^\s]*[A-Za-z])(?=[^\s]*[0-9@$!|*._-][A-Za-z])[A-Za-z0-9@$!|*._-]{3,24}(?![^\s),;:?\"'])"
+    )
+    draw = random.Random(4)
+    for _ in range(3000):
+        text = "".join(draw.choice("aB1@.-('\"),;: \n\té€") * draw.choice([1, 1, 1, 9]) for _ in range(draw.randrange(30)))
+        assert toxicity._cloaked(text) == [m.group() for m in brute.finditer(text)], text
+
+
+@pytest.mark.parametrize("unit", ["(", '"', "'a", "'aaa1a", "a1a ", "!", "x"])
+def test_measuring_is_linear(unit):
+    start = time.perf_counter()
+    toxicity.measure(unit * (1_000_000 // len(unit)))
+    assert time.perf_counter() - start < 8  # quadratic: hours
+
+
+def test_folded_scores_give_the_same_curve(spark):
+    draw = np.random.default_rng(5)
+    raw = draw.choice([0.1, 0.2, 0.4, 0.7], 400)
+    rows = spark.createDataFrame([(float(x), float(draw.random() < x)) for x in raw], "raw double, label double")
+    folded = rows.groupBy("raw").agg(F.avg("label").alias("label"), F.count("label").cast("double").alias("weight"))
+    whole = IsotonicRegression(featuresCol="raw").fit(rows)
+    curve = IsotonicRegression(featuresCol="raw", weightCol="weight").fit(folded)
+    assert np.allclose(curve.predictions.toArray(), whole.predictions.toArray())
+    assert np.allclose(curve.boundaries.toArray(), whole.boundaries.toArray())
+
+
+def test_held_out_recall_and_order_of_toxic_texts(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    scored = toxicity.toxicity(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    found = scored.join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").filter("held_out").collect()
+    toxic = [r.score for r in found if r.toxic == 1]
+    clean = [r.score for r in found if r.toxic == 0]
+    assert sum(x >= 0.5 for x in toxic) >= 0.9 * len(toxic)
+    assert sum(x >= 0.5 for x in clean) <= 0.01 * len(clean)
+    pairs = sum((a > b) + (a == b) / 2 for a in toxic for b in clean)
+    assert pairs >= 0.97 * len(toxic) * len(clean)
