@@ -2,21 +2,28 @@
 
 An Aho-Corasick automaton holds all pieces. One pass over a text reports, at every
 position, the longest piece that ends there and then, along the output links, all
-shorter ones; each relaxes the best score of its end, so the pass is Viterbi's and
-finds the segmentation with the greatest sum of scores. Of equal sums the longer last
-piece wins. A character that no piece covers costs ten more than the worst piece and
-is written as its UTF-8 bytes.
+shorter ones; each relaxes the best score of its end, so the pass is Viterbi's.
+
+What it relaxes by depends on how the model was trained, which its scores tell:
+
+* Scores of a unigram model are log-probabilities. The segmentation with the greatest sum
+  wins; of equal sums, the longer last piece. A character that no piece covers costs ten
+  more than the worst piece.
+* Scores of a model trained by merges are ranks, and sums of them mean nothing: the
+  model joins the pair of best rank first. A piece then relaxes its end only from a
+  position whose last piece may stand beside it, that is, if joining both anew never
+  joins anything across their border. One piece is left at every position, and the ids
+  are the model's own. Where pieces share a rank (runs of blanks), merges are carried out.
+
+A character that no piece covers is written as its UTF-8 bytes.
 
 Where no piece goes on past a blank into a word, no segmentation crosses the start
 of a word's blanks; then words are segmented one by one and remembered.
-
-The scores are those of the model file, used as a unigram model's. A model trained by
-byte-pair merges keeps its vocabulary and its decoding, but its own encoder may cut a
-word differently.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from functools import cached_property
@@ -33,8 +40,9 @@ from blockloom.llm.shared import in_batches, slices, texts
 
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Words whose segmentation a worker remembers.
+#: Words whose segmentation a worker remembers, and pairs of pieces.
 REMEMBERED = 120_000
+PAIRS = 500_000
 
 
 class Pieces:
@@ -65,6 +73,111 @@ class Pieces:
         alone = "" if any("\n" in name for name in self.scores) else "\n"
         self._parts = None if inside else re.compile(f"{BLANK}*[^{BLANK}{alone}]+|{BLANK}+|\n")
         self._memory: dict[str, tuple[int, ...]] = {}
+        long = {name: score for name, (_, score) in self.scores.items() if len(name) > 1}
+        self.by_merges = all(score <= 0 and score == int(score) for score in long.values())
+        self._rank = {name: -score for name, score in long.items()}
+        seen, shared = set(), set()
+        for rank in self._rank.values():
+            (shared if rank in seen else seen).add(rank)
+        # Characters of pieces that share their rank: where two stand together, merges are carried out.
+        self._tied = {name[:2] for name, rank in self._rank.items() if rank in shared}
+        self._halves: dict[str, tuple[str, str]] = {}
+        self._pairs: dict[tuple[str, str], bool] = {}
+        if self.by_merges:
+            for name in long:
+                steps: list[tuple[str, str]] = []
+                if self._merge(name, steps) == [name]:
+                    self._halves[name] = steps[-1]
+
+    def _merge(self, text: str, steps: list[tuple[str, str]] | None = None) -> list[str]:
+        """The model's own way: of all neighbours join those of best rank, the first ones
+        of equal rank, until none can be joined."""
+        parts: list[str | None] = list(text)
+        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
+        waiting: list[tuple[float, int, str]] = []
+
+        def offer(k: int) -> None:
+            if 0 <= k and after[k] < len(parts):
+                both = parts[k] + parts[after[k]]
+                if both in self._rank:
+                    heapq.heappush(waiting, (self._rank[both], k, both))
+
+        for k in range(len(parts) - 1):
+            offer(k)
+        while waiting:
+            _, k, both = heapq.heappop(waiting)
+            if parts[k] is None or after[k] >= len(parts) or parts[k] + parts[after[k]] != both:
+                continue
+            right = after[k]
+            if steps is not None:
+                steps.append((parts[k], parts[right]))
+            parts[k], parts[right], after[k] = both, None, after[right]
+            if after[k] < len(parts):
+                before[after[k]] = k
+            offer(before[k])
+            offer(k)
+        return [part for part in parts if part is not None]
+
+    def _beside(self, left: str, right: str) -> bool:
+        """Whether two pieces stand side by side: going back through their merges, latest
+        first, no pair at the border would have been joined while both lasted."""
+        known = self._pairs.get((left, right))
+        if known is not None:
+            return known
+        rank, halves, x, y = self._rank, self._halves, left, right
+        x_ends = y_ends = float("inf")
+        while True:
+            joined = rank.get(x + y)
+            if joined is not None and joined < x_ends and joined <= y_ends:
+                fits = False
+                break
+            x_made, y_made = (rank[p] if p in halves else -1.0 for p in (x, y))
+            if x_made < 0 and y_made < 0:
+                fits = True
+                break
+            # Of equal merges the one further left comes first, so the right one is undone.
+            if x_made > y_made:
+                x_ends, x = x_made, halves[x][1]
+            else:
+                y_ends, y = y_made, halves[y][0]
+        if len(self._pairs) >= PAIRS:
+            self._pairs.clear()
+        self._pairs[left, right] = fits
+        return fits
+
+    def _walk(self, text: str) -> tuple[int, ...]:
+        """The model's own segmentation, by which pieces may stand side by side."""
+        n = len(text)
+        last: list[str | None] = [None] * (n + 1)
+        at = 0
+        for end, (length, piece, _) in self.automaton.iter(text):
+            end += 1
+            while at < end - 1:  # a character that no piece has
+                at += 1
+                last[at] = last[at] or ""
+            if last[end] is None:
+                name = text[end - length : end]
+                before = last[end - length] if end > length else ""
+                if not before or self._beside(before, name):
+                    last[end] = name
+        out: list[int] = []
+        at = n
+        while at:
+            name = last[at]
+            if name:
+                out.append(self.scores[name][0])
+                at -= len(name)
+            else:
+                out += [self.octets[b] for b in reversed(text[at - 1].encode())]
+                at -= 1
+        return tuple(reversed(out))
+
+    def _merged(self, text: str) -> tuple[int, ...]:
+        out: list[int] = []
+        for part in self._merge(text):
+            known = self.scores.get(part)
+            out += [known[0]] if known else [self.octets[b] for b in part.encode()]
+        return tuple(out)
 
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
@@ -77,6 +190,9 @@ class Pieces:
 
     def viterbi(self, text: str) -> tuple[int, ...]:
         """The best segmentation of ``text``, blanks already written as such."""
+        if self.by_merges:
+            tied = any(pair in text for pair in self._tied)
+            return self._merged(text) if tied else self._walk(text)
         n = len(text)
         best: list[float] = [0.0] + [-1e300] * n
         last: list[tuple[int, int]] = [(1, -1)] * (n + 1)  # length and id of the last piece

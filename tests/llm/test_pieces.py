@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import random
+import time
 
 import pytest
 import sentencepiece
@@ -18,6 +19,12 @@ def vocabulary():
         return pieces.Pieces(file.read())
 
 
+@pytest.fixture(scope="module")
+def library():
+    with open(pieces.MODEL, "rb") as file:
+        return sentencepiece.SentencePieceProcessor(model_proto=file.read())
+
+
 def slow(vocabulary, text):
     """Best sum over all segmentations, and the ids of the one with the longest last pieces."""
     text = pieces.BLANK + text.replace(" ", pieces.BLANK) if text else ""
@@ -47,9 +54,36 @@ def samples():
     return TEXTS + ["".join(draw.choices(letters, k=draw.randint(1, 60))) for _ in range(60)]
 
 
-def test_viterbi_is_the_best_segmentation(vocabulary):
+def test_scores_of_a_unigram_model_are_added_up():
+    with open(pieces.MODEL, "rb") as file:
+        model = pieces.Pieces(file.read())
+    assert model.by_merges
+    model.by_merges = False  # the same pieces, their scores taken as log-probabilities
     for text in samples():
-        assert vocabulary.encode(text) == slow(vocabulary, text)
+        assert model.encode(text) == slow(model, text)
+
+
+def test_ids_are_the_models_own(vocabulary, library):
+    draw = random.Random(6)
+    parts = ["  ", "   ", "\n", "a", "the", "ß", "日", "▁", " ", "😀", "é", "1", "\t", "aaaa", "ing", "\r", "Über"]
+    mixed = ["".join(draw.choices(parts, k=draw.randint(1, 25))) for _ in range(2000)]
+    for text in samples() + mixed:
+        assert vocabulary.encode(text) == library.encode(text), text
+
+
+def test_ids_of_all_documents_are_the_models_own(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = pieces.encode(docs, carry=("text",)).collect()
+    assert len(got) == docs.count()
+    assert [r.doc_id for r in got if r.ids != library.encode(r.text or "")] == []
+
+
+def test_long_texts_take_time_in_proportion(vocabulary):
+    start = time.perf_counter()
+    for unit in ("a", "ab", " ", "日", "😀", "\n"):
+        text = unit * (200_000 // len(unit))
+        assert vocabulary.decode(vocabulary.encode(text)) == text
+    assert time.perf_counter() - start < 30
 
 
 def test_round_trip(vocabulary):
@@ -57,12 +91,10 @@ def test_round_trip(vocabulary):
         assert vocabulary.decode(vocabulary.encode(text)) == text.replace(pieces.BLANK, " ")
 
 
-def test_decodes_as_the_library_does(vocabulary):
-    with open(pieces.MODEL, "rb") as file:
-        known = sentencepiece.SentencePieceProcessor(model_proto=file.read())
+def test_decodes_as_the_library_does(vocabulary, library):
     for text in samples():
-        ids = known.encode(text)
-        assert vocabulary.decode(ids) == known.decode(ids)
+        ids = library.encode(text)
+        assert vocabulary.decode(ids) == library.decode(ids)
 
 
 def test_whole_text_gives_the_same_as_words(vocabulary):
