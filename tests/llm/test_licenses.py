@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import math
 import re
 
@@ -12,16 +13,26 @@ def vector(words, df, n):
     return {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in words}
 
 
+@functools.lru_cache(maxsize=None)
 def split(text):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     return set(re.findall(r"[^\W_]+", lower)) - set(licenses.COMMON)
 
 
+def agree(unit, template):
+    numbers = {w for w in template if w.isdigit()}
+    return numbers <= set(unit) and set(unit) & set(licenses.TELLING) == set(template) & set(licenses.TELLING)
+
+
+def denied(unit):
+    return re.search(licenses.DENIED, unit)
+
+
 def brute(rows):
     files = {}
     for path, text in rows:
         files.setdefault(path or "", []).append(text or "")
-    n = len(rows)
+    n = len(files)
     known = [(name, split(text)) for name, text in licenses.TEMPLATES]
     vocabulary = set().union(*(w for _, w in known))
     df = {w: sum(any(w in split(t) for t in texts) for texts in files.values()) for w in vocabulary}
@@ -29,13 +40,15 @@ def brute(rows):
     def is_license(path):
         return re.search(licenses.LICENSE_FILE, path.split("/")[-1])
 
+    vectors = [(name, words, vector(words, df, n)) for name, words in known]
     own = {}
     for path, texts in files.items():
         units = [u for t in texts for u in t.split("\n") + ([t] if is_license(path) else [])]
         for unit in units:
             a = vector(split(unit), df, n)
-            for name, words in known:
-                b = vector(words, df, n)
+            for name, words, b in vectors:
+                if a.keys().isdisjoint(b) or denied(unit) or not agree(split(unit), words):
+                    continue
                 dot = sum(a[w] * b[w] for w in a.keys() & b)
                 norm = math.sqrt(sum(x * x for x in a.values())) * math.sqrt(sum(x * x for x in b.values()))
                 similarity = round(dot / norm, 9) if norm else 0
@@ -50,10 +63,14 @@ def brute(rows):
         parts = path.split("/")[:-1]
         for k in range(len(parts), -1, -1):
             here = "/".join(parts[:k])
-            near = [v for p, v in own.items() if is_license(p) and "/".join(p.split("/")[:-1]) == here]
-            if near:
+            beside = [p for p in files if is_license(p) and "/".join(p.split("/")[:-1]) == here]
+            near = [own[p] for p in beside if p in own]
+            if near and not is_license(path):
                 out.append((path, max(near)[1], max(near)[0], "inherited", here))
                 break
+            if beside:
+                out.append((path, None, None, "unknown", here))
+                break
         else:
             out.append((path, None, None, None, None))
     return sorted(out, key=repr)
@@ -69,7 +86,8 @@ def result(frame):
 def test_against_brute_force(spark):
     mit = "Released under the MIT License."
     rows = [
-        ("a/b/c/x.py", "import os\nprint(1)"), ("a/b/LICENSE", f"Copyright me\n{mit}\n"), ("a/COPYING", licenses.TEMPLATES[9][1]),
+        ("a/b/c/x.py", "import os\nprint(1)"), ("a/b/LICENSE", f"Copyright me\n{mit}\n"), ("a/COPYING", "Released under the GNU Affero General Public License version 3."),
+        ("u/LICENSE", "Terms of our own"), ("u/f", ""), ("u/LICENSE-2", "Pay us"), ("a/b/LICENSE.own", "Terms of our own"),
         ("a/y.py", "# SPDX-License-Identifier: Apache-2.0\nx = 1"), ("a/z/q/r/deep.txt", "nothing"), ("top.txt", None), (None, "plain"),
         ("other/LICENSE.md", "Licensed under the Apache License, Version 2.0"), ("other/NOTICE", mit), ("other/f", "This license of mine is not known, friends"),
         ("other/f", "second row"), ("a/b/c/x.py", "import os\nprint(1)"), ("a/bb/f", ""), ("Ünï/f", "mit license released"),
@@ -100,10 +118,12 @@ def cosines(rows, unit):
 
     def weigh(text):
         words = all_words(text)
-        return {w: words.count(w) * (math.log((1 + len(rows)) / (1 + sum(w in f for f in files.values()))) + 1) for w in set(words)}
+        return {w: words.count(w) * (math.log((1 + len(files)) / (1 + sum(w in f for f in files.values()))) + 1) for w in set(words)}
 
     a, out = weigh(unit), {}
     for name, text in licenses.TEMPLATES:
+        if denied(unit) or not agree(all_words(unit), all_words(text)):
+            continue
         b = weigh(text)
         dot = sum(a[w] * b[w] for w in a.keys() & b)
         norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
@@ -152,3 +172,39 @@ def test_commons_variants(spark):
     rows = [(f"{s}/{k}", form.format(s=f"CC {s}" if k == 0 else s, l=long)) for s, long in licenses.COMMONS.items() for k, form in enumerate(forms)]
     got = result(licenses.scan(spark.createDataFrame(rows + [("x", "nothing here")], "path string, text string")))
     assert [(r[0], r[1]) for r in got if r[1]] == sorted((p, f"CC-{p.split('/')[0]}-4.0") for p, _ in rows)
+
+
+def test_families_and_versions(spark):
+    lines = {
+        "Released under the GNU General Public License version 2.": "GPL-2.0-or-later",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0-or-later",
+        "Released under the GNU Affero General Public License version 3.": "AGPL-3.0-or-later",
+        "Released under the GNU Lesser General Public License version 2.1.": "LGPL-2.1-or-later",
+        "Released under the GNU Lesser General Public License version 3.": "LGPL-3.0-or-later",
+        "SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0-only",
+        "// SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1-or-later",
+        "SPDX-License-Identifier: MPL-2.0": "MPL-2.0",
+        "Released under the BSD 2-Clause License.": "BSD-2-Clause",
+        "Released under the BSD 3-Clause License.": "BSD-3-Clause",
+        "Licensed under CC BY-NC 3.0.": "CC-BY-NC-3.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under CC BY-NC 2.5.": None,
+        "This program is not released under the MIT License.": None,
+        "Released under the Apache License 1.1.": None,
+        "Redistribution and use in source and binary forms, with or without modification, are permitted": None,
+    }
+    rows = [(f"d{k}/f", line) for k, line in enumerate(lines)]
+    got = {r[0]: r[1] for r in result(licenses.scan(spark.createDataFrame(rows, "path string, text string")))}
+    assert {line: got[path] for path, line in rows} == lines
+
+
+def test_unknown_terms_stop_inheritance(spark):
+    rows = [("a/LICENSE", "Released under the MIT License."), ("a/b/LICENSE", "Terms of our own"), ("a/b/c/f", "x"), ("a/f", "x"), ("f", "x")]
+    got = result(licenses.scan(spark.createDataFrame(rows, "path string, text string")))
+    assert [(r[0], r[1], r[3], r[4]) for r in got] == [
+        ("a/LICENSE", "MIT", "own", None),
+        ("a/b/LICENSE", None, "unknown", "a/b"),
+        ("a/b/c/f", None, "unknown", "a/b"),
+        ("a/f", "MIT", "inherited", "a"),
+        ("f", None, None, None),
+    ]
