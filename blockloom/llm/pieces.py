@@ -41,8 +41,8 @@ from blockloom.llm.shared import in_batches, slices, texts
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words whose segmentation a worker remembers, and pairs of pieces.
-REMEMBERED = 120_000
-PAIRS = 500_000
+REMEMBERED = 300_000
+PAIRS = 1_000_000
 
 
 class Pieces:
@@ -82,7 +82,7 @@ class Pieces:
         # Characters of pieces that share their rank: where two stand together, merges are carried out.
         self._tied = {name[:2] for name, rank in self._rank.items() if rank in shared}
         self._halves: dict[str, tuple[str, str]] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._names, self._pairs = names, {}
         if self.by_merges:
             for name in long:
                 steps: list[tuple[str, str]] = []
@@ -118,59 +118,57 @@ class Pieces:
             offer(k)
         return [part for part in parts if part is not None]
 
-    def _beside(self, left: str, right: str) -> bool:
+    def _beside(self, left: int, right: int) -> bool:
         """Whether two pieces stand side by side: going back through their merges, latest
         first, no pair at the border would have been joined while both lasted."""
-        known = self._pairs.get((left, right))
-        if known is not None:
-            return known
-        rank, halves, x, y = self._rank, self._halves, left, right
+        rank, halves, x, y = self._rank, self._halves, self._names[left], self._names[right]
         x_ends = y_ends = float("inf")
         while True:
             joined = rank.get(x + y)
             if joined is not None and joined < x_ends and joined <= y_ends:
-                fits = False
-                break
+                return False
             x_made, y_made = (rank[p] if p in halves else -1.0 for p in (x, y))
             if x_made < 0 and y_made < 0:
-                fits = True
-                break
+                return True
             # Of equal merges the one further left comes first, so the right one is undone.
             if x_made > y_made:
                 x_ends, x = x_made, halves[x][1]
             else:
                 y_ends, y = y_made, halves[y][0]
-        if len(self._pairs) >= PAIRS:
-            self._pairs.clear()
-        self._pairs[left, right] = fits
-        return fits
 
     def _walk(self, text: str) -> tuple[int, ...]:
         """The model's own segmentation, by which pieces may stand side by side."""
         n = len(text)
-        last: list[str | None] = [None] * (n + 1)
-        at = 0
+        # Of every end the last piece and its length; -1 for a character that no piece has.
+        last, lengths = [-1] * (n + 1), [1] * (n + 1)
+        pairs, size = self._pairs, len(self._names)
+        final = 0
         for end, (length, piece, _) in self.automaton.iter(text):
             end += 1
-            while at < end - 1:  # a character that no piece has
-                at += 1
-                last[at] = last[at] or ""
-            if last[end] is None:
-                name = text[end - length : end]
-                before = last[end - length] if end > length else ""
-                if not before or self._beside(before, name):
-                    last[end] = name
+            if end == final:
+                continue
+            before = last[end - length] if end > length else -1
+            if before >= 0:
+                key = before * size + piece
+                fits = pairs.get(key)
+                if fits is None:
+                    if len(pairs) >= PAIRS:
+                        pairs.clear()
+                    fits = pairs[key] = self._beside(before, piece)
+                if not fits:
+                    continue
+            last[end], lengths[end], final = piece, length, end
         out: list[int] = []
         at = n
         while at:
-            name = last[at]
-            if name:
-                out.append(self.scores[name][0])
-                at -= len(name)
+            piece = last[at]
+            if piece >= 0:
+                out.append(piece)
             else:
                 out += [self.octets[b] for b in reversed(text[at - 1].encode())]
-                at -= 1
-        return tuple(reversed(out))
+            at -= lengths[at]
+        out.reverse()
+        return tuple(out)
 
     def _merged(self, text: str) -> tuple[int, ...]:
         out: list[int] = []
