@@ -41,8 +41,8 @@ from blockloom.llm.shared import in_batches, slices, texts
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words whose segmentation a worker remembers, and pairs of pieces.
-REMEMBERED = 300_000
-PAIRS = 1_000_000
+REMEMBERED = 200_000
+PAIRS = 250_000
 
 
 class Pieces:
