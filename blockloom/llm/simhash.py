@@ -18,7 +18,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,17 +36,19 @@ BLOCK = 16384
 FREE = 16
 
 
-def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
-    """The SimHash of lower-cased ``text``; 0 if it has no words."""
+def shingle_hashes(text: bytes, shingle: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of each word shingle of lower-cased ``text``, repeats included."""
     words = text.lower().split()  # bytes: A-Z and ASCII white space only
-    if not words:
-        return 0
     if len(words) <= shingle:
-        grams = [b" ".join(words)]
+        grams = [b" ".join(words)] if words else []
     else:
         grams = map(b" ".join, zip(*(words[k:] for k in range(shingle))))
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(g, seed) for g in grams), np.uint64)
+    return np.fromiter((digest(g, seed) for g in grams), np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of ``hashes`` have; 0 if there are none."""
     ones = np.zeros(BITS, np.int64)
     for k in range(0, len(hashes), 1 << 16):
         octets = hashes[k : k + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -54,6 +56,11 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
+    """The SimHash of lower-cased ``text``; 0 if it has no words."""
+    return majority(shingle_hashes(text, shingle, seed))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
     """``doc_id`` and ``print`` (the bits as a BIGINT) of each row with doc_id and text."""
 
@@ -80,13 +87,13 @@ def _parts(mask: int, radius: int) -> list[int]:
     return [mask | sum(1 << k for k in free[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-class _Forest:
+class Forest:
     """Disjoint sets over the rows of a block."""
 
     def __init__(self, n: int):
         self.root = np.arange(n)
 
-    def _find(self, k: int) -> int:
+    def find(self, k: int) -> int:
         root = self.root
         while root[k] != k:
             root[k] = k = root[root[k]]
@@ -97,7 +104,7 @@ class _Forest:
         apart = self.root[a] != self.root[b]
         used = []
         for x, y in zip(a[apart].tolist(), b[apart].tolist()):
-            p, q = self._find(x), self._find(y)
+            p, q = self.find(x), self.find(y)
             if p != q:
                 self.root[max(p, q)] = min(p, q)
                 used.append((x, y))
@@ -107,8 +114,10 @@ class _Forest:
         return used
 
 
-def linked(prints: np.ndarray, sizes: np.ndarray, radius: int = 3) -> list[tuple[int, int]]:
-    """A spanning forest of the links inside consecutive buckets.
+def near_pairs(
+    prints: np.ndarray, sizes: np.ndarray, radius: int = 3
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows of all links inside consecutive buckets, some at a time.
 
     ``prints`` are the fingerprints, bucket after bucket; ``sizes`` the buckets'
     numbers of rows, none larger than the one before.
@@ -125,7 +134,6 @@ def linked(prints: np.ndarray, sizes: np.ndarray, radius: int = 3) -> list[tuple
     ends = np.cumsum(sizes)
     counters = max(1, radius.bit_length())
     head_start = (1 << counters) - 1 - radius  # so that one more than radius overflows
-    forest, found = _Forest(n), []
     for shift in range(1, int(sizes[0]) if len(sizes) else 0):
         held = int(ends[np.searchsorted(-sizes, -shift, side="left") - 1])  # rows of larger buckets
         valid = np.zeros(((held + BITS - 1) // BITS) * BITS, bool)
@@ -148,12 +156,22 @@ def linked(prints: np.ndarray, sizes: np.ndarray, radius: int = 3) -> list[tuple
                 break  # every lane is past the radius
         else:
             near = np.flatnonzero(np.unpackbits((~over).view(np.uint8), bitorder="little"))
-            found += forest.join(near, near + shift)
+            yield near, near + shift
+
+
+def linked(prints: np.ndarray, sizes: np.ndarray, radius: int = 3) -> list[tuple[int, int]]:
+    """A spanning forest of the links of ``near_pairs``."""
+    forest, found = Forest(len(prints)), []
+    for a, b in near_pairs(prints, sizes, radius):
+        found += forest.join(a, b)
     return found
 
 
-def _compare(radius: int):
-    """Rows sorted by bucket to links; a bucket never spans two partitions."""
+def compare(find: Callable[[pa.Table, np.ndarray], list[tuple[int, int]]]):
+    """Rows sorted by bucket to links; a bucket never spans two partitions.
+
+    ``find`` takes the rows, bucket after bucket, and the buckets' descending sizes.
+    """
 
     def block(rows: pa.Table) -> pa.RecordBatch:
         masks, keys = rows["mask"].to_numpy(), rows["key"].to_numpy()
@@ -163,9 +181,9 @@ def _compare(radius: int):
         sizes = np.diff(np.append(starts, len(masks)))
         order = np.argsort(-sizes, kind="stable")
         pick = np.concatenate([np.arange(starts[k], starts[k] + sizes[k]) for k in order])
-        prints = rows["print"].to_numpy()[pick].view(np.uint64)
-        pairs = np.array(linked(prints, sizes[order], radius), np.int64).reshape(-1, 2)
-        names = rows["rep"].combine_chunks().take(pa.array(pick))
+        rows = rows.combine_chunks().take(pa.array(pick))
+        pairs = np.array(find(rows, sizes[order]), np.int64).reshape(-1, 2)
+        names = rows["rep"].combine_chunks()
         return pa.RecordBatch.from_arrays(
             [names.take(pa.array(pairs[:, 0])), names.take(pa.array(pairs[:, 1]))], ["a", "b"]
         )
@@ -236,12 +254,16 @@ def links(reps: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
     rows = ready[0]
     for more in ready[1:]:
         rows = rows.unionByName(more)
+
+    def forest(rows: pa.Table, sizes: np.ndarray) -> list[tuple[int, int]]:
+        return linked(rows["print"].to_numpy().view(np.uint64), sizes, radius)
+
     kind = reps.schema["rep"].dataType.simpleString()
     return (
         rows.select("mask", "key", "print", "rep")
         .repartition("mask", "key")
         .sortWithinPartitions("mask", "key")
-        .transform(in_batches(_compare(radius), f"a {kind}, b {kind}"))
+        .transform(in_batches(compare(forest), f"a {kind}, b {kind}"))
     )
 
 

@@ -12,7 +12,7 @@ duckdb = pytest.importorskip("duckdb")
 
 import corpus_pipeline  # noqa: E402
 from blockloom.llm import html, oracles, pieces, queries  # noqa: E402
-from tests.llm import test_decontaminate, test_licenses, test_quality_rules, test_simhash, test_substrings  # noqa: E402
+from tests.llm import test_decontaminate, test_licenses, test_quality_rules, test_similar, test_simhash, test_substrings  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -122,8 +122,8 @@ def test_pipeline(spark, connection, documents):
     assert set(clean) == kept
     docs = {i: r.text for i, r in clean.items()}
     assert all(test_quality_rules.brute(i, t)[1] >= 1 for i, t in docs.items())
-    classes = test_simhash.brute_classes({i: test_simhash.brute_print(t) for i, t in docs.items()})
-    docs = {i: t for i, t in docs.items() if classes[i] == i}
+    groups = test_similar.brute_groups(docs)
+    docs = {i: t for i, t in docs.items() if groups[i] == i}
     cut = {int(i): kept for i, _, _, kept in test_substrings.brute(sorted(docs.items()))}
     items = connection.execute("SELECT item_id, text FROM benchmark").fetchall()
     left = [(i, " ".join(words)) for i, words in cut.items()]
@@ -166,9 +166,10 @@ def test_stages_on_odd_rows(spark, odd_rows):
     every = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in odd.collect())
     alike = [row for row in every if row[2] == prose]
     assert found["quality_rules"] == [row for row in every if row[2]] and len(alike) == 2
-    # 3 and 4, and the row without id, are as empty as 2; equal rows of one id stay together.
-    gone = [row for row in every if row not in found["simhash_near_dedup"]]
-    assert {row[1] for row in gone if not row[0]} == {3, 4} and found["simhash_near_dedup"].count((False, 1, prose)) == 2
+    # 3 and 4 are as empty as 2; of equal rows of one id one stays, rows without id all do.
+    want = [row for row in every if row[0] or row[1] not in (3, 4)]
+    want.remove((False, 1, prose))
+    assert found["simhash_near_dedup"] == want
     assert found["substring_dedup"] == every
     assert found["benchmark_decontamination"] == every
     assert found["sentencepiece"] == every
