@@ -203,8 +203,10 @@ def stream_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slices of the whole range, in as many plans as their limit asks for."""
     span = ranges.resolve_batch_range(_heights(spark, sf_dir), ledger.METADATA, height="height")
-    return ranges.plan_batch_slices(spark, span)
+    plans = [ranges.plan_batch_slices(spark, part) for part in ranges.batch_plans(span)]
+    return reduce(DataFrame.union, plans)
 
 
 @query

@@ -164,6 +164,26 @@ def plan_stream_slices(spark: SparkSession, span: Range, events_per_slice: int =
     return _slices(spark, span, size)
 
 
+def batch_plans(span: Range, blocks_per_slice: int = 0) -> list[Range]:
+    """The range as stretches that :func:`plan_batch_slices` takes one by one.
+
+    One stretch if the range is within the limit of a plan. Stretches end at slices' ends,
+    so the plans together have the slices that one plan of the whole range would have.
+    """
+    return _plans(span, _size(blocks_per_slice, BLOCKS_PER_SLICE) * MAX_SLICES)
+
+
+def stream_plans(span: Range, events_per_slice: int = 0) -> list[Range]:
+    """The same for :func:`plan_stream_slices`, whose limit counts one event more."""
+    size = _size(events_per_slice, EVENTS_PER_SLICE)
+    fits = span.end - span.start < size * MAX_SLICES
+    return [span] if fits else _plans(span, size * (MAX_SLICES - 1))
+
+
+def _plans(span: Range, most: int) -> list[Range]:
+    return [Range(at, min(at + most, span.end)) for at in range(span.start, span.end, most)]
+
+
 def missing_heights(
     blocks: DataFrame | BlockStore,
     start: int,

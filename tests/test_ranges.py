@@ -116,6 +116,22 @@ def test_slice_limits(spark):
         ranges.plan_batch_slices(spark, Range(0, 10), -1)
 
 
+@pytest.mark.parametrize("more", [-1, 0, 1, 2, 7])
+def test_long_ranges_take_several_plans(spark, more):
+    """The slices are those of one plan without a limit."""
+    limit = ranges.MAX_SLICES
+    span = Range(5, 5 + 4 * limit + more)
+    expected = [(at, min(at + 2, span.end)) for at in range(span.start, span.end, 2)]
+    for stretches, plan in (
+        (ranges.batch_plans(span, 2), ranges.plan_batch_slices),
+        (ranges.stream_plans(span, 2), ranges.plan_stream_slices),
+    ):
+        parts = [plan(spark, part, 2) for part in stretches]
+        assert sorted(tuple(r) for part in parts for r in part.collect()) == expected
+    short = Range(3, 3 + 2 * limit - 1)
+    assert ranges.batch_plans(short, 2) == ranges.stream_plans(short, 2) == [short]
+
+
 def test_scans_are_half_open_and_strict(spark):
     rows = scan_blocks(heights(spark, *range(10)), 3, 6, height="height").collect()
     assert sorted(r[0] for r in rows) == [3, 4, 5]
