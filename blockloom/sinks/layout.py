@@ -18,10 +18,14 @@ from blockloom.sinks.files import create, names, read
 from blockloom.sources.blocks import prune_partitions
 
 # What tells rows of one height or sequence apart: the first that a table has.
-_TIE_BREAKERS = ("transaction_index", "index", "transaction_hash", "hash")
+_INDEXES = ("transaction_index", "index")
+_TIE_BREAKERS = (*_INDEXES, "transaction_hash", "hash")
 ROWS_PER_FILE = 5_000_000
-# Tasks that one directory is dealt out to, at most.
+# Rows of one block that are dealt out together.
+PIECE = 10_000
+# Tasks that a directory is dealt out to where no column tells its rows apart.
 SPREAD = 16
+_PIECE = "__piece"
 SIZE_NOTE = "_partition_by_size"
 
 
@@ -42,17 +46,22 @@ def arrange(
 ) -> DataFrame:
     """Deal the rows out and sort them for the sink.
 
-    A table with a partition size is dealt out by directory and, inside it, by the
-    hash of height and tie-breaker: nothing has to be sampled, so what makes the rows
-    runs once, and a block that holds a large share of all rows is spread over
-    ``SPREAD`` tasks. Other tables, and those with a wanted number of partitions, are
-    partitioned by range, for which Spark samples the rows first. Without a number
-    Spark uses the session's and merges small partitions at run time.
+    A table with a partition size is dealt out by directory, and a block of very many
+    rows by pieces of ``PIECE`` of them as well. Nothing has to be sampled, so what makes
+    the rows runs once, and a directory has one file for most blocks; adaptive execution
+    puts small tasks together and cuts up those of large directories. Other tables, and
+    those with a wanted number of partitions, are partitioned by range, for which Spark
+    samples the rows first. Without a number Spark uses the session's and merges small
+    partitions at run time.
     """
     keys = [RANGE_BY, *(tie_breakers(df) if order is None else order)]
     if partitions is None and partition_size(df) > 0:
-        part = F.pmod(F.xxhash64(*keys), F.lit(SPREAD))
-        dealt = df.repartition(F.col(PARTITION_BY), part)
+        pieces = df.withColumn(_PIECE, _piece(df))
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            dealt = pieces.hint("rebalance", PARTITION_BY, _PIECE)
+        else:
+            dealt = pieces.repartition(PARTITION_BY, _PIECE)
+        dealt = dealt.drop(_PIECE)
     elif partitions is None:
         dealt = df.repartitionByRange(*keys)
     else:
@@ -60,6 +69,17 @@ def arrange(
     return dealt.sortWithinPartitions(PARTITION_BY, *keys)
 
 
+def _piece(df: DataFrame) -> Column:
+    """Which piece of its block a row is in; without an index, a part by hash of those
+    rows that nothing tells apart."""
+    for name in _INDEXES:
+        if name in df.columns:
+            return F.floor(F.col(name) / PIECE).cast("bigint")
+    if any(name in df.columns for name in _TIE_BREAKERS):
+        return F.lit(0).cast("bigint")
+    return F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))
+
+
 def read_note(spark: SparkSession, path: str, name: str) -> str | None:
     """The text that a table's folder keeps under a name hidden from scans."""
     return read(spark, f"{path.rstrip('/')}/{name}")

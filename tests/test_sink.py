@@ -92,6 +92,31 @@ def test_the_layout_samples_nothing(spark, chain):
     assert len(parts) > 1
 
 
+def _dealt(spark, table):
+    """Tasks and rows by directory and height, without small tasks being put together."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = arrange(table).withColumn("task", F.spark_partition_id())
+        return rows.groupBy("_partition_by").agg(F.countDistinct("task").alias("tasks"), F.count("*").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_directory_is_one_file_unless_a_block_is_huge(spark, chain, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for table in (evm_transactions(chain, partition_by_size=10), evm_blocks(chain, partition_by_size=10)):
+            dealt = _dealt(spark, table)
+            assert len(dealt) == 4 and {r["tasks"] for r in dealt} == {1}
+        huge = [evm_block(1, [{"index": i, "hash": f"t{i}"} for i in range(60_000)])]
+        table = evm_transactions(blocks(spark, huge), columns=["transaction_index"], partition_by_size=10)
+        [row] = _dealt(spark, table)
+        assert row["n"] == 60_000 and row["tasks"] > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_one_huge_block_is_cut_up(spark):
     rows = [evm_block(1, [evm_transaction(1, i) for i in range(3000)])]
     rows += [evm_block(n, [evm_transaction(n, 0)]) for n in range(2, 50)]
