@@ -52,6 +52,7 @@ from blockloom.sources.blocks import (
     read_block_store,
     read_blocks,
     scan_blocks,
+    store_sizes,
     write_block_store,
 )
 from blockloom.sources.events import (
@@ -1162,8 +1163,9 @@ def _bucketed(spark: SparkSession, sf_dir: str) -> BlockStore:
     # Blocks with the members that are asked for below; the others are read as unset.
     blocks = ledger.evm_blocks(spark, sf_dir, ["hash", "index", "value"])
     table = "demo_blocks_" + path.split("-")[-1].split("/")[0]
-    write_block_store(blocks, table, path, bucket_size=50 * PARTITION_SIZE, buckets=8)
-    return read_block_store(spark, table, 50 * PARTITION_SIZE)
+    bucket_size, buckets = store_sizes(_heights(spark, sf_dir), 50 * PARTITION_SIZE, height="height")
+    write_block_store(blocks, table, path, bucket_size=bucket_size, buckets=buckets)
+    return read_block_store(spark, table, bucket_size)
 
 
 @query

@@ -12,6 +12,8 @@ from blockloom.errors import InvalidArgument
 from blockloom.schemas.inputs import HASH, HEIGHT, block_schema
 
 BLOCK_HEIGHT, BLOCK_HASH, HEIGHT_BUCKET = "block_height", "block_hash", "height_bucket"
+# Sizes of a bucketed store: a bucket is read by one task, and is a file in each directory.
+BLOCKS_PER_BUCKET, LEAST_BUCKETS, MOST_DIRECTORIES = 100_000, 8, 32
 
 
 @dataclass(frozen=True)
@@ -82,6 +84,23 @@ class SplitStore:
         return BlockStore(self.transactions, self.bucket_column, self.bucket_size, "height", "hash")
 
 
+def store_sizes(
+    blocks: DataFrame, bucket_size: int, *, family: str = "evm", height: str | None = None
+) -> tuple[int, int]:
+    """The ``bucket_size`` and ``buckets`` to store blocks with, by how many there are.
+
+    Buckets grow in number with the blocks, so that what one task reads does not;
+    directories, a multiple of the given ``bucket_size`` each, don't: every one has a file
+    a bucket.
+    """
+    number = F.col(height or HEIGHT[family])
+    low, high, count = blocks.agg(F.min(number), F.max(number), F.count(F.lit(1))).first()
+    if low is None:
+        return bucket_size, LEAST_BUCKETS
+    wide = -(-(int(high) - int(low) + 1) // (bucket_size * MOST_DIRECTORIES))
+    return bucket_size * wide, max(LEAST_BUCKETS, -(-count // BLOCKS_PER_BUCKET))
+
+
 def write_block_store(
     blocks: DataFrame,
     table: str,

@@ -14,7 +14,14 @@ from blockloom.plans import ranges
 from blockloom.plans.catalog import create_tables, list_tables, refresh_table, table_path, table_size
 from blockloom.sinks import slices
 from blockloom.sinks.layout import SIZE_NOTE, note, read_note, read_table, write_table
-from blockloom.sources.blocks import BlockStore, SplitStore, read_block_store, read_blocks, write_block_store
+from blockloom.sources.blocks import (
+    BlockStore,
+    SplitStore,
+    read_block_store,
+    read_blocks,
+    store_sizes,
+    write_block_store,
+)
 from blockloom.sources.events import footer_statistics, read_event_store, scan_events, stream_events, write_event_store
 from blockloom.streaming.streams import backfill, finished_batches, read_streamed, replay, stream_table
 from tests.fixtures import blocks, events, evm_block, evm_transaction
@@ -397,3 +404,13 @@ def test_tables_of_the_catalog(spark, chains, tmp_path):
         spark.sql(f"DROP TABLE {name}")
     with pytest.raises(NotFound):
         refresh_table(spark, name)
+
+
+def test_a_store_of_many_blocks_has_many_buckets(spark):
+    """What a task reads stays the same, and files grow with the blocks."""
+    for blocks_, size, buckets in ((0, 50, 8), (1600, 50, 8), (3_200_000, 100_000, 32), (6_400_000, 200_000, 64)):
+        heights = spark.range(blocks_).withColumnRenamed("id", "height")
+        found, wanted = store_sizes(heights, 50, height="height")
+        assert (found, wanted) == (size, buckets)
+    sparse = spark.createDataFrame([(5,), (7_000_000,), (None,)], "height BIGINT")
+    assert store_sizes(sparse, 1000, height="height") == (219_000, 8)
