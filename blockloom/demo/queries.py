@@ -122,8 +122,25 @@ _TX = [
 ]
 
 
+def _payload() -> list[Column | str]:
+    """What is shown of a transactions table beside the block, lists by their length."""
+    return [
+        *_TX,
+        "value",
+        F.col("receipt.status").alias("status"),
+        F.col("receipt.contract_address").alias("contract_address"),
+        _length("receipt.logs").alias("logs"),
+        _length("traces").alias("traces"),
+        *_layout(),
+    ]
+
+
 def _flat_transactions(transactions: DataFrame, *prefix: str) -> DataFrame:
-    return transactions.select(
+    return _beside_block(transactions.select(*prefix, *_payload(), "block"), *prefix)
+
+
+def _beside_block(payload: DataFrame, *prefix: str) -> DataFrame:
+    return payload.select(
         *prefix,
         *_TX,
         _digits("value").alias("value"),
@@ -131,10 +148,10 @@ def _flat_transactions(transactions: DataFrame, *prefix: str) -> DataFrame:
         F.col("block.miner").alias("miner"),
         F.col("block.timestamp").alias("mined_at"),
         F.col("block.base_fee_per_gas").alias("base_fee_per_gas"),
-        F.col("receipt.status").alias("status"),
-        F.col("receipt.contract_address").alias("contract_address"),
-        _length("receipt.logs").alias("logs"),
-        _length("traces").alias("traces"),
+        "status",
+        "contract_address",
+        "logs",
+        "traces",
         *_layout(),
     )
 
@@ -312,11 +329,12 @@ def enum_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def evm_transactions_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as transactions, beside the header of their order."""
-    return _flat_transactions(
+    return _beside_block(
         evm_split_transactions(
             ledger.evm_split_transactions(spark, sf_dir),
             ledger.evm_split_headers(spark, sf_dir),
             partition_by_size=PARTITION_SIZE,
+            cut=_payload(),
         )
     )
 

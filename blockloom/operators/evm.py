@@ -6,13 +6,14 @@ makes the streamed table; given plain blocks it makes the batch one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blockloom.functions.scalars import decimal38, raw_payload, require
 from blockloom.operators.rows import (
+    BLOCK_KEYS,
     carried_columns,
     choose,
     join_headers,
@@ -23,6 +24,8 @@ from blockloom.operators.rows import (
     unnest_transactions,
 )
 from blockloom.schemas import evm
+from blockloom.schemas.kinds import Field
+from blockloom.schemas.tables import PARTITION_BY
 
 _FAMILY = "evm"
 
@@ -69,25 +72,43 @@ def evm_split_transactions(
     partition_by_size: int = 0,
     columns: Iterable[str] | None = None,
     u64: str = "long",
+    cut: Sequence[Column | str] | None = None,
 ) -> DataFrame:
     """The same table from the split layout, for chains with very uneven blocks.
 
     ``transactions`` has (tag, height, hash, transaction), ``headers`` (tag,
-    height, hash, header). The join is left out when ``block`` is not asked for.
+    height, hash, header). The join is left out when ``block`` is not asked for;
+    otherwise the other columns are built before it. ``cut`` makes columns of these, such
+    as a list's length, in their place: what it leaves out is not shuffled.
     """
     fields = choose(evm.transactions(chain), columns)
-    rows = transactions
-    if any(f.name == "block" for f in fields):
-        found = headers.where(require(F.col("header").isNull(), "header is required"))
-        rows = join_headers(transactions, found, evm.BLOCK.column(F.col("header"), u64))
     members = None if columns is None else members_used(fields, "transaction")
-    return project(
-        _with_receipts(rows, members),
-        fields,
-        position=position_of_split(rows),
+    payload = tuple(f for f in fields if f.name != "block")
+    joins = len(payload) < len(fields)
+    table = project(
+        _with_receipts(transactions, members),
+        payload,
+        position=position_of_split(transactions),
         partition_by_size=partition_by_size,
         u64=u64,
+        carried=BLOCK_KEYS if joins else (),
     )
+    if not joins:
+        return table if cut is None else table.select(*cut)
+    if cut is not None:
+        table = table.select(*BLOCK_KEYS, *cut)
+    names = [name for name in table.columns if name not in BLOCK_KEYS]
+    names.insert(len(names) if cut is not None else _place_of_block(names, fields), "block")
+    found = headers.where(require(F.col("header").isNull(), "header is required"))
+    return join_headers(table, found, evm.BLOCK.column(F.col("header"), u64)).select(*names)
+
+
+def _place_of_block(names: list[str], fields: Sequence[Field]) -> int:
+    """Where ``block`` comes among a table's columns: after the field before it."""
+    before = [f.name for f in fields]
+    at = before.index("block")
+    following = before[at + 1] if at + 1 < len(before) else PARTITION_BY
+    return names.index(following)
 
 
 def position_of_split(rows: DataFrame) -> Column:

@@ -175,8 +175,10 @@ def project(
     position: Column | None = None,
     partition_by_size: int = 0,
     u64: str = "long",
+    carried: Sequence[str] = (),
 ) -> DataFrame:
-    """The table's columns: event columns if streamed, payload, then the layout."""
+    """The table's columns: event columns if streamed, payload, then the layout; before
+    them the ``carried`` columns of ``rows``."""
     wanted = u64_type(u64)
     _refuse_wrapping(rows, u64)
     position = F.col(_POSITION) if position is None else position
@@ -187,6 +189,7 @@ def project(
         for f in (*prefix, *fields)
     ]
     return rows.select(
+        *carried,
         *columns,
         partition_floor(position, partition_by_size)
         .cast(wanted)

@@ -319,6 +319,26 @@ def test_bitcoin_blocks(spark):
     assert row["transactions"] == ["id0", "id1"]
 
 
+def test_split_transactions_are_cut_before_headers_are_joined(spark):
+    nested = blocks(spark, [evm_block(n, [evm_transaction(n, i) for i in range(n)], parent_hash=f"b{n - 1}") for n in range(5)])
+    keys = ("tag", F.col("header.number").alias("height"), F.col("header.hash").alias("hash"))
+    headers = nested.select(*keys, "header")
+    split = nested.select(*keys, F.explode("transactions").alias("transaction"))
+    whole = evm_split_transactions(split, headers, partition_by_size=2)
+    wanted = ["transaction_hash", F.size("traces").alias("traces"), F.col("receipt.status").alias("status"), "_partition_by"]
+    got = evm_split_transactions(split, headers, partition_by_size=2, cut=wanted)
+    assert got.columns == ["transaction_hash", "traces", "status", "_partition_by", "block"]
+    expected = whole.select(*wanted, "block")
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect())) and got.count() == 10
+    alone = evm_split_transactions(split, headers, columns=["transaction_hash"], cut=["transaction_hash"])
+    assert alone.columns == ["transaction_hash"] and alone.count() == 10
+    # Lists are counted below the join: no shuffle carries them.
+    joined = got._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.index("Join") < joined.index("size(")
+    with pytest.raises(SparkRuntimeException, match="header is required"):
+        evm_split_transactions(split, headers.where("height < 3"), cut=wanted).collect()
+
+
 def test_bitcoin_split_layout(spark):
     nested = bitcoin_source(spark)
     keys = ["tag", F.col("header.height").alias("height"), F.col("header.hash").alias("hash")]
