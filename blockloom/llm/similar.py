@@ -7,14 +7,16 @@ these bits to find them: at a similarity of 0.8 about ten of 64. So here
    ``ROWS`` least hashes; texts of similarity 0.8 share one of the keys with a
    probability over 0.999;
 2. texts of equal shingles become one row, so copies cost nothing further on;
-3. texts that share a key are a bucket; in a bucket of more than ``bucket`` texts only
-   those that share a second key as well are compared, each such bucket whole;
+3. texts that share a key are a bucket; one of more than ``bucket`` texts is first dealt
+   into parts of about that many, whose texts are compared;
 4. buckets are compared as bit planes, as in ``simhash``, with ascending radii: links of
    few differing bits are taken first, and a bucket gives a few spanning forests of them
    instead of all pairs;
 5. the links are checked by the exact similarity of their shingles;
 6. links that hold become classes, and buckets of several classes are compared again, with
-   more forests, until no link between two classes is left unchecked.
+   more forests, until no link between two classes is left unchecked. Of a large bucket
+   every two parts are compared then, unless both are of one class, each two as a bucket
+   of their own: nothing in it is left out, and no task takes it whole.
 
 A link is lost only where no bucket holds its two texts or where their fingerprints differ
 by more than the last radius. Tests hold the recall against all pairs.
@@ -90,23 +92,48 @@ def _sets(shingle: int):
     return run
 
 
-def buckets(reps: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """``mask``, ``key``, ``print`` and ``rep``: the texts that share a key (or two)."""
-    dealt = reps.select(F.posexplode("keys").alias("mask", "key"), "print", "rep", "keys")
+def buckets(reps: DataFrame) -> DataFrame:
+    """``mask``, ``key``, ``print``, ``rep`` and ``n``: the texts that share a key, and how many."""
+    dealt = reps.select(F.posexplode("keys").alias("mask", "key"), "print", "rep")
     counts = settle(dealt.groupBy("mask", "key").agg(F.count("*").alias("n")).filter("n > 1"))
-    shared = spread_join(dealt, counts, ["mask", "key"], "rep")
-    small = shared.filter(F.col("n") <= bucket).select("mask", "key", "print", "rep")
-    large = shared.filter(F.col("n") > bucket).select(
-        F.col("mask").alias("first"), F.col("key").alias("own"), "print", "rep",
-        F.posexplode("keys").alias("second", "other"),
+    rows = spread_join(dealt, counts, ["mask", "key"], "rep")
+    return rows.select(F.col("mask").cast("bigint"), "key", "print", "rep", "n")
+
+
+def parts(rows: DataFrame, bucket: int) -> DataFrame:
+    """``rows`` of ``buckets``, the large ones dealt into parts of about ``bucket`` texts."""
+    part = F.pmod(F.xxhash64("rep", "mask"), F.ceil(F.col("n") / bucket))
+    return rows.withColumn("key", F.when(F.col("n") > bucket, F.xxhash64("key", part)).otherwise(F.col("key")))
+
+
+def paired(rows: DataFrame, bucket: int) -> DataFrame:
+    """Large buckets as buckets of two parts each: any two texts of different ``component``
+    are together in one.
+
+    A part has about half of ``bucket`` texts, of one component if that has more, else
+    whole components. Two parts of one component are not put together.
+    """
+    half, place = max(1, bucket // 2), ["mask", "key"]
+    sizes = settle(rows.groupBy(*place, "component").agg(F.count("*").alias("own")))
+    large = F.col("own") > half
+    several = sizes.groupBy(*place).agg(F.sum(F.when(~large, F.col("own"))).alias("rest"))
+    sizes = sizes.join(several, place).select(
+        *place, "component", large.alias("large"), F.ceil(F.when(large, F.col("own")).otherwise(F.col("rest")) / half).alias("of")
     )
-    again = large.filter("second <> first").select(
-        (F.col("first") * BANDS + F.col("second") + BANDS).alias("mask"),
-        F.xxhash64("own", "other").alias("key"),
-        "print",
-        "rep",
+    deal = F.when(F.col("large"), F.xxhash64("rep", "mask")).otherwise(F.xxhash64("component", "mask"))
+    dealt = spread_join(rows, sizes, [*place, "component"], "rep")
+    dealt = dealt.withColumn("whole", F.when(F.col("large"), F.col("component")))
+    dealt = settle(dealt.withColumn("part", F.xxhash64("whole", F.pmod(deal, F.col("of")))))
+    one = dealt.select(*place, "whole", "part").distinct()
+    other = one.select(*place, F.col("whole").alias("whole2"), F.col("part").alias("part2"))
+    apart = F.col("whole").isNull() | F.col("whole2").isNull() | (F.col("whole") != F.col("whole2"))
+    alone = (F.col("part") == F.col("part2")) & F.col("whole").isNull()
+    pairs = one.join(other, place).filter(((F.col("part") < F.col("part2")) & apart) | alone)
+    pair = F.xxhash64(*place, "part", "part2").alias("pair")
+    members = pairs.select(*place, pair, F.explode(F.array_distinct(F.array("part", "part2"))).alias("part"))
+    return dealt.join(members, [*place, "part"]).select(
+        "mask", F.col("pair").alias("key"), "print", "rep", "component"
     )
-    return small.unionByName(again)
 
 
 def _forests(number: int, radii: tuple[int, ...]):
@@ -145,26 +172,38 @@ def _forests(number: int, radii: tuple[int, ...]):
 
 
 def classes(
-    docs: DataFrame, rows: DataFrame, shingle: int, least: float, radii: tuple[int, ...] = RADII
+    docs: DataFrame,
+    rows: DataFrame,
+    shingle: int,
+    least: float,
+    bucket: int = BUCKET,
+    radii: tuple[int, ...] = RADII,
 ) -> DataFrame:
     """``a`` and ``b``: checked links between the ``rep``s of ``rows``, made by ``buckets``.
 
-    Round by round, only buckets that hold several classes still are compared. Each round
-    takes sixteen times as many forests, until they hold all links between classes.
+    Round by round, only buckets that hold several classes still are compared, large ones
+    by all pairs of their parts. Each round takes sixteen times as many forests, until they
+    hold all links between classes.
     """
     kind = rows.schema["rep"].dataType.simpleString()
+    any_large = not rows.filter(F.col("n") > bucket).isEmpty()
     found, number = None, 2
     while True:
+        complete = found is not None or not any_large
         if found is None:
-            now = rows.withColumn("component", F.col("rep"))
+            now = parts(rows, bucket).withColumn("component", F.col("rep"))
         else:
             roots = settle(smallest_reachable(found))
             now = rows.join(roots, rows["rep"] == roots["node"], "left")
-            now = now.select("mask", "key", "print", "rep", F.coalesce("root", "rep").alias("component"))
+            now = now.select("mask", "key", "print", "rep", "n", F.coalesce("root", "rep").alias("component"))
             ends = now.groupBy("mask", "key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
             now = spread_join(now, ends.filter("low < high").drop("low", "high"), ["mask", "key"], "rep")
+            if any_large:
+                now = settle(now)
+                large = paired(now.filter(F.col("n") > bucket).drop("n"), bucket)
+                now = now.filter(F.col("n") <= bucket).drop("n").unionByName(large)
         linked = settle(
-            now.select(F.col("mask").cast("bigint"), "key", "print", "rep", "component")
+            now.select("mask", "key", "print", "rep", "component")
             .repartition("mask", "key")
             .sortWithinPartitions("mask", "key", "rep")
             .transform(in_batches(compare(_forests(number, radii)), f"a {kind}, b {kind}"))
@@ -173,7 +212,7 @@ def classes(
         )
         held = checked(docs, linked.filter("a < b"), shingle, least)
         found = settle(held if found is None else found.unionByName(held).distinct())
-        if linked.filter("a = b").isEmpty():
+        if complete and linked.filter("a = b").isEmpty():
             return found
         number *= 16
 
@@ -228,7 +267,7 @@ def groups(
             F.min("doc_id").alias("rep"), F.first("print").alias("print"), F.first("keys").alias("keys")
         )
     )
-    links = classes(docs, settle(buckets(reps, bucket)), shingle, least)
+    links = classes(docs, settle(buckets(reps)), shingle, least, bucket)
     copies = spread_join(sketches, reps.select("digest", "rep"), ["digest"], "doc_id")
     copies = settle(copies.select("doc_id", "rep").distinct())
     # A document of several texts ties their classes together.

@@ -131,6 +131,42 @@ def test_a_document_of_two_texts_ties_their_groups(spark, docs):
     assert got == {1: 1, 5: 1, 6: 1}
 
 
+def one_key_pair(seed: int) -> tuple[str, str]:
+    """Two texts that are similar enough and share one key alone."""
+    draw = random.Random(seed)
+    while True:
+        words = [f"w{draw.randrange(10**6)}" for _ in range(180)]
+        pair = " ".join(words), " ".join(changed(words, 3, draw))
+        keys = [similar.band_keys(np.unique(similar.shingle_hashes(t.encode(), 5))) for t in pair]
+        if sum(a == b for a, b in zip(*keys)) == 1 and alike(*map(shingles, pair)):
+            return pair
+
+
+@pytest.mark.parametrize("bucket", [1, 2])
+def test_large_buckets_lose_no_partner(spark, docs, bucket):
+    """Texts that share one key are compared however many have that key."""
+    texts = {}
+    for number in range(4):
+        a, b = one_key_pair(number)
+        texts |= {10 * number: a, 10 * number + 1: b, 10 * number + 2: b + " more", 10 * number + 3: a + " more"}
+    got = {r.doc_id: r.component_id for r in similar.groups(docs(list(texts.items())), bucket=bucket).collect()}
+    assert got == {i: i // 10 * 10 for i in texts}
+
+
+def test_two_parts_hold_any_two_classes(spark):
+    draw = random.Random(3)
+    classes = {rep: 0 if rep < 60 else rep // 3 for rep in range(100)}
+    rows = [(m, 7, draw.randrange(99), rep, c) for m in (0, 1) for rep, c in classes.items()]
+    frame = spark.createDataFrame(rows, "mask bigint, key bigint, print bigint, rep bigint, component bigint")
+    held = defaultdict(set)
+    for r in similar.paired(frame, 16).collect():
+        held[r.mask, r.key].add(r.rep)
+    assert max(map(len, held.values())) < 50  # parts of about 8, dealt by hash
+    for m in (0, 1):
+        met = {(a, b) for (mask, _), reps in held.items() if mask == m for a in reps for b in reps}
+        assert all((a, b) in met for a in classes for b in classes if classes[a] != classes[b])
+
+
 def test_empty(spark, docs):
     assert similar.groups(docs([])).collect() == []
     assert similar.drop_similar(docs([])).collect() == []
