@@ -72,6 +72,8 @@ from blockloom.streaming.streams import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 PARTITION_SIZE = 1000
+# Events in a file that lands for a stream.
+LANDED = 1_000_000
 _REGISTRY: dict[str, Query] = {}
 
 
@@ -917,6 +919,14 @@ def _store_blocks(spark: SparkSession, sf_dir: str, root: str) -> None:
     ).write.parquet(f"{root}/blocks")
 
 
+def _land(events: DataFrame, path: str, least: int = 1) -> None:
+    """Add events to those that a stream finds, in files of about ``LANDED`` at most: one
+    task writes a file, and one may have to read it."""
+    files = max(least, -(-events.count() // LANDED))
+    dealt = events.coalesce(1) if files == 1 else events.repartitionByRange(files, "sequence_num")
+    dealt.write.mode("append").parquet(path)
+
+
 def _catch_up(spark: SparkSession, root: str, checkpoint: str, start: int) -> None:
     """Stream the stored events from ``start`` on into the stored table."""
     running = (
@@ -953,9 +963,7 @@ def stream_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from Structured Streaming: events land as files, a query catches up
     with them, and its output is read back."""
     root = demo_dir(spark, "stream-run")
-    ledger.chain_events(spark, sf_dir).repartitionByRange(4, "sequence_num").write.parquet(
-        f"{root}/events"
-    )
+    _land(ledger.chain_events(spark, sf_dir), f"{root}/events", least=4)
     _store_blocks(spark, sf_dir, root)
     _catch_up(spark, root, "checkpoint", 0)
     return _streamed_values(spark, f"{root}/table")
@@ -972,9 +980,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     _store_blocks(spark, sf_dir, root)
     for part, checkpoint, start in ((0, "first", low), (1, "first", low), (2, "second", low + 2 * third)):
         end = high + 1 if part == 2 else low + (part + 1) * third
-        scan_events(events, low + part * third, end).coalesce(1).write.mode("append").parquet(
-            f"{root}/events"
-        )
+        _land(scan_events(events, low + part * third, end), f"{root}/events")
         _catch_up(spark, root, checkpoint, start)
     return _streamed_values(spark, f"{root}/table")
 
@@ -1297,11 +1303,12 @@ def _each_event_once(spark: SparkSession, path: str) -> DataFrame:
 
 @query
 def stream_small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file with all events, streamed in parts of a quarter of the log."""
+    """All events in one micro-batch, up to ``LANDED`` in one file, streamed in parts of a
+    quarter of the log."""
     root = demo_dir(spark, "small-batches")
     events = ledger.chain_events(spark, sf_dir)
     _store_blocks(spark, sf_dir, root)
-    events.coalesce(1).write.parquet(f"{root}/events")
+    _land(events, f"{root}/events")
     low, high = ranges.event_bounds(events)
     _small_batches(spark, root, "checkpoint", low, (high - low) // 4 + 1)
     return _each_event_once(spark, f"{root}/table")
@@ -1315,9 +1322,9 @@ def stream_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     low, high = ranges.event_bounds(events)
     third = (high - low) // 3
     _store_blocks(spark, sf_dir, root)
-    scan_events(events, low, low + 2 * third).coalesce(1).write.parquet(f"{root}/events")
+    _land(scan_events(events, low, low + 2 * third), f"{root}/events")
     _catch_up(spark, root, "first", low)
-    scan_events(events, low + 2 * third, high + 1).coalesce(1).write.mode("append").parquet(f"{root}/events")
+    _land(scan_events(events, low + 2 * third, high + 1), f"{root}/events")
     _catch_up(spark, root, "second", low + third)
     return _each_event_once(spark, f"{root}/table")
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockloom import InvalidArgument, NotFound
+from blockloom.demo import ledger, queries
 from blockloom.operators.events import event_stats, missing_blocks, resolve_events
 from blockloom.operators.evm import (
     evm_blocks,
@@ -208,3 +209,13 @@ def test_rosetta_raw_transactions_need_no_members(spark):
         "timestamp": 0,
     }
     assert json.loads(bytes(got[1].transaction_data)) == {"transaction_identifier": {"hash": "t"}}
+
+
+def test_a_large_log_lands_in_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "LANDED", 10)
+    log = spark.range(35).select(F.col("id").alias("sequence_num"))
+    queries._land(log, f"{tmp_path}/events")
+    files = [spark.read.parquet(str(p)).count() for p in (tmp_path / "events").glob("*.parquet")]
+    assert len(files) == 4 and sum(files) == 35 and max(files) < 20
+    queries._land(log.limit(10), f"{tmp_path}/events")
+    assert len(list((tmp_path / "events").glob("*.parquet"))) == 5
