@@ -37,7 +37,7 @@ from blockloom.operators.rosetta import (
     rosetta_raw_transactions,
     rosetta_transactions,
 )
-from blockloom.operators.rows import require_body, unnest
+from blockloom.operators.rows import BLOCK_KEYS, require_body, streamed, unnest
 from blockloom.plans import ranges
 from blockloom.plans.catalog import create_tables, list_tables, table_path
 from blockloom.schemas.bitcoin import INPUTS
@@ -753,14 +753,19 @@ def missing_event_blocks_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame
 
 @query
 def evm_streamed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events meet transactions whose columns are built: no whole block is shuffled."""
+    blocks = ledger.evm_blocks(spark, sf_dir)
+    shown = _flat_transactions(evm_transactions(blocks, keyed=True), *BLOCK_KEYS).drop(PARTITION_BY, RANGE_BY)
     resolved = resolve_events(
-        ledger.chain_events(spark, sf_dir), ledger.evm_blocks(spark, sf_dir)
-    )
-    return _flat_transactions(
-        evm_transactions(resolved, partition_by_size=PARTITION_SIZE),
-        "_sequence_number",
-        "_event_type",
+        ledger.chain_events(spark, sf_dir),
+        shown,
+        height="height",
+        block_hash="hash",
+        headers=ledger.evm_split_headers(spark, sf_dir),
     )
+    columns = [name for name in shown.columns if name not in BLOCK_KEYS]
+    table = streamed(resolved, columns, partition_by_size=PARTITION_SIZE)
+    return table.select("_sequence_number", "_event_type", *columns, *_layout())
 
 
 @query

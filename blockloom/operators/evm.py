@@ -24,6 +24,7 @@ from blockloom.operators.rows import (
     unnest_transactions,
 )
 from blockloom.schemas import evm
+from blockloom.schemas.inputs import HASH, HEIGHT
 from blockloom.schemas.kinds import Field
 from blockloom.schemas.tables import PARTITION_BY
 
@@ -45,11 +46,14 @@ def evm_transactions(
     columns: Iterable[str] | None = None,
     u64: str = "long",
     spread: int | None = None,
+    keyed: bool = False,
 ) -> DataFrame:
     """One row per transaction of nested blocks (per event as well, when streamed).
 
     ``columns`` names the payload columns to build; only what they need is read.
     ``spread`` cuts blocks into pieces of that many transactions and deals these out.
+    ``keyed`` rows begin with the block's tag, height and hash, for a join with events
+    that comes after, see ``streamed``: then not whole blocks are shuffled for it.
     """
     fields = choose(evm.transactions(chain), columns)
     members = None if columns is None else members_used(fields, "transaction")
@@ -58,9 +62,16 @@ def evm_transactions(
     carried = carried_columns(blocks, _FAMILY)
     if any(f.name == "block" for f in fields):
         carried.append(evm.BLOCK.column(F.col("header"), u64).alias("block"))
+    if keyed:
+        keys = ("tag", HEIGHT[_FAMILY], HASH[_FAMILY])
+        carried += [F.col(key).alias(name) for key, name in zip(keys, BLOCK_KEYS)]
     rows = unnest_transactions(require_body(blocks, _FAMILY), carried, members, spread=spread)
     return project(
-        _with_receipts(rows, members), fields, partition_by_size=partition_by_size, u64=u64
+        _with_receipts(rows, members),
+        fields,
+        partition_by_size=partition_by_size,
+        u64=u64,
+        carried=BLOCK_KEYS if keyed else (),
     )
 
 

@@ -198,6 +198,17 @@ def project(
     )
 
 
+def streamed(
+    resolved: DataFrame, columns: Sequence[str], *, partition_by_size: int = 0, u64: str = "long"
+) -> DataFrame:
+    """Rows of a table that were built before their events were joined, in streamed form:
+    the ``columns``, the event's columns, and the layout by the event's sequence."""
+    position = F.col(f"{EVENT}.sequence_num")
+    return project(
+        resolved, (), position=position, partition_by_size=partition_by_size, u64=u64, carried=columns
+    )
+
+
 def join_headers(transactions: DataFrame, headers: DataFrame, block: Column) -> DataFrame:
     """Split layout: put the built ``block`` of each transaction beside it.
 

@@ -211,6 +211,26 @@ def test_rosetta_raw_transactions_need_no_members(spark):
     assert json.loads(bytes(got[1].transaction_data)) == {"transaction_identifier": {"hash": "t"}}
 
 
+def test_rows_built_before_the_event_join(spark, tmp_path):
+    """The streamed query gives what the builder gives for resolved blocks, and shuffles no lists."""
+    seconds = "TIMESTAMP '2024-01-01 00:00:00'"
+    orders = spark.range(40).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "element_at(array('F', 'O', 'P'), int(id % 3) + 1) AS o_orderstatus",
+        "element_at(array('1-URGENT', '2-HIGH'), int(id % 2) + 1) AS o_orderpriority", "id * 1.5D AS o_totalprice", f"{seconds} AS o_orderdate",
+    )
+    kinds = "element_at(array('signup', 'error', 'click', CAST(NULL AS STRING)), int(id % 4) + 1) AS event_type"
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(40).selectExpr("id AS event_id", kinds).write.parquet(f"{tmp_path}/events.parquet")
+    log, nested = ledger.chain_events(spark, str(tmp_path)), ledger.evm_blocks(spark, str(tmp_path))
+    whole = evm_transactions(resolve_events(log, nested), partition_by_size=queries.PARTITION_SIZE)
+    want = queries._flat_transactions(whole, "_sequence_number", "_event_type")
+    got = queries.evm_streamed_transactions(spark, str(tmp_path))
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 20
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("size(")
+
+
 def test_a_large_log_lands_in_several_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(queries, "LANDED", 10)
     log = spark.range(35).select(F.col("id").alias("sequence_num"))
