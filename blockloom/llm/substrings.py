@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blockloom.llm.shared import in_batches, settle, spread_join, texts
+from blockloom.llm.shared import in_batches, settle, shared_dir, slices, spread_join, texts
 
 WINDOW = 50
 GRAM = 8
@@ -57,6 +57,12 @@ class _Words(dict):
         return made
 
 
+def _forget() -> None:
+    """For the end of a task: an idle worker keeps no memory that others need. A function
+    that is sent to workers would take a copy of the hashes along; it finds this one by name."""
+    _WORDS.clear()
+
+
 class _Powers:
     """Powers of an odd base modulo 2 ** 64, and of its inverse."""
 
@@ -136,7 +142,7 @@ def _long(parts: list[np.ndarray]) -> pa.Array:
 
 def _runs(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             anchors, keys, counts = [], [], []
             for text in texts(batch):
                 words = text.split()
@@ -152,6 +158,7 @@ def _runs(window: int):
                 [_repeat(batch.column("doc_id"), counts), _long(anchors), _long(keys)],
                 ["doc_id", "anchor", "run"],
             )
+        _forget()
 
     return run
 
@@ -160,7 +167,7 @@ def _windows(window: int):
     """The windows of wanted runs, each once for a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             anchors, hashes, counts = [], [], []
             for text, wanted in zip(texts(batch), batch.column("wanted")):
                 words = text.split()
@@ -179,6 +186,7 @@ def _windows(window: int):
                 [_repeat(batch.column("doc_id"), counts), _long(anchors), _long(hashes)],
                 ["doc_id", "anchor", "hash"],
             )
+        _forget()
 
     return run
 
@@ -208,7 +216,7 @@ def _remove(window: int, carry: list[str]):
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n_words, n_removed, all_spans, kept = [], [], [], []
             for text, keys, hashes in zip(texts(batch), batch.column("runs"), batch.column("hashes")):
                 words = text.split()
@@ -231,6 +239,7 @@ def _remove(window: int, carry: list[str]):
                 + [pa.array(all_spans, spans_type), pa.array(kept, pa.string())],
                 [*carry, "n_words", "n_removed", "spans", "kept_text"],
             )
+        _forget()
 
     return run
 
@@ -254,6 +263,10 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...]
     runs = keyed.select("doc_id", "text").transform(in_batches(
         _runs(window), f"doc_id {id_type}, anchor bigint, run bigint"
     ))
+    # Counted and joined: hash the texts once.
+    stored, schema = f"{shared_dir(docs.sparkSession, 'substrings')}/runs", runs.schema
+    runs.write.parquet(stored)
+    runs = docs.sparkSession.read.schema(schema).parquet(stored)
     anchors = runs.groupBy("anchor").agg(
         F.min("doc_id").alias("least"),
         F.max("doc_id").alias("most"),
@@ -272,9 +285,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...]
     wanted = found.filter("mixed AND doc_id = first").groupBy("doc_id").agg(
         F.collect_set("run").alias("wanted")
     )
-    single = settle(
+    # Neither settled nor without the carried columns: so this join and the last one are of
+    # one job and of equal rows, and Spark shuffles the texts once for both.
+    single = (
         keyed.join(wanted, "doc_id")
-        .select("doc_id", "text", "wanted")
+        .select("doc_id", "text", *carry, "wanted")
         .transform(in_batches(_windows(window), f"doc_id {id_type}, anchor bigint, hash bigint"))
     )
     repeated = single.groupBy("anchor", "hash").agg(
