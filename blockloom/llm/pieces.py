@@ -45,10 +45,34 @@ REMEMBERED = 200_000
 PAIRS = 250_000
 
 
-class Pieces:
+def _octets(known: sentencepiece.SentencePieceProcessor, k: int) -> bytes:
+    """What id ``k`` stands for."""
+    name = known.id_to_piece(k)
+    if known.is_byte(k):
+        return bytes([int(name[3:5], 16)])
+    if known.is_control(k) or known.is_unknown(k) or known.is_unused(k):
+        return " ⁇ ".encode() if known.is_unknown(k) else b""
+    return name.replace(BLANK, " ").encode()
+
+
+class Table:
+    """What the ids of a model file stand for: all that decoding needs."""
+
+    def __init__(self, model: bytes):
+        known = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.table = [_octets(known, k) for k in range(known.get_piece_size())]
+
+    def decode(self, ids) -> str:
+        """The text of ``ids``, without the blank put in front."""
+        raw = b"".join(map(self.table.__getitem__, ids))
+        return raw.removeprefix(b" ").decode(errors="replace")
+
+
+class Pieces(Table):
     """The vocabulary of a model file."""
 
     def __init__(self, model: bytes):
+        super().__init__(model)
         known = sentencepiece.SentencePieceProcessor(model_proto=model)
         if known.normalize(" a  b") != f"{BLANK}{BLANK}a{BLANK}{BLANK}b":
             raise ValueError("only models that keep white space and put a blank in front are read")
@@ -56,17 +80,11 @@ class Pieces:
         names = [known.id_to_piece(k) for k in range(size)]
         self.unknown = known.unk_id()
         self.octets: list[int] = [self.unknown] * 256
-        self.table: list[bytes] = []
         self.scores: dict[str, tuple[int, float]] = {}
         for k, name in enumerate(names):
             if known.is_byte(k):
-                value = int(name[3:5], 16)
-                self.octets[value] = k
-                self.table.append(bytes([value]))
-            elif known.is_control(k) or known.is_unknown(k) or known.is_unused(k):
-                self.table.append(" ⁇ ".encode() if known.is_unknown(k) else b"")
-            else:
-                self.table.append(name.replace(BLANK, " ").encode())
+                self.octets[self.table[k][0]] = k
+            elif not (known.is_control(k) or known.is_unknown(k) or known.is_unused(k)):
                 self.scores[name] = (k, known.get_score(k))
         self.worst = min(score for _, score in self.scores.values()) - 10.0
         inside = any(BLANK in name.lstrip(BLANK) for name in self.scores)
@@ -239,20 +257,15 @@ class Pieces:
             out += ids
         return out
 
-    def decode(self, ids) -> str:
-        """The text of ``ids``, without the blank put in front."""
-        raw = b"".join(map(self.table.__getitem__, ids))
-        return raw.removeprefix(b" ").decode(errors="replace")
-
 
-_LOADED: dict[int, Pieces] = {}
+_LOADED: dict[tuple[type, int], Table] = {}
 
 
-def _load(model: bytes) -> Pieces:
-    """The vocabulary, built once in a worker."""
-    key = hash(model)
+def _load[Kind: Table](model: bytes, kind: type[Kind]) -> Kind:
+    """The vocabulary or its table, built once in a worker."""
+    key = kind, hash(model)
     if key not in _LOADED:
-        _LOADED[key] = Pieces(model)
+        _LOADED[key] = kind(model)
     return _LOADED[key]
 
 
@@ -277,7 +290,7 @@ def encode(docs: DataFrame, model: str = MODEL, carry: tuple[str, ...] = ()) ->
     carry = ["doc_id", *(c for c in carry if c not in ("doc_id", "ids"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _load(file.value)
+        pieces = _load(file.value, Pieces)
         for batch in slices(batches):
             rows = [pieces.encode(t.decode()) for t in texts(batch)]
             ends = np.cumsum([0, *map(len, rows)], dtype=np.int64)
@@ -297,10 +310,10 @@ def decode(encoded: DataFrame, model: str = MODEL, carry: tuple[str, ...] = ())
     carry = ["doc_id", *(c for c in carry if c not in ("doc_id", "decoded"))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _load(file.value)
+        table = _load(file.value, Table)
         for batch in slices(batches):
             made = [
-                pieces.decode(row.values.to_numpy(zero_copy_only=False).tolist()) if row.is_valid else ""
+                table.decode(row.values.to_numpy(zero_copy_only=False).tolist()) if row.is_valid else ""
                 for row in batch.column("ids")
             ]
             yield pa.RecordBatch.from_arrays(

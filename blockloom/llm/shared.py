@@ -51,11 +51,18 @@ def ship(spark: SparkSession) -> None:
 
 
 def in_batches(run: Callable, schema: str | T.StructType) -> Callable[[DataFrame], DataFrame]:
-    """For ``transform``: ``mapInArrow`` with a function of this package."""
+    """For ``transform``: ``mapInArrow`` with a function of this package.
+
+    Workers outlive their task: what batches took is given back when it ends.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
 
     def mapped(df: DataFrame) -> DataFrame:
         ship(df.sparkSession)
-        return df.mapInArrow(run, schema)
+        return df.mapInArrow(tidied, schema)
 
     return mapped
 
