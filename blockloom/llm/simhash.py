@@ -167,13 +167,14 @@ def linked(prints: np.ndarray, sizes: np.ndarray, radius: int = 3) -> list[tuple
     return found
 
 
-def compare(find: Callable[[pa.Table, np.ndarray], list[tuple[int, int]]]):
+def compare(find: Callable[[pa.Table, np.ndarray], Iterator[np.ndarray]]):
     """Rows sorted by bucket to links; a bucket never spans two partitions.
 
-    ``find`` takes the rows, bucket after bucket, and the buckets' descending sizes.
+    ``find`` takes the rows, bucket after bucket, and the buckets' descending sizes; it
+    gives the links some at a time, which none has to hold together.
     """
 
-    def block(rows: pa.Table) -> pa.RecordBatch:
+    def block(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         masks, keys = rows["mask"].to_numpy(), rows["key"].to_numpy()
         new = np.ones(len(masks), bool)
         new[1:] = (masks[1:] != masks[:-1]) | (keys[1:] != keys[:-1])
@@ -182,8 +183,19 @@ def compare(find: Callable[[pa.Table, np.ndarray], list[tuple[int, int]]]):
         order = np.argsort(-sizes, kind="stable")
         pick = np.concatenate([np.arange(starts[k], starts[k] + sizes[k]) for k in order])
         rows = rows.combine_chunks().take(pa.array(pick))
-        pairs = np.array(find(rows, sizes[order]), np.int64).reshape(-1, 2)
         names = rows["rep"].combine_chunks()
+        held, n = [], 0
+        for some in find(rows, sizes[order]):
+            held.append(some)
+            n += len(some)
+            if n >= BLOCK:
+                yield named(names, held)
+                held, n = [], 0
+        if n:
+            yield named(names, held)
+
+    def named(names: pa.Array, held: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.concatenate(held)
         return pa.RecordBatch.from_arrays(
             [names.take(pa.array(pairs[:, 0])), names.take(pa.array(pairs[:, 1]))], ["a", "b"]
         )
@@ -201,11 +213,11 @@ def compare(find: Callable[[pa.Table, np.ndarray], list[tuple[int, int]]]):
             tail = np.flatnonzero((masks != masks[-1]) | (keys != keys[-1]))
             cut = int(tail[-1]) + 1 if len(tail) else 0  # the last bucket may go on
             if cut:
-                yield block(rows.slice(0, cut))
+                yield from block(rows.slice(0, cut))
             held = rows.slice(cut).combine_chunks().to_batches()
             n -= cut
         if n:
-            yield block(pa.Table.from_batches(held))
+            yield from block(pa.Table.from_batches(held))
 
     return run
 
@@ -255,8 +267,9 @@ def links(reps: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
     for more in ready[1:]:
         rows = rows.unionByName(more)
 
-    def forest(rows: pa.Table, sizes: np.ndarray) -> list[tuple[int, int]]:
-        return linked(rows["print"].to_numpy().view(np.uint64), sizes, radius)
+    def forest(rows: pa.Table, sizes: np.ndarray) -> Iterator[np.ndarray]:
+        found = linked(rows["print"].to_numpy().view(np.uint64), sizes, radius)
+        yield np.array(found, np.int64).reshape(-1, 2)
 
     kind = reps.schema["rep"].dataType.simpleString()
     return (

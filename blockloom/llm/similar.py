@@ -12,8 +12,12 @@ these bits to find them: at a similarity of 0.8 about ten of 64. So here
 4. buckets are compared as bit planes, as in ``simhash``, with ascending radii: links of
    few differing bits are taken first, and a bucket gives a few spanning forests of them
    instead of all pairs;
-5. the links are checked by the exact similarity of their shingles;
-6. links that hold become classes, and buckets of several classes are compared again, with
+5. of these links only those are kept whose texts can be similar enough: a text carries
+   the parity of its shingles' number in each of many cells, two texts differ by at least
+   as many shingles as parities, and a link that this rules out couldn't hold. What goes
+   on are real links and near misses, not all pairs of a group of unlike texts;
+6. they are checked by the exact similarity of their shingles;
+7. links that hold become classes, and buckets of several classes are compared again, with
    more forests, until no link between two classes is left unchecked. Of a large bucket
    every two parts are compared then, unless both are of one class, each two as a bucket
    of their own: nothing in it is left out, and no task takes it whole.
@@ -40,6 +44,10 @@ BANDS = 16
 ROWS = 4
 BUCKET = 8192
 RADII = (4, 8, 12, 16, 24)
+#: Bits of a text's parities: the power of two from three for a shingle on, within these.
+CELLS = (256, 16384)
+#: Forests that a round keeps at most; the one after takes all links as they are.
+FORESTS = 512
 #: Ids sent to every task, 8 bytes each; more are joined by a shuffle.
 SENT = 500_000
 
@@ -60,23 +68,64 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return [int.from_bytes(xxhash.xxh64_digest(o.tobytes()), "big", signed=True) for o in octets]
 
 
+def parities(hashes: np.ndarray) -> bytes:
+    """Whether each cell has an odd number of distinct hashes; a hash's last bits are its cell."""
+    cells = min(max(CELLS[0], 1 << (3 * len(hashes) - 1).bit_length()), CELLS[1])
+    counts = np.bincount((hashes & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+class Apart:
+    """How many shingles at least only one of two texts has."""
+
+    def __init__(self, sizes: np.ndarray, held: list[bytes]):
+        self.sizes, self.widths = sizes, np.array([len(x) for x in held], np.int64)
+        self.folded, self.place = {}, {}
+        for width in np.unique(self.widths).tolist():
+            rows = np.flatnonzero(self.widths >= width)
+            self.place[width] = np.zeros(len(held), np.int64)
+            self.place[width][rows] = np.arange(len(rows))
+            # Of half as many cells one has the hashes of two, and the parity of their sum.
+            parts = [np.frombuffer(held[k], "<u8").reshape(-1, width // 8) for k in rows.tolist()]
+            self.folded[width] = np.stack([np.bitwise_xor.reduce(x, axis=0) for x in parts])
+
+    def possible(self, a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+        """Which pairs of rows can have a similarity of ``least``; none that has is left out."""
+        both = self.sizes[a] + self.sizes[b]
+        most = both * (1 - least) / (1 + least) + 1e-6
+        able = np.abs(self.sizes[a] - self.sizes[b]) <= most
+        width = np.minimum(self.widths[a], self.widths[b])
+        for w, table in self.folded.items():
+            at = np.flatnonzero(able & (width == w))
+            place = self.place[w]
+            for k in range(0, len(at), 8192):
+                some = at[k : k + 8192]
+                odd = np.bitwise_count(table[place[a[some]]] ^ table[place[b[some]]])
+                able[some] = odd.sum(axis=1, dtype=np.int64) <= most[some]
+        return able
+
+
 def _sketch(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, held in portions(batches, "doc_id", "text"):
-            digests, prints, keys = [], [], []
+            digests, prints, keys, sizes, odd = [], [], [], [], []
             for text in held:
                 hashes = np.unique(shingle_hashes(text, shingle))
                 digests.append(xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes()))
                 prints.append(majority(hashes))
                 keys.append(band_keys(hashes))
+                sizes.append(len(hashes))
+                odd.append(parities(hashes))
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,
                     pa.array(digests, pa.binary()),
                     pa.array(np.array(prints, np.uint64).view(np.int64)),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(odd, pa.binary()),
                 ],
-                ["doc_id", "digest", "print", "keys"],
+                ["doc_id", "digest", "print", "keys", "size", "odd"],
             )
 
     return run
@@ -136,37 +185,61 @@ def paired(rows: DataFrame, bucket: int) -> DataFrame:
     )
 
 
-def _forests(number: int, radii: tuple[int, ...]):
-    """Links between classes: at most ``number`` forests of them, the nearest first.
+def _forests(number: int | None, radii: tuple[int, ...], least: float):
+    """Links between classes that may hold, the nearest first: at most ``number`` forests
+    of them, or all without a number.
 
     A link that lies in none of them gives its first row twice: there is more to do.
     """
 
-    def find(rows: pa.Table, sizes: np.ndarray) -> list[tuple[int, int]]:
+    def find(rows: pa.Table, sizes: np.ndarray) -> Iterator[np.ndarray]:
         prints = rows["print"].to_numpy().view(np.uint64)
         names, own = np.unique(rows["component"].to_numpy(), return_inverse=True)
-        forests, found, more = [Forest(len(names)) for _ in range(number)], [], []
+        apart = Apart(rows["size"].to_numpy(), rows["odd"].to_pylist())
+        forests: list[Forest] = []
+        more = False
         for low, high in zip((-1, *radii), radii):
             for a, b in near_pairs(prints, sizes, high):
                 new = (own[a] != own[b]) & (np.bitwise_count(prints[a] ^ prints[b]) > low)
                 a, b = a[new], b[new]
-                # what the last forest has joined, all have
-                open_ = forests[-1].root[own[a]] != forests[-1].root[own[b]]
-                if not open_.all():
-                    more = [(int(a[0]), int(a[0]))]
-                for x, y in zip(a[open_].tolist(), b[open_].tolist()):
-                    for forest in forests:
-                        p, q = forest.find(own[x]), forest.find(own[y])
-                        if p != q:
-                            forest.root[max(p, q)] = min(p, q)
-                            found.append((x, y))
-                            break
-                    else:
-                        more = [(x, x)]
-                last = forests[-1]
-                while not np.array_equal(up := last.root[last.root], last.root):
-                    last.root = up
-        return found + more
+                can = apart.possible(a, b, least)
+                a, b = a[can], b[can]
+                if number is None:
+                    yield np.stack([a, b], axis=1)
+                    continue
+                if len(forests) == number:
+                    # what the last forest has joined, all have
+                    last = forests[-1]
+                    while not np.array_equal(up := last.root[last.root], last.root):
+                        last.root = up
+                    open_ = last.root[own[a]] != last.root[own[b]]
+                    if not open_.all():
+                        if not more:
+                            yield np.array([(a[0], a[0])])
+                        more = True
+                    a, b = a[open_], b[open_]
+                found = []
+                for x, y in zip(a.tolist(), b.tolist()):
+                    p, q, begin, end = own[x], own[y], 0, len(forests)
+                    while begin < end:  # the first forest that hasn't joined them
+                        middle = (begin + end) // 2
+                        if forests[middle].find(p) == forests[middle].find(q):
+                            begin = middle + 1
+                        else:
+                            end = middle
+                    if begin == number:
+                        if not more:
+                            found.append((x, x))
+                        more = True
+                        continue
+                    if begin == len(forests):
+                        forests.append(Forest(len(names)))
+                    forest = forests[begin]
+                    p, q = forest.find(p), forest.find(q)
+                    forest.root[max(p, q)] = min(p, q)
+                    found.append((x, y))
+                if found:
+                    yield np.array(found)
 
     return find
 
@@ -174,6 +247,7 @@ def _forests(number: int, radii: tuple[int, ...]):
 def classes(
     docs: DataFrame,
     rows: DataFrame,
+    marks: DataFrame,
     shingle: int,
     least: float,
     bucket: int = BUCKET,
@@ -181,10 +255,12 @@ def classes(
 ) -> DataFrame:
     """``a`` and ``b``: checked links between the ``rep``s of ``rows``, made by ``buckets``.
 
-    Round by round, only buckets that hold several classes still are compared, large ones
-    by all pairs of their parts. Each round takes sixteen times as many forests, until they
-    hold all links between classes.
+    ``marks`` has the ``size`` and parities of each ``rep`` and ``print``. Round by round,
+    only buckets that hold several classes still are compared, large ones by all pairs of
+    their parts. Each round takes sixteen times as many forests, until they hold all links
+    between classes that may hold; after ``FORESTS`` of them a round takes the rest at once.
     """
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = rows.schema["rep"].dataType.simpleString()
     any_large = not rows.filter(F.col("n") > bucket).isEmpty()
     found, number = None, 2
@@ -203,10 +279,12 @@ def classes(
                 large = paired(now.filter(F.col("n") > bucket).drop("n"), bucket)
                 now = now.filter(F.col("n") <= bucket).drop("n").unionByName(large)
         linked = settle(
-            now.select("mask", "key", "print", "rep", "component")
-            .repartition("mask", "key")
+            now.join(marks, ["rep", "print"])
+            .select("mask", "key", "print", "rep", "component", "size", "odd")
+            # few bytes, much to compare: a number keeps the tasks from being put together
+            .repartition(tasks, "mask", "key")
             .sortWithinPartitions("mask", "key", "rep")
-            .transform(in_batches(compare(_forests(number, radii)), f"a {kind}, b {kind}"))
+            .transform(in_batches(compare(_forests(number, radii, least)), f"a {kind}, b {kind}"))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             .distinct()
         )
@@ -214,7 +292,7 @@ def classes(
         found = settle(held if found is None else found.unionByName(held).distinct())
         if complete and linked.filter("a = b").isEmpty():
             return found
-        number *= 16
+        number = number * 16 if number and number < FORESTS else None
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -259,15 +337,15 @@ def groups(
     columns are dropped. An empty table gives no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, digest binary, print bigint, keys array<bigint>"
+    schema = f"doc_id {kind}, digest binary, print bigint, keys array<bigint>, size bigint, odd binary"
     owned = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
     sketches = settle(owned.transform(in_batches(_sketch(shingle), schema)))
-    reps = settle(
-        sketches.groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.first("print").alias("print"), F.first("keys").alias("keys")
-        )
-    )
-    links = classes(docs, settle(buckets(reps)), shingle, least, bucket)
+    same = (F.first(c).alias(c) for c in ("print", "keys", "size", "odd"))
+    reps = settle(sketches.groupBy("digest").agg(F.min("doc_id").alias("rep"), *same))
+    rows = settle(buckets(reps))
+    met = _few(settle(rows.select("rep").distinct()))
+    marks = settle(reps.join(met, "rep", "left_semi").select("rep", "print", "size", "odd"))
+    links = classes(docs, rows, marks, shingle, least, bucket)
     copies = spread_join(sketches, reps.select("digest", "rep"), ["digest"], "doc_id")
     copies = settle(copies.select("doc_id", "rep").distinct())
     # A document of several texts ties their classes together.

@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from blockloom.llm import similar
@@ -191,3 +192,57 @@ def test_recall_over_all_pairs(spark):
     print(len(pairs), "pairs,", caught, "found")
     assert len(pairs) > 20 and caught >= 0.95 * len(pairs)
     assert all(want[got[i]] == want[i] for i in got)
+
+
+def one_family(n: int, edits: int, seed: int, words: int = 400) -> dict[int, str]:
+    """Texts of one beginning text, each with that many words of its own."""
+    draw = random.Random(seed)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(words)]
+    return {k: " ".join(changed(base, edits, draw)) for k in range(n)}
+
+
+def bucket_of(texts: dict[int, str]) -> tuple[pa.Table, np.ndarray]:
+    """All texts as one bucket, each a class of its own."""
+    sets = {i: np.unique(similar.shingle_hashes(t.encode(), 5)) for i, t in texts.items()}
+    prints = np.array([similar.majority(h) for h in sets.values()], np.uint64).view(np.int64)
+    rows = pa.table({
+        "mask": [0] * len(sets), "key": [0] * len(sets), "print": prints, "rep": list(sets), "component": list(sets),
+        "size": [len(h) for h in sets.values()], "odd": [similar.parities(h) for h in sets.values()],
+    })
+    return rows, np.array([len(sets)])
+
+
+def test_no_possible_link_is_ruled_out():
+    draw = random.Random(8)
+    texts = [t for words in (8, 60, 90, 400, 3000, 9000) for k in range(6)
+             for t in one_family(4, draw.randrange(1 + words // 20), 100 * words + k, words).values()]
+    texts += [t + " and" * draw.randrange(400) + " more" for t in texts[::3]]
+    sets = [np.unique(similar.shingle_hashes(t.encode(), 5)) for t in texts]
+    apart = similar.Apart(np.array([len(h) for h in sets]), [similar.parities(h) for h in sets])
+    a, b = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    can = apart.possible(a, b, 0.8)
+    common = np.array([len(np.intersect1d(sets[x], sets[y], True)) for x, y in zip(a, b)])
+    either = apart.sizes[a] + apart.sizes[b] - common
+    assert can[common >= 0.8 * either - 1e-9].all() and np.sum(common >= 0.8 * either) > 2 * len(sets)
+    assert not can[common < 0.6 * either].any()
+
+
+@pytest.mark.parametrize("number", [2, 32, 512, None])
+def test_unlike_texts_of_one_bucket_give_no_links(number):
+    """Their fingerprints are near, and each pair was a link to be checked."""
+    rows, sizes = bucket_of(one_family(60, 26, 4))
+    assert all(not alike(*map(shingles, pair)) for pair in zip(*[iter(one_family(60, 26, 4).values())] * 2))
+    prints = rows["print"].to_numpy().view(np.uint64)
+    assert sum(len(a) for a, _ in similar.near_pairs(prints, sizes, similar.RADII[-1])) > 1500
+    assert sum(map(len, similar._forests(number, similar.RADII, 0.8)(rows, sizes))) < 60
+
+
+def test_rounds_end_with_all_links():
+    rows, sizes = bucket_of(one_family(40, 3, 6))
+    few, some, every = (
+        np.concatenate(list(similar._forests(number, similar.RADII, 0.8)(rows, sizes))) for number in (2, 32, None)
+    )
+    assert len({tuple(p) for p in every.tolist()}) == len(every) == 40 * 39 // 2
+    told = few[:, 0] == few[:, 1]
+    assert told.sum() == 1 and len(few) - 1 == 2 * 39
+    assert not (some[:, 0] == some[:, 1]).any() and {tuple(p) for p in some.tolist()} == {tuple(p) for p in every.tolist()}
