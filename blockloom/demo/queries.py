@@ -25,7 +25,13 @@ from blockloom.operators.bitcoin import (
     bitcoin_split_transactions,
     bitcoin_transactions,
 )
-from blockloom.operators.events import BROADCAST_BYTES, event_stats, missing_blocks, resolve_events
+from blockloom.operators.events import (
+    BROADCAST_BYTES,
+    EventStats,
+    event_stats,
+    missing_blocks,
+    resolve_events,
+)
 from blockloom.operators.evm import (
     evm_blocks,
     evm_raw_transactions,
@@ -37,7 +43,7 @@ from blockloom.operators.rosetta import (
     rosetta_raw_transactions,
     rosetta_transactions,
 )
-from blockloom.operators.rows import BLOCK_KEYS, require_body, streamed, unnest
+from blockloom.operators.rows import BLOCK_KEYS, key_columns, require_body, streamed, unnest
 from blockloom.plans import ranges
 from blockloom.plans.catalog import create_tables, list_tables, table_path
 from blockloom.schemas.bitcoin import INPUTS
@@ -1047,6 +1053,26 @@ def sink_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.withColumn("value", _digits("value"))
 
 
+def _streamed_table(source: Ledger, key: TableKey, stats: EventStats, check: bool) -> DataFrame:
+    """A streamed table's rows. Transactions are built before events are joined: only the
+    keys of their blocks are shuffled for it, no block with all that is in it."""
+    family = block_family(source.chain, key)
+    blocks = source.blocks[family]
+    if key.table != "streamed_transactions":
+        resolved = resolve_events(source.events, blocks, family=family, stats=stats, check=check)
+        return build(source.chain, key, resolved)
+    resolved = resolve_events(
+        source.events,
+        build(source.chain, key, blocks, keyed=True).select(*BLOCK_KEYS),
+        height="height",
+        block_hash="hash",
+        headers=blocks.select(*key_columns(family)),
+        stats=stats,
+        check=check,
+    )
+    return streamed(resolved, ())
+
+
 @query
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every table of two chains: its key, its width and how many rows it has here."""
@@ -1055,18 +1081,15 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = _ledger(spark, sf_dir, chain)
         keys = source.tables()
         stats = event_stats(source.events)
-        resolved = {
-            family: resolve_events(
-                source.events, source.blocks[family], family=family, stats=stats
-            )
-            for family in {block_family(chain, key) for key in keys if key.streamed}
-        }
-        counts = []
+        checked, counts = set(), []
         for key in keys:
-            blocks = (resolved if key.streamed else source.blocks)[block_family(chain, key)]
-            counts.append(
-                build(chain, key, blocks).select(F.lit(str(key)).alias("table_key"))
-            )
+            family = block_family(chain, key)
+            if key.streamed:
+                table = _streamed_table(source, key, stats, check=family not in checked)
+                checked.add(family)
+            else:
+                table = build(chain, key, source.blocks[family])
+            counts.append(table.select(F.lit(str(key)).alias("table_key")))
         rows = reduce(DataFrame.union, counts).groupBy("table_key").agg(
             F.count(F.lit(1)).alias("rows")
         )

@@ -17,6 +17,7 @@ from blockloom.operators.rows import (
     carried_columns,
     choose,
     join_headers,
+    key_columns,
     members_used,
     position_of,
     project,
@@ -24,7 +25,6 @@ from blockloom.operators.rows import (
     unnest_transactions,
 )
 from blockloom.schemas import evm
-from blockloom.schemas.inputs import HASH, HEIGHT
 from blockloom.schemas.kinds import Field
 from blockloom.schemas.tables import PARTITION_BY
 
@@ -63,8 +63,7 @@ def evm_transactions(
     if any(f.name == "block" for f in fields):
         carried.append(evm.BLOCK.column(F.col("header"), u64).alias("block"))
     if keyed:
-        keys = ("tag", HEIGHT[_FAMILY], HASH[_FAMILY])
-        carried += [F.col(key).alias(name) for key, name in zip(keys, BLOCK_KEYS)]
+        carried += key_columns(_FAMILY)
     rows = unnest_transactions(require_body(blocks, _FAMILY), carried, members, spread=spread)
     return project(
         _with_receipts(rows, members),
@@ -154,13 +153,16 @@ def evm_blocks(
 
 
 def evm_raw_transactions(
-    resolved: DataFrame, *, partition_by_size: int = 0, u64: str = "long", **payload
+    resolved: DataFrame, *, partition_by_size: int = 0, u64: str = "long", keyed: bool = False, **payload
 ) -> DataFrame:
     """Streamed transactions as key columns and the serialised transaction.
 
-    ``payload`` goes to :func:`blockloom.functions.raw_payload`.
+    ``payload`` goes to :func:`blockloom.functions.raw_payload`; ``keyed`` is that of
+    :func:`evm_transactions`, for blocks that their events are joined to after.
     """
     carried = carried_columns(resolved, _FAMILY)
+    if keyed:
+        carried += key_columns(_FAMILY)
     rows = unnest_transactions(require_body(resolved, _FAMILY), carried, None)
     data = raw_payload(F.col("transaction"), **payload)
     return project(
@@ -168,4 +170,5 @@ def evm_raw_transactions(
         evm.RAW_TRANSACTIONS,
         partition_by_size=partition_by_size,
         u64=u64,
+        carried=BLOCK_KEYS if keyed else (),
     )

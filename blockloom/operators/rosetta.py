@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from blockloom.functions.scalars import raw_payload, require
 from blockloom.operators.rows import (
+    BLOCK_KEYS,
     carried_columns,
     choose,
+    key_columns,
     members_used,
     position_of,
     project,
@@ -109,17 +111,20 @@ def rosetta_blocks(
 
 
 def rosetta_raw_transactions(
-    resolved: DataFrame, *, partition_by_size: int = 0, u64: str = "long", **payload
+    resolved: DataFrame, *, partition_by_size: int = 0, u64: str = "long", keyed: bool = False, **payload
 ) -> DataFrame:
     """Streamed transactions as block info, place in the block and serialised transaction.
 
-    Nothing but the event is required here: unset members hold their defaults.
+    Nothing but the event is required here: unset members hold their defaults. ``keyed``
+    rows begin with the block's tag, height and hash, for events that are joined after.
     """
     info = rosetta.BLOCK_INFO
     carried = [
         *carried_columns(resolved, _FAMILY),
         F.struct(*[f.column_of(u64).alias(f.name) for f in info.fields]).alias("block_info"),
     ]
+    if keyed:
+        carried += key_columns(_FAMILY)
     rows = unnest_transactions(resolved, carried, None, with_position=True)
     data = raw_payload(F.col("transaction"), **payload)
     return project(
@@ -127,4 +132,5 @@ def rosetta_raw_transactions(
         rosetta.RAW_TRANSACTIONS,
         partition_by_size=partition_by_size,
         u64=u64,
+        carried=BLOCK_KEYS if keyed else (),
     )

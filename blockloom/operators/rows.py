@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from blockloom.errors import InvalidArgument
 from blockloom.functions.scalars import partition_floor, require
-from blockloom.schemas.inputs import BODY, HEIGHT
+from blockloom.schemas.inputs import BODY, HASH, HEIGHT
 from blockloom.schemas.kinds import U64_TYPES, Field, u64_type
 from blockloom.schemas.tables import EVENT_FIELDS, PARTITION_BY, PARTITION_SIZE, RANGE_BY
 
@@ -154,6 +154,12 @@ def position_of(blocks: DataFrame, family: str) -> Column:
     return F.col(f"{EVENT}.sequence_num") if is_streamed(blocks) else height(family)
 
 
+def key_columns(family: str) -> list[Column]:
+    """What tells blocks apart, by the names that the split layout gives it."""
+    keys = ("tag", HEIGHT[family], HASH[family])
+    return [F.col(key).alias(name) for key, name in zip(keys, BLOCK_KEYS)]
+
+
 def carried_columns(blocks: DataFrame, family: str) -> list[Column]:
     carried = [position_of(blocks, family).alias(_POSITION)]
     if is_streamed(blocks):

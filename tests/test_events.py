@@ -239,3 +239,38 @@ def test_a_large_log_lands_in_several_files(spark, tmp_path, monkeypatch):
     assert len(files) == 4 and sum(files) == 35 and max(files) < 20
     queries._land(log.limit(10), f"{tmp_path}/events")
     assert len(list((tmp_path / "events").glob("*.parquet"))) == 5
+
+
+def test_catalog_shuffles_no_blocks_for_streamed_tables(spark, tmp_path, monkeypatch):
+    """Large event logs are joined by a shuffle: of keys, not of all transactions."""
+    orders = [(k, k % 3, "FOP"[k % 3], 10.5 * k, f"{1 + k % 5}-URGENT") for k in range(30)]
+    spark.createDataFrame(
+        orders,
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string",
+    ).selectExpr("*", "TIMESTAMP'2020-01-01 00:00:00' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    logged = [(k, ("click", "error", "signup")[k % 3]) for k in range(12)]
+    spark.createDataFrame(logged, "event_id bigint, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr("blockloom.operators.events.BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = queries.catalog_tables(spark, str(tmp_path))
+        plan = found._jdf.queryExecution().sparkPlan().toString().splitlines()
+        rows = {(r.chain, r.table_key): r.rows for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not any("Join" in line and "transactions#" in after for line, after in zip(plan, plan[1:]))
+    sizes = {k: r for k, r in enumerate(
+        spark.read.parquet(f"{tmp_path}/orders.parquet").orderBy("o_orderkey").selectExpr(
+            "IF(o_orderstatus = 'P', 0, 1) + IF(o_orderstatus = 'F', 1, 0)"
+            " + IF(o_orderstatus <> 'P' AND o_orderpriority = '1-URGENT', 1, 0) AS n"
+        ).toPandas()["n"]
+    )}
+    streamed = sum(sizes[max(k - 1, 0) if kind == "error" else k] for k, kind in logged)
+    for (_, key), n in rows.items():
+        if "streamed_blocks" in key:
+            assert n == len(logged)
+        elif "streamed" in key:
+            assert n == streamed
+        else:
+            assert n == (len(orders) if "table=blocks" in key else sum(sizes.values()))
+    assert len(rows) == 10
