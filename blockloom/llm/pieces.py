@@ -18,7 +18,9 @@ What it relaxes by depends on how the model was trained, which its scores tell:
 A character that no piece covers is written as its UTF-8 bytes.
 
 Where no piece goes on past a blank into a word, no segmentation crosses the start
-of a word's blanks; then words are segmented one by one and remembered.
+of a word's blanks; then words are segmented one by one and remembered. If scores are
+ranks, the new words of many texts are merged together, as rows of arrays: every round
+joins in each row the first of its pairs of best rank, until none is left.
 """
 
 from __future__ import annotations
@@ -43,6 +45,14 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words whose segmentation a worker remembers, and pairs of pieces.
 REMEMBERED = 200_000
 PAIRS = 250_000
+#: Characters of the words that are remembered and merged together, and how many at a time.
+SHORT = 64
+TOGETHER = 8192
+#: Bytes of texts that are segmented together; a longer text is alone.
+PORTION = 1_000_000
+#: No character and no piece, and a rank behind all others.
+NONE = (1 << 31) - 1
+LAST = np.iinfo(np.int64).max
 
 
 def _octets(known: sentencepiece.SentencePieceProcessor, k: int) -> bytes:
@@ -99,13 +109,22 @@ class Pieces(Table):
             (shared if rank in seen else seen).add(rank)
         # Characters of pieces that share their rank: where two stand together, merges are carried out.
         self._tied = {name[:2] for name, rank in self._rank.items() if rank in shared}
-        self._halves: dict[str, tuple[str, str]] = {}
         self._names, self._pairs = names, {}
-        if self.by_merges:
-            for name in long:
-                steps: list[tuple[str, str]] = []
-                if self._merge(name, steps) == [name]:
-                    self._halves[name] = steps[-1]
+
+    @cached_property
+    def _halves(self) -> dict[str, tuple[str, str]]:
+        """Of which two each piece is joined; only long words need it."""
+        halves = {}
+        for name in self._rank if self.by_merges else ():
+            steps: list[tuple[str, str]] = []
+            if self._merge(name, steps) == [name]:
+                halves[name] = steps[-1]
+        return halves
+
+    def forget(self) -> None:
+        """Give back the words and pairs that were remembered: idle workers hold them else."""
+        self._memory.clear()
+        self._pairs.clear()
 
     def _merge(self, text: str, steps: list[tuple[str, str]] | None = None) -> list[str]:
         """The model's own way: of all neighbours join those of best rank, the first ones
@@ -195,6 +214,85 @@ class Pieces(Table):
             out += [known[0]] if known else [self.octets[b] for b in part.encode()]
         return tuple(out)
 
+    @cached_property
+    def _joins(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which two symbols can be joined, ascending, with rank and id of what they make.
+
+        A piece's symbol is its id, that of any other character lies behind all ids.
+        """
+        size, found = len(self._names), {}
+        for name, rank in self._rank.items():
+            for k in range(1, len(name)):
+                left, right = name[:k], name[k:]
+                if (k == 1 or left in self._rank) and (len(right) == 1 or right in self._rank):
+                    x, y = (self.scores[p][0] if p in self.scores else size + ord(p) for p in (left, right))
+                    found[x << 32 | y] = int(rank), self.scores[name][0]
+        keys = np.array([*sorted(found), LAST], np.int64)
+        ranks, made = np.array([*(found[k] for k in keys[:-1].tolist()), (LAST, NONE)], np.int64).T.copy()
+        return keys, ranks, made
+
+    def _pairs_of(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of what each two symbols make; ``LAST`` if they make nothing."""
+        keys, ranks, made = self._joins
+        wanted = left << 32 | right
+        at = np.searchsorted(keys, wanted)
+        return np.where(keys[at] == wanted, ranks[at], LAST), made[at]
+
+    def _merge_rows(self, words: list[str]) -> list[tuple[int, ...]]:
+        """As ``_merge``, for many words of similar length: a row of symbols each, of which
+        every round joins one pair."""
+        size = len(self._names)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        chars, which = np.unique(codes, return_inverse=True)
+        symbols = (self.scores[c][0] if (c := chr(k)) in self.scores else size + k for k in chars.tolist())
+        rows = np.full((len(words), int(lengths.max())), NONE, np.int64)
+        rows[np.arange(rows.shape[1]) < lengths[:, None]] = np.fromiter(symbols, np.int64, len(chars))[which]
+        ranks, made = self._pairs_of(rows[:, :-1], rows[:, 1:])
+        out: list[tuple[int, ...]] = [()] * len(words)
+        own = np.arange(len(words))
+
+        def finish(done: np.ndarray, which: np.ndarray) -> None:
+            ends = (done != NONE).sum(axis=1).tolist()
+            plain = ((done < size) | (done == NONE)).all(axis=1).tolist()
+            for k, row, end, known in zip(which.tolist(), done.tolist(), ends, plain):
+                ids = row[:end]
+                if not known:
+                    octets = ([x] if x < size else [self.octets[b] for b in chr(x - size).encode()] for x in ids)
+                    ids = chain.from_iterable(octets)
+                out[k] = tuple(ids)
+
+        while rows.shape[1] > 1:
+            at = ranks.argmin(axis=1)
+            joins = ranks[np.arange(len(at)), at] < LAST
+            if not joins.all():
+                finish(rows[~joins], own[~joins])
+                rows, ranks, made, own, at = (x[joins] for x in (rows, ranks, made, own, at))
+                if not len(rows):
+                    return out
+            n, width = rows.shape
+            line = np.arange(n)
+            rows[line, at] = made[line, at]
+            keep = np.ones((n, width), bool)
+            keep[line, at + 1] = False
+            rows = rows[keep].reshape(n, width - 1)
+            keep = np.ones((n, width - 1), bool)
+            keep[line, at] = False
+            ranks, made = (x[keep].reshape(n, width - 2) for x in (ranks, made))
+            for beside in (at - 1, at):  # the pairs that the new symbol is in
+                some = np.flatnonzero((beside >= 0) & (beside < width - 2))
+                here = beside[some]
+                ranks[some, here], made[some, here] = self._pairs_of(rows[some, here], rows[some, here + 1])
+        finish(rows, own)
+        return out
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the segmentations of new words, none longer than ``SHORT``."""
+        words.sort(key=len)
+        for k in range(0, len(words), TOGETHER):
+            some = words[k : k + TOGETHER]
+            self._memory.update(zip(some, self._merge_rows(some)))
+
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
         """Built when a text is encoded; decoding needs none."""
@@ -252,11 +350,33 @@ class Pieces(Table):
                 ids = self.viterbi(part)
                 if len(memory) >= REMEMBERED:
                     memory.clear()
-                if len(part) <= 64:
+                if len(part) <= SHORT:
                     memory[part] = ids
             out += ids
         return out
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """As ``encode``, for many texts at a time."""
+        if self._parts is None or not self.by_merges:
+            return [np.array(self.encode(text), np.int32) for text in texts]
+        split = [self._parts.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
+        words = set(chain.from_iterable(split))
+        memory = self._memory
+        new = [word for word in words if word not in memory]
+        if len(memory) + len(new) > REMEMBERED:
+            memory.clear()
+            new = list(words)
+        long = [word for word in new if len(word) > SHORT]
+        memory.update(zip(long, map(self.viterbi, long)))
+        self._learn([word for word in new if len(word) <= SHORT])
+        own = memory.__getitem__
+        made = [np.fromiter(chain.from_iterable(map(own, parts)), np.int32) for parts in split]
+        for word in long:
+            del memory[word]
+        if len(memory) > REMEMBERED:
+            memory.clear()
+        return made
+
 
 _LOADED: dict[tuple[type, int], Table] = {}
 
@@ -292,11 +412,20 @@ def encode(docs: DataFrame, model: str = MODEL, carry: tuple[str, ...] = ()) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _load(file.value, Pieces)
         for batch in slices(batches):
-            rows = [pieces.encode(t.decode()) for t in texts(batch)]
+            rows: list[np.ndarray] = []
+            held, size = [], 0
+            for text in texts(batch):
+                held.append(text.decode())
+                size += len(text)
+                if size >= PORTION:
+                    rows += pieces.encode_all(held)
+                    held, size = [], 0
+            rows += pieces.encode_all(held)
             ends = np.cumsum([0, *map(len, rows)], dtype=np.int64)
-            flat = np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))
+            flat = np.concatenate(rows)
             made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*map(batch.column, carry), made], [*carry, "ids"])
+        pieces.forget()
 
     taken = docs.select(*carry, *(["text"] if "text" not in carry else []))
     return taken.transform(in_batches(run, _with(docs, carry, "ids", T.ArrayType(T.IntegerType()))))

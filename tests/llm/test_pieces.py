@@ -111,3 +111,32 @@ def test_frames(spark, docs, vocabulary):
     assert all(r.ids == vocabulary.encode(r.text or "") for r in back)
     assert pieces.encode(docs([])).collect() == []
     assert os.path.exists(pieces.MODEL) and encoded.select(F.size("ids")).count() == 6
+
+
+def test_new_short_words_of_many_texts_are_merged_together(vocabulary, library, monkeypatch):
+    draw = random.Random(9)
+    parts = ["  ", "\n", "a", "the", "ß", "日", "▁", " ", "😀", "1", "\t", "aaaa", "ing", "Über", "\x00", "x" * 70]
+    mixed = ["".join(draw.choices(parts, k=draw.randint(0, 25))) for _ in range(2000)] + TEXTS
+    vocabulary.forget()
+    monkeypatch.setattr(pieces, "TOGETHER", 100)
+    monkeypatch.setattr(pieces, "REMEMBERED", 300)
+    for k in range(0, len(mixed), 70):
+        some = mixed[k : k + 70]
+        assert [ids.tolist() for ids in vocabulary.encode_all(some)] == [library.encode(t) for t in some]
+    assert vocabulary.encode_all([]) == []
+
+    def alone(text):
+        raise AssertionError(f"{text} was segmented by itself")
+
+    vocabulary.forget()
+    monkeypatch.setattr(vocabulary, "viterbi", alone)
+    short = ["".join(draw.choices("aeinorst ", k=200)) for _ in range(50)]
+    assert [ids.tolist() for ids in vocabulary.encode_all(short)] == [library.encode(t) for t in short]
+
+
+def test_a_worker_remembers_no_words_after_its_task(vocabulary):
+    vocabulary.encode_all(TEXTS)
+    vocabulary.encode("a word " + "x" * 300)
+    assert vocabulary._memory and vocabulary._pairs
+    vocabulary.forget()
+    assert not vocabulary._memory and not vocabulary._pairs
