@@ -43,13 +43,13 @@ from blockloom.llm.shared import in_batches, slices, texts
 BLANK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words whose segmentation a worker remembers, and pairs of pieces.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 PAIRS = 250_000
 #: Characters of the words that are remembered and merged together, and how many at a time.
 SHORT = 64
-TOGETHER = 8192
+TOGETHER = 2048
 #: Bytes of texts that are segmented together; a longer text is alone.
-PORTION = 1_000_000
+PORTION = 250_000
 #: No character and no piece, and a rank behind all others.
 NONE = (1 << 31) - 1
 LAST = np.iinfo(np.int64).max
