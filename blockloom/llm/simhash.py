@@ -272,9 +272,11 @@ def links(reps: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFrame:
         yield np.array(found, np.int64).reshape(-1, 2)
 
     kind = reps.schema["rep"].dataType.simpleString()
+    # Not by the columns themselves: where the join has dealt by them, this shuffle would be
+    # left out, and reading the join's input locally or in pieces parts buckets.
     return (
         rows.select("mask", "key", "print", "rep")
-        .repartition("mask", "key")
+        .repartition(F.xxhash64("mask", "key"))
         .sortWithinPartitions("mask", "key")
         .transform(in_batches(compare(forest), f"a {kind}, b {kind}"))
     )

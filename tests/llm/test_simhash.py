@@ -80,6 +80,47 @@ def test_links_at_any_bucket_size(spark, bucket):
     assert {k: got.get(k, k) for k in want} == want
 
 
+#: Joins that are planned as sorted ones: turned into a broadcast, or with their tasks split.
+ADAPTED = {
+    "broadcast": {
+        "adaptive.autoBroadcastJoinThreshold": "10m",
+        "adaptive.coalescePartitions.enabled": "false",
+    },
+    "split": {
+        "adaptive.autoBroadcastJoinThreshold": "-1",
+        "adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "adaptive.skewJoin.skewedPartitionFactor": "0.1",
+        "adaptive.advisoryPartitionSizeInBytes": "1k",
+    },
+}
+
+
+@pytest.mark.parametrize("adapted", ADAPTED)
+def test_adaptive_joins_part_no_bucket(spark, adapted):
+    draw = random.Random(5)
+    base = [draw.getrandbits(64) for _ in range(3)]
+    prints = sorted({near(draw.choice(base), draw.randint(0, 6), draw) for _ in range(400)})
+    settings = {"autoBroadcastJoinThreshold": "-1", **ADAPTED[adapted]}
+    settings = {f"spark.sql.{name}": value for name, value in settings.items()}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = [(p - (1 << 64) if p >> 63 else p, k) for k, p in enumerate(prints)]
+        frame = spark.createDataFrame(rows, "print bigint, rep bigint").repartition(4)
+        edges = [tuple(r) for r in simhash.links(frame).collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    assert all((prints[a] ^ prints[b]).bit_count() <= 3 for a, b in edges)
+    got = dict(enumerate(range(len(prints))))
+    for _ in prints:
+        for a, b in edges:
+            got[a] = got[b] = min(got[a], got[b])
+    assert got == brute_classes(dict(enumerate(prints)))
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 40)] + [(100, 90), (90, 95), (7, 7), (None, 3), (200, 201)]
     got = {r.node: r.root for r in smallest_reachable(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
